@@ -168,12 +168,11 @@ def ngrams(tokens: Column | str, low: int = 1, high: int = 1) -> Column:
     tokens = _col(tokens)
     if (low, high) == (1, 1):
         return tokens
-    blocks = []
-    for n in range(low, high + 1):
-        if n == 1:
-            blocks.append(tokens)
-            continue
-        starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1)))
-        grams = F.transform(starts, lambda i, n=n: F.array_join(F.slice(tokens, i, n), " "))
-        blocks.append(F.coalesce(grams, F.array().cast("array<string>")))
+    blocks = [tokens if n == 1 else _grams(tokens, n) for n in range(low, high + 1)]
     return F.concat(*blocks) if len(blocks) > 1 else blocks[0]
+
+
+def _grams(tokens: Column, n: int) -> Column:
+    starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1)))
+    grams = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
+    return F.coalesce(grams, F.array().cast("array<string>"))

@@ -1,6 +1,8 @@
 """All queries: importing a module registers its queries."""
 
-from pressmill.plans import profile_queries, split_queries, text_queries  # noqa: F401
+from pressmill.plans import (  # noqa: F401
+    model_queries, profile_queries, split_queries, text_queries,
+)
 from pressmill.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
