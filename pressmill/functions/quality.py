@@ -39,7 +39,7 @@ def top_word_count(tokens: Column | str) -> Column:
         return F.struct(word.alias("word"), run.alias("run"),
                         F.greatest(acc["best"], run).alias("best"))
 
-    return F.aggregate(F.array_sort(_col(tokens)), start, step, lambda acc: acc["best"])
+    return F.aggregate(F.sort_array(_col(tokens)), start, step, lambda acc: acc["best"])
 
 
 def top_word_ratio(tokens: Column | str) -> Column:
@@ -62,7 +62,7 @@ def top_word_exceeds(tokens: Column | str, ratio: float) -> Column:
 
     k = floor + within(floor) + within(floor + 1)
     # One-element transforms bind a value to a name, so it is computed once.
-    bound = F.transform(F.array(F.struct(F.array_sort(tokens).alias("s"), k.alias("k"))), lambda b: (
+    bound = F.transform(F.array(F.struct(F.sort_array(tokens).alias("s"), k.alias("k"))), lambda b: (
         F.when(size < b["k"], F.lit(False)).otherwise(F.exists(
             F.sequence(F.lit(0), size - b["k"]),
             lambda i: F.get(b["s"], i) == F.get(b["s"], i + b["k"] - 1),

@@ -74,7 +74,7 @@ def term_table(df: DataFrame, fields: Sequence[Field], keep: Sequence[str] = ("i
     blocks = tokens.select(*keep, F.inline(F.array(*[
         F.struct(
             F.lit(f.name).alias("field"),
-            F.array_sort(text.ngrams(f"_tokens_{f.name}", *f.ngrams)).alias("terms"),
+            F.sort_array(text.ngrams(f"_tokens_{f.name}", *f.ngrams)).alias("terms"),
         )
         for f in fields
     ])))

@@ -70,7 +70,7 @@ def vectorize(df: DataFrame, vectorizer: Vectorizer, keep: Sequence[str] = ("id"
     weights = term_weights(df, vectorizer.vocabulary, vectorizer.fields, keep, id_column,
                            extra=["idx"], outer=True)
     entry = F.when(F.col("idx").isNotNull(), F.struct("idx", "weight"))
-    entries = weights.groupBy(*keep).agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    entries = weights.groupBy(*keep).agg(F.sort_array(F.collect_list(entry)).alias("e"))
     vectors = entries.select(*keep, F.struct(
         F.lit(_SPARSE).cast("tinyint").alias("type"),
         F.lit(vectorizer.size).cast("int").alias("size"),

@@ -12,11 +12,18 @@ from pyspark.sql import functions as F
 from pressmill import constants as C
 from pressmill.functions import labels, text
 from pressmill.operators.splitting import stratified_split
+from pressmill.schemas import TABLES
 from pressmill.session import materialize
+from pressmill.sources.tables import spread
+
+
+# Tables of long texts, with the key their rows are spread by.
+_TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    scan = spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return spread(scan, _TEXT_TABLES[name]) if name in _TEXT_TABLES else scan
 
 
 def _author(id_column: str) -> Column:

@@ -20,3 +20,11 @@ CLAIM = T.StructType([
     T.StructField(name, T.IntegerType() if name.endswith("_counts") else T.StringType())
     for name in CLAIM_COLUMNS
 ])
+
+# The provided tables; stating the schema spares a job that reads a footer.
+TABLES = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}

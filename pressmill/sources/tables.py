@@ -44,6 +44,19 @@ def _without_undecodable(df: DataFrame) -> DataFrame:
     ])
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a scan that has fewer splits than cores.
+
+    A file with a single row group, or a multi-line CSV file, is one split
+    however long its texts are. With more splits than cores, as in any large
+    corpus, the scan is returned as it is and nothing is shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, key)
+
+
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """Column names of a CSV file, from its first record."""
     return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
