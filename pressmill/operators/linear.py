@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (
     LinearSVC, LinearSVCModel, LogisticRegression, LogisticRegressionModel,
 )
@@ -59,28 +61,38 @@ def fit_vectorizer(train: DataFrame, fields: Sequence[Field],
     return Vectorizer(tuple(fields), materialize(index_terms(vocabulary), "term-index"), size)
 
 
-def vectorize(df: DataFrame, vectorizer: Vectorizer, keep: Sequence[str] = ("id", "label"),
-              id_column: str = "id") -> DataFrame:
-    """``keep..., features``: one sparse vector per document, empty ones included.
+def sparse_rows(df: DataFrame, vectorizer: Vectorizer, keep: Sequence[str] = ("id", "label"),
+                id_column: str = "id") -> DataFrame:
+    """``keep..., features``: one sparse row per document, empty ones included.
 
-    Optimisers read the vectors many times, so they are written once. Writing
-    their physical form and reading it back under the vector type also builds
-    them without any Python.
+    ``features`` has the physical layout of a sparse vector: ``type, size,
+    indices, values``. Only the terms of one document meet in one list.
     """
     weights = term_weights(df, vectorizer.vocabulary, vectorizer.fields, keep, id_column,
                            extra=["idx"], outer=True)
     entry = F.when(F.col("idx").isNotNull(), F.struct("idx", "weight"))
     entries = weights.groupBy(*keep).agg(F.sort_array(F.collect_list(entry)).alias("e"))
-    vectors = entries.select(*keep, F.struct(
+    return entries.select(*keep, F.struct(
         F.lit(_SPARSE).cast("tinyint").alias("type"),
         F.lit(vectorizer.size).cast("int").alias("size"),
         F.col("e.idx").alias("indices"),
         F.col("e.weight").alias("values"),
     ).alias("features"))
+
+
+def vectorize(df: DataFrame, vectorizer: Vectorizer, keep: Sequence[str] = ("id", "label"),
+              id_column: str = "id") -> DataFrame:
+    """The same with ``features`` as ML vectors.
+
+    Optimisers read the vectors many times, so they are written once. Reading
+    the written rows back under the vector type builds the vectors without any
+    Python.
+    """
+    rows = sparse_rows(df, vectorizer, keep, id_column)
     path = stage_path(df.sparkSession, "vectors")
-    vectors.write.mode("errorifexists").parquet(path)
+    rows.write.mode("errorifexists").parquet(path)
     schema = T.StructType([
-        *[vectors.schema[c] for c in keep], T.StructField("features", VectorUDT()),
+        *[rows.schema[c] for c in keep], T.StructField("features", VectorUDT()),
     ])
     return df.sparkSession.read.schema(schema).parquet(path)
 
@@ -146,16 +158,22 @@ class GridResult:
 
 def logistic_grid(train: DataFrame, validation: DataFrame,
                   grid: Sequence[float] = C.C_GRID, max_iter: int = C.LOGISTIC_MAX_ITER,
-                  pos_label: int = 1, label: str = "label") -> GridResult:
-    """Fit every ``c`` and keep the best validation F1; the first wins a tie."""
+                  pos_label: int = 1, label: str = "label", parallelism: int = 4) -> GridResult:
+    """Fit every ``c`` and keep the best validation F1; the first wins a tie.
+
+    ``parallelism`` candidates are fitted at a time: the driver only waits for
+    jobs, and small candidates alone would not fill a cluster.
+    """
     rows = train.count()
-    best, scores = None, []
-    for c in grid:
+
+    @inheritable_thread_target(train.sparkSession)
+    def fit(c: float) -> tuple[float, float, LogisticRegressionModel]:
         model = fit_logistic(train, c, rows, max_iter, label)
-        row = metrics(confusion_matrix(
-            predict(model, validation, (label,)), pos_label=pos_label, label=label
-        )).first()
-        scores.append((float(c), row["f1"]))
-        if best is None or row["f1"] > best[0]:
-            best = (row["f1"], float(c), model)
-    return GridResult(best[2], best[1], tuple(scores))
+        scored = predict(model, validation, (label,))
+        row = metrics(confusion_matrix(scored, pos_label=pos_label, label=label)).first()
+        return float(c), row["f1"], model
+
+    with ThreadPool(max(1, min(parallelism, len(grid)))) as pool:
+        candidates = pool.map(fit, grid)
+    best = max(candidates, key=lambda candidate: candidate[1])
+    return GridResult(best[2], best[0], tuple((c, f1) for c, f1, _ in candidates))

@@ -69,7 +69,7 @@ def _field_tokens_sql(f: features.Field) -> str:
     return V.kept_sql(found) if f.stop_words else found
 
 
-def _tf_sql(fields, source: str, p: str = "") -> list[str]:
+def tf_sql(fields, source: str, p: str = "") -> list[str]:
     """``<p>tf``: id, split, label, field, term, tf."""
     ctes = []
     for f in fields:
@@ -90,7 +90,7 @@ def _bound_sql(value, n: str) -> str:
     return str(value) if isinstance(value, int) else f"{value} * {n}"
 
 
-def _vocab_sql(fields, source: str, p: str = "") -> list[str]:
+def vocab_sql(fields, source: str, p: str = "") -> list[str]:
     """``<p>vocab`` of the training rows: field, term, df, tf, idf."""
     n = f"(SELECT count(*) FROM {source} WHERE split = 'train')"
     bounds = " OR ".join(
@@ -111,7 +111,7 @@ def _vocab_sql(fields, source: str, p: str = "") -> list[str]:
     ]
 
 
-def _weight_sql(fields, p: str = "", tf: str | None = None) -> list[str]:
+def weight_sql(fields, p: str = "", tf: str | None = None) -> list[str]:
     """``<p>w``: id, split, label, field, term, weight, unit length."""
     damped = V.in_sql([f.name for f in fields if f.sublinear] or ["-"])
     return [
@@ -164,8 +164,8 @@ def _metric_sql(source: str, by: str = "split", pos: int = 0) -> str:
 
 
 _L = [V.ARTICLES, V.LABELLED]
-_NB_VOCAB = [*_L, *_tf_sql([NB_FIELD], "labelled"), *_vocab_sql([NB_FIELD], "labelled")]
-_NB = [*_NB_VOCAB, *_weight_sql([NB_FIELD]), *_nb_sql("labelled")]
+_NB_VOCAB = [*_L, *tf_sql([NB_FIELD], "labelled"), *vocab_sql([NB_FIELD], "labelled")]
+_NB = [*_NB_VOCAB, *weight_sql([NB_FIELD]), *_nb_sql("labelled")]
 
 
 # --- Features ----------------------------------------------------------------
@@ -201,13 +201,13 @@ def tfidf_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("tfidf_vocab_bigrams", V.with_sql(
-    *_L, *_tf_sql([BIGRAM_FIELD], "labelled"), *_vocab_sql([BIGRAM_FIELD], "labelled"))
+    *_L, *tf_sql([BIGRAM_FIELD], "labelled"), *vocab_sql([BIGRAM_FIELD], "labelled"))
     + "SELECT field, term, df, tf, round(idf, 6) AS idf FROM vocab")
 def tfidf_vocab_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_vocabulary(spark, sf_dir, [BIGRAM_FIELD]))
 
 
-@query("tfidf_weights", V.with_sql(*_NB_VOCAB, *_weight_sql([NB_FIELD]))
+@query("tfidf_weights", V.with_sql(*_NB_VOCAB, *weight_sql([NB_FIELD]))
        + "SELECT id, term, round(weight, 6) AS weight FROM w")
 def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = V.labelled(spark, sf_dir)
@@ -217,8 +217,8 @@ def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("tfidf_multi_field", V.with_sql(
-    *_L, *_tf_sql(BLOCK_FIELDS, "labelled"), *_vocab_sql(BLOCK_FIELDS, "labelled"),
-    *_weight_sql(BLOCK_FIELDS))
+    *_L, *tf_sql(BLOCK_FIELDS, "labelled"), *vocab_sql(BLOCK_FIELDS, "labelled"),
+    *weight_sql(BLOCK_FIELDS))
     + """SELECT id, field, count(*) AS n_terms, round(sum(weight), 6) AS total,
     round(max(weight), 6) AS largest FROM w GROUP BY id, field""")
 def tfidf_multi_field(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,8 +276,8 @@ _COMBINED = """combined AS (
           count(*) OVER (PARTITION BY split) AS c FROM labelled)
   WHERE split <> 'train' OR r <= round_even(0.5 * c, 0))"""
 _NB_META = [
-    _COMBINED, *_tf_sql([META_FIELD], "combined", "m_"), *_vocab_sql([META_FIELD], "combined", "m_"),
-    *_weight_sql([META_FIELD], "m_"), *_nb_sql("combined", "m_"),
+    _COMBINED, *tf_sql([META_FIELD], "combined", "m_"), *vocab_sql([META_FIELD], "combined", "m_"),
+    *weight_sql([META_FIELD], "m_"), *_nb_sql("combined", "m_"),
 ]
 
 
@@ -317,9 +317,9 @@ _FOREIGN = [
     f"""foreign_rows AS (SELECT id, 'claims' AS split, content,
       {V.claim_sql('claim_label', C.CLAIM_RELIABLE + C.CLAIM_BORDERLINE)} AS label
       FROM claim_articles WHERE label IS NOT NULL)""",
-    *_tf_sql([NB_FIELD], "foreign_rows", "f_"),
+    *tf_sql([NB_FIELD], "foreign_rows", "f_"),
     "f_vocab AS (SELECT * FROM vocab)",
-    *_weight_sql([NB_FIELD], "f_"),
+    *weight_sql([NB_FIELD], "f_"),
     """f_dots AS (SELECT w.id, sum(w.weight * (t.theta_1 - t.theta_0)) AS dot
       FROM f_w w JOIN theta t ON t.term = w.term GROUP BY w.id)""",
     """f_scored AS (SELECT s.id, s.split, s.label, CASE WHEN coalesce(d.dot, 0) +

@@ -14,7 +14,9 @@ from pressmill.functions import labels, quality, text
 from pressmill.operators import cleaning, evaluation, linear, profile, stemming
 from pressmill.operators.dedup import deduplicate_text
 from pressmill.plans import views as V
-from pressmill.plans.model_queries import BIGRAM_FIELD, BLOCK_FIELDS, train_rows
+from pressmill.plans.model_queries import (
+    BIGRAM_FIELD, BLOCK_FIELDS, tf_sql, train_rows, vocab_sql, weight_sql,
+)
 from pressmill.plans.profile_queries import KEPT_ROWS
 from pressmill.plans.registry import query, rounded
 
@@ -248,16 +250,27 @@ def _vectors(rows: DataFrame, fields) -> tuple[DataFrame, linear.Vectorizer]:
     return linear.vectorize(rows, vectorizer, _KEEP), vectorizer
 
 
-@query("feature_vectors")
+@query("feature_vectors", V.with_sql(
+    V.ARTICLES, V.LABELLED, *tf_sql(BLOCK_FIELDS, "labelled"),
+    *vocab_sql(BLOCK_FIELDS, "labelled"), *weight_sql(BLOCK_FIELDS),
+    "indexed AS (SELECT field, term, row_number() OVER (ORDER BY field, term) AS pos FROM vocab)")
+    + """SELECT l.id, (SELECT count(*) FROM vocab) AS size, count(i.pos) AS entries,
+    coalesce(min(i.pos) - 1, -1) AS first_index,
+    round(coalesce(sum(w.weight * i.pos), 0) / (SELECT count(*) FROM vocab), 6) AS checksum
+  FROM labelled l LEFT JOIN w ON w.id = l.id
+  LEFT JOIN indexed i ON i.field = w.field AND i.term = w.term GROUP BY l.id""")
 def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Size and entries of each document's sparse vector."""
-    from pyspark.ml.functions import vector_to_array
-
-    vectors, _ = _vectors(V.labelled(spark, sf_dir), [BIGRAM_FIELD])
-    dense = vectors.select("id", vector_to_array("features").alias("a"))
-    return rounded(dense.select(
-        "id", F.size("a").alias("size"),
-        F.size(F.filter("a", lambda x: x != 0)).alias("entries")))
+    """Size, entries and a position-weighted checksum of each sparse vector."""
+    rows = V.labelled(spark, sf_dir)
+    vectorizer = linear.fit_vectorizer(train_rows(rows), BLOCK_FIELDS)
+    vectors = linear.sparse_rows(rows, vectorizer, ("id",))
+    products = F.zip_with("features.indices", "features.values", lambda i, v: (i + 1) * v)
+    total = F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
+    return rounded(vectors.select(
+        "id", F.col("features.size").alias("size"),
+        F.size("features.indices").alias("entries"),
+        F.coalesce(F.get("features.indices", F.lit(0)), F.lit(-1)).alias("first_index"),
+        (total / F.col("features.size")).alias("checksum")))
 
 
 @query("linear_svc")
