@@ -48,13 +48,14 @@ def nb_fit(train: DataFrame, fields: Sequence[Field], alpha: float = NB_ALPHA,
     n0, n1 = n["0"] or 0, n["1"] or 0
     if vocabulary is None:
         vocabulary = fit_vocabulary(train, fields, n0 + n1, id_column)
-    weights = term_weights(train, vocabulary, fields, (id_column, label), id_column)
+    weights = term_weights(train, vocabulary, fields, (id_column, label), id_column, ["idf"])
     sums = materialize(
-        weights.groupBy("field", "term").agg(*[
-            F.coalesce(F.sum(F.when(F.col(label) == c, F.col("weight"))), F.lit(0.0))
-            .alias(f"s{c}")
-            for c in (0, 1)
-        ]).join(vocabulary.select("field", "term", "idf"), ["field", "term"]),
+        weights.groupBy("field", "term").agg(
+            # The IDF is the same in every row of a term.
+            F.max("idf").alias("idf"),
+            *[F.coalesce(F.sum(F.when(F.col(label) == c, F.col("weight"))), F.lit(0.0))
+              .alias(f"s{c}") for c in (0, 1)],
+        ),
         "nb-sums",
     )
     total = sums.agg(F.sum("s0").alias("s0"), F.sum("s1").alias("s1"),

@@ -104,6 +104,18 @@ def stemmed_word_counts(counts: DataFrame,
     )
 
 
+def sample_rows_with_stems(features: DataFrame,
+                           stop_words: Iterable[str] = C.STOP_WORDS,
+                           k: int = C.SAMPLE_ROWS) -> DataFrame:
+    """The first analysed articles with their features and stemmed text.
+
+    ``features`` must carry ``tokens``; only the chosen rows are stemmed.
+    """
+    chosen = features.orderBy("id").limit(k)
+    kept = text.join_tokens(text.remove_stopwords("tokens", stop_words))
+    return chosen.withColumn("processed_text", stem_text(kept)).drop("tokens")
+
+
 def vocabulary_sizes(clean: DataFrame, stop_words: Iterable[str] = C.STOP_WORDS,
                      stems: bool = True) -> DataFrame:
     """Distinct words and total tokens before and after stop words and stemming.

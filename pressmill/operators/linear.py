@@ -8,11 +8,14 @@ bounded. ``max_features`` of a field bounds it; a vocabulary above
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.ml.classification import (
     LinearSVC, LinearSVCModel, LogisticRegression, LogisticRegressionModel,
 )
@@ -28,6 +31,7 @@ from pressmill.operators.features import (
 )
 from pressmill.session import materialize, stage_path
 
+M = TypeVar("M")
 MAX_COEFFICIENTS = 50_000_000
 _SPARSE = 0
 
@@ -49,6 +53,28 @@ class Vectorizer:
         return cls(tuple(fields), vocabulary, vocabulary.count())
 
 
+def load_or_fit_vectorizer(train: DataFrame, fields: Sequence[Field], path: str,
+                           id_column: str = "id") -> Vectorizer:
+    """The vectoriser saved at ``path``; fitted and saved there first if absent."""
+    return load_or_fit(
+        lambda: Vectorizer.load(train.sparkSession, path, fields),
+        lambda: fit_vectorizer(train, fields, id_column),
+        lambda fitted: fitted.save(path),
+    )
+
+
+def load_or_fit(load: Callable[[], M], fit: Callable[[], M], save: Callable[[M], None]) -> M:
+    """Reuse a saved artefact; only a missing path leads to a new fit."""
+    try:
+        return load()
+    except (AnalysisException, Py4JJavaError) as error:
+        if not any(sign in str(error) for sign in ("PATH_NOT_FOUND", "does not exist")):
+            raise
+    fitted = fit()
+    save(fitted)
+    return fitted
+
+
 def fit_vectorizer(train: DataFrame, fields: Sequence[Field],
                    id_column: str = "id") -> Vectorizer:
     """Vocabulary of the training documents with column positions."""

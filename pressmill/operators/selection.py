@@ -94,8 +94,6 @@ def with_cuts(df: DataFrame, cuts: DataFrame, strata: Sequence[str]) -> DataFram
     strata = list(strata)
     renamed = cuts.select(*[F.col(s).alias(f"_cut_{s}") for s in strata],
                           *[c for c in cuts.columns if c not in strata])
-    if not strata:
-        return df.join(renamed, F.lit(True), "left")
     on = [df[s].eqNullSafe(renamed[f"_cut_{s}"]) for s in strata]
     return df.join(renamed, on, "left").drop(*[f"_cut_{s}" for s in strata])
 

@@ -269,21 +269,31 @@ def nb_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Half of the training rows, all of the others, with the metadata in front.
-_COMBINED = """combined AS (
-  SELECT id, split, label, coalesce(domain, '') || ' ' || coalesce(title, '') || ' ' ||
-    coalesce(authors, '') || ' ' || content AS combined_text
+def _combined_sql(columns) -> str:
+    front = " || ".join(f"coalesce({c}, '') || ' '" for c in columns)
+    return f"""combined AS (
+  SELECT id, split, label, {front} || content AS combined_text
   FROM (SELECT *, row_number() OVER (PARTITION BY split ORDER BY md5('42:' || id), id) AS r,
           count(*) OVER (PARTITION BY split) AS c FROM labelled)
   WHERE split <> 'train' OR r <= round_even(0.5 * c, 0))"""
-_NB_META = [
-    _COMBINED, *tf_sql([META_FIELD], "combined", "m_"), *vocab_sql([META_FIELD], "combined", "m_"),
-    *weight_sql([META_FIELD], "m_"), *_nb_sql("combined", "m_"),
-]
 
 
-def naive_bayes_meta(rows: DataFrame) -> DataFrame:
+def _nb_meta_sql(columns) -> list[str]:
+    return [
+        _combined_sql(columns), *tf_sql([META_FIELD], "combined", "m_"),
+        *vocab_sql([META_FIELD], "combined", "m_"), *weight_sql([META_FIELD], "m_"),
+        *_nb_sql("combined", "m_"),
+    ]
+
+
+_NB_META = _nb_meta_sql(C.METADATA_COLUMNS)
+_SCORES_SQL = """SELECT id, split, CAST(label AS BIGINT) AS label, round(score, 6) AS score,
+  CAST(prediction AS BIGINT) AS prediction FROM m_scored"""
+
+
+def naive_bayes_meta(rows: DataFrame, columns=C.METADATA_COLUMNS) -> DataFrame:
     """Scores of the text-plus-metadata model trained on half of the rows."""
-    combined = rows.withColumn("combined_text", text.combine_text_and_meta("content")) \
+    combined = rows.withColumn("combined_text", text.combine_text_and_meta("content", columns)) \
         .select("id", "split", "label", "combined_text")
     half = materialize(random_sample(train_rows(combined), 0.5), "half")
     model = bayes.nb_fit(half, [META_FIELD])
@@ -291,13 +301,17 @@ def naive_bayes_meta(rows: DataFrame) -> DataFrame:
     return bayes.nb_predict(scored, model, ["id", "split", "label"])
 
 
-@query("nb_metadata", V.with_sql(*_L, *_NB_META) + """SELECT id, split,
-  CAST(label AS BIGINT) AS label, round(score, 6) AS score,
-  CAST(prediction AS BIGINT) AS prediction FROM m_scored""")
+@query("nb_metadata", V.with_sql(*_L, *_NB_META) + _SCORES_SQL)
 def nb_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(naive_bayes_meta(V.labelled(spark, sf_dir)))
 
 
+@query("nb_domain", V.with_sql(*_L, *_nb_meta_sql(["domain"])) + _SCORES_SQL)
+def nb_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the domain as the only metadata."""
+    return rounded(naive_bayes_meta(V.labelled(spark, sf_dir), ["domain"]))
+
+
 @query("model_comparison", V.with_sql(
     *_NB, *_NB_META, f"a AS ({_metric_sql('scored')})", f"b AS ({_metric_sql('m_scored')})",
     "la AS (UNPIVOT a ON accuracy, precision, recall, f1 INTO NAME metric VALUE baseline)",

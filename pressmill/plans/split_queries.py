@@ -184,3 +184,16 @@ def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
   ORDER BY md5('42:' || id), id LIMIT 400""")
 def fixed_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.fixed_size_sample(V.articles(spark, sf_dir).select("id", "type"), 400)
+
+
+@query("concat_frames", f"""{V.with_sql(V.ARTICLES, V.CLAIMS, V.CLAIM_ARTICLES)}
+  SELECT 'articles' AS origin, id, type, md5(content) AS content_md5, domain, title, authors
+    FROM articles
+  UNION ALL
+  SELECT 'claims', id, claim_label, md5(content), domain, title, authors FROM claim_articles""")
+def concat_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources put one after the other, columns matched by name."""
+    own = V.articles(spark, sf_dir).drop("url").withColumn("origin", F.lit("articles"))
+    other = V.claim_articles(spark, sf_dir).withColumnRenamed("claim_label", "type") \
+        .withColumn("origin", F.lit("claims"))
+    return own.unionByName(other).withColumn("content_md5", F.md5("content")).drop("content")

@@ -75,7 +75,7 @@ def profile_tables(df: DataFrame, content: str = "content",
         "rows_with_most_dates": profile.top_rows(features, "date"),
         "rows_with_most_numbers": profile.top_rows(features, "number"),
         "longest_articles": profile.top_rows(features, "token"),
-        "analysis_sample_rows": profile.sample_rows(features.drop("tokens")),
+        "analysis_sample_rows": cleaning.sample_rows_with_stems(features, stop_words),
         "finding_imbalance": profile.imbalance_finding(distribution),
         "finding_duplicates": profile.duplicate_finding(duplicates),
         "finding_class_contrast": profile.class_contrast(by_class),

@@ -214,3 +214,24 @@ def test_oversized_vocabulary_is_refused(train, monkeypatch):
     monkeypatch.setattr(linear, "MAX_COEFFICIENTS", 2)
     with pytest.raises(ValueError, match="coefficient"):
         linear.fit_vectorizer(train, [Field("f", "body")])
+
+
+def test_load_or_fit(spark, train, tmp_path):
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    path, fields = str(tmp_path / "v"), [Field("f", "body")]
+    first = linear.load_or_fit_vectorizer(train, fields, path)
+    again = linear.load_or_fit_vectorizer(train.limit(0), fields, path)
+    assert again.size == first.size > 0
+    table = linear.vectorize(train, first)
+    model_path = str(tmp_path / "m")
+    fitted = []
+
+    def fit():
+        fitted.append(1)
+        return linear.fit_logistic(table, 1.0, 4)
+
+    for _ in range(2):
+        model = linear.load_or_fit(lambda: LogisticRegressionModel.load(model_path), fit,
+                                   lambda m: m.save(model_path))
+    assert len(fitted) == 1 and model.numFeatures == first.size
