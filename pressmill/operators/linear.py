@@ -34,6 +34,7 @@ from pressmill.session import materialize, stage_path
 M = TypeVar("M")
 MAX_COEFFICIENTS = 50_000_000
 _SPARSE = 0
+_PARTITION_BYTES = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -112,7 +113,8 @@ def vectorize(df: DataFrame, vectorizer: Vectorizer, keep: Sequence[str] = ("id"
 
     Optimisers read the vectors many times, so they are written once. Reading
     the written rows back under the vector type builds the vectors without any
-    Python.
+    Python. An optimiser runs a job per step, whose cost for little data is the
+    number of tasks; so no partition is left with less than a few megabytes.
     """
     rows = sparse_rows(df, vectorizer, keep, id_column)
     path = stage_path(df.sparkSession, "vectors")
@@ -120,7 +122,10 @@ def vectorize(df: DataFrame, vectorizer: Vectorizer, keep: Sequence[str] = ("id"
     schema = T.StructType([
         *[rows.schema[c] for c in keep], T.StructField("features", VectorUDT()),
     ])
-    return df.sparkSession.read.schema(schema).parquet(path)
+    spark = df.sparkSession
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    # Narrow, and without effect where there are fewer partitions anyway.
+    return spark.read.schema(schema).parquet(path).coalesce(1 + size // _PARTITION_BYTES)
 
 
 def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:
