@@ -142,7 +142,9 @@ def _accent_table() -> tuple[str, str]:
 
 def strip_accents(text: Column | str) -> Column:
     accented, base = _accent_table()
-    return F.translate(_col(text), accented, base)
+    text = _col(text)
+    # Translation looks up every character; plain texts are left alone.
+    return F.when(text.rlike(r"[^\x00-\x7f]"), F.translate(text, accented, base)).otherwise(text)
 
 
 def vectorizer_tokens(text: Column | str, pattern: str = C.WORD_TOKENS,
@@ -174,5 +176,12 @@ def ngrams(tokens: Column | str, low: int = 1, high: int = 1) -> Column:
 
 def _grams(tokens: Column, n: int) -> Column:
     starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1)))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
+
+    def gram(start: Column) -> Column:
+        parts = [F.get(tokens, start - 1)]
+        for offset in range(n - 1):
+            parts += [F.lit(" "), F.get(tokens, start + offset)]
+        return F.concat(*parts)
+
+    grams = F.transform(starts, lambda start: gram(start))
     return F.coalesce(grams, F.array().cast("array<string>"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pressmill.constants import NB_ALPHA
 from pressmill.operators.features import (
-    Field, fit_vocabulary, raw_weight, term_table, term_weights,
+    Field, fit_vocabulary, known_terms, raw_weight, term_table, term_weights,
 )
 from pressmill.session import materialize
 
@@ -85,7 +85,7 @@ def nb_predict(df: DataFrame, model: BayesModel, keep: Sequence[str] = ("id",))
     odds = model.terms.select(
         "field", "term", "idf", (F.col("theta_1") - F.col("theta_0")).alias("odds")
     )
-    scored = counts.join(odds, ["field", "term"], "left").select(
+    scored = known_terms(counts, odds, outer=True).select(
         *keep, "field", raw_weight(model.fields).alias("w"), "odds"
     )
     per_field = scored.groupBy(*keep, "field").agg(

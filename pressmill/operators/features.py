@@ -65,7 +65,8 @@ def term_table(df: DataFrame, fields: Sequence[Field], keep: Sequence[str] = ("i
                outer: bool = False) -> DataFrame:
     """``keep..., field, term, tf``: how often each term occurs in each document.
 
-    ``outer=True`` also gives a document without terms one row with NULLs.
+    ``outer=True`` gives every document and field one more row, whose term is
+    NULL, so that documents without known terms survive a join.
     """
     tokens = pin(
         df.select(*keep, *dict.fromkeys(f.column for f in fields)),
@@ -88,8 +89,24 @@ def term_table(df: DataFrame, fields: Sequence[Field], keep: Sequence[str] = ("i
         F.get(terms, start).alias("term"),
         (F.coalesce(F.get(F.col("starts"), k + 1), size) - start).cast("bigint").alias("tf"),
     ))
-    generate = F.inline_outer if outer else F.inline
-    return runs.select(*keep, "field", generate(pairs))
+    if outer:
+        nothing = F.struct(F.lit(None).cast("string").alias("term"),
+                           F.lit(None).cast("bigint").alias("tf"))
+        pairs = F.concat(F.array(nothing), F.coalesce(pairs, F.array().cast(
+            "array<struct<term:string,tf:bigint>>")))
+    return runs.select(*keep, "field", F.inline(pairs))
+
+
+def known_terms(counts: DataFrame, vocabulary: DataFrame, outer: bool) -> DataFrame:
+    """Rows of a term table whose term is in the vocabulary, with its columns.
+
+    ``outer=True`` also keeps the NULL rows of an outer term table. Unknown
+    terms, often the most, are gone before anything is sorted or sent.
+    """
+    if not outer:
+        return counts.join(vocabulary, ["field", "term"])
+    joined = counts.join(vocabulary, ["field", "term"], "left")
+    return joined.where(F.col("idf").isNotNull() | F.col("term").isNull())
 
 
 def _bound(value: int | float, documents: int) -> float:
@@ -169,16 +186,16 @@ def term_weights(df: DataFrame, vocabulary: DataFrame, fields: Sequence[Field],
     """``keep..., field, term, extra..., weight``: unit L2 norm per document and field.
 
     Terms outside the vocabulary are ignored, so a document without any known
-    term has no row; ``outer=True`` keeps both, with NULL weights. ``extra``
-    names vocabulary columns to carry along.
+    term has no row; ``outer=True`` adds one row with a NULL weight to every
+    document and field. ``extra`` names vocabulary columns to carry along.
     """
     columns = dict.fromkeys([*keep, *[f.column for f in fields]])
     # Clustering documents by id makes the window below need no further exchange.
     placed = df.select(*columns).repartition(id_column)
     counts = term_table(placed, fields, keep, outer)
-    known = counts.join(vocabulary.select("field", "term", "idf", *extra), ["field", "term"],
-                        "left" if outer else "inner")
-    weighted = known.select(*keep, "field", "term", *extra, raw_weight(fields).alias("w"))
+    columns = dict.fromkeys(["field", "term", "idf", *extra])
+    known = known_terms(counts, vocabulary.select(*columns), outer)
+    weighted = known.select(*keep, *columns, raw_weight(fields).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_column, "field")))
     return weighted.select(*keep, "field", "term", *extra, (F.col("w") / norm).alias("weight"))
 

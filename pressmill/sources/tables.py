@@ -1,8 +1,9 @@
 """File readers with explicit schemas.
 
-Text formats are meant for intake only. A quoted field may span lines, so Spark
-reads each such file in one task: land a large corpus as many files (or write it
-once as Parquet, see ``sinks``), and all of them are read in parallel.
+Text formats are meant for intake only. Where a quoted field may span lines, Spark
+reads each file in one task: land a large corpus as many files, and all of them
+are read in parallel, or write it once as Parquet (see ``sinks``). Files without
+line breaks inside fields can be split anywhere; say so with ``multiline=False``.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ _EXTRA = "_extra_field"
 
 
 def _read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
-              **options) -> DataFrame:
+              multiline: bool, **options) -> DataFrame:
     """CSV where rows with too many fields are dropped and short rows padded.
 
     The header decides nothing: columns are taken by position. An extra field
@@ -29,7 +30,7 @@ def _read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTy
     padded = T.StructType([*schema.fields, T.StructField(_EXTRA, T.StringType())])
     table = (
         spark.read.schema(padded)
-        .options(multiLine=True, quote='"', escape='"', mode="PERMISSIVE",
+        .options(multiLine=multiline, quote='"', escape='"', mode="PERMISSIVE",
                  enforceSchema=True, **options)
         .csv(list(path) if not isinstance(path, str) else path)
     )
@@ -63,7 +64,8 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_articles_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-                      header: Sequence[str] | None = None) -> DataFrame:
+                      header: Sequence[str] | None = None,
+                      multiline: bool = True) -> DataFrame:
     """Articles from CSV with a header line; all columns are strings.
 
     ``header`` states the file's column order; otherwise the first record tells.
@@ -71,7 +73,7 @@ def read_articles_csv(spark: SparkSession, path: str, columns: Sequence[str] | N
     """
     names = list(header or csv_header(spark, path))
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    table = _without_undecodable(_read_csv(spark, path, schema, header=True))
+    table = _without_undecodable(_read_csv(spark, path, schema, multiline, header=True))
     return table.select(*columns) if columns else table
 
 
@@ -92,9 +94,9 @@ def read_split(spark: SparkSession, path: str, split: str | None = None,
     return table.select(*keep)
 
 
-def read_claims_tsv(spark: SparkSession, path: str) -> DataFrame:
+def read_claims_tsv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Header-less statement file with 14 tab-separated columns."""
-    return _read_csv(spark, path, schemas.CLAIM, sep="\t", header=False)
+    return _read_csv(spark, path, schemas.CLAIM, multiline, sep="\t", header=False)
 
 
 def resolve_text_column(columns: Sequence[str]) -> str:
