@@ -25,8 +25,14 @@ def query(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 
 
 def r6(column: Column | str) -> Column:
-    """Six decimals: sums run in another order in every engine."""
-    return F.round(column, 6)
+    """Six decimals: sums run in another order in every engine.
+
+    Rounded on the binary value, half away from zero. Spark's own ``round`` goes
+    through the shortest decimal and so sees ties where there are none.
+    """
+    column = F.col(column) if isinstance(column, str) else column
+    millionths = F.floor(F.abs(column) * 1e6 + 0.5).cast("double")
+    return F.signum(column) * millionths / 1e6
 
 
 def rounded(df: DataFrame) -> DataFrame:
