@@ -70,10 +70,19 @@ def hash_cuts(df: DataFrame, id_column: str, strata: Sequence[str],
     near = keyed.join(places, [*on, keyed["p"] == places["p"]], "inner").select(
         *[places[s].alias(s) for s in strata], places["p"], "n", "name", "local_rank", "h", "id"
     )
-    in_prefix = Window.partitionBy(*strata, "p", "name").orderBy("h", "id")
+    # Rows that share an id share its key and count as one entry here, so an id
+    # that is repeated without end does not end up in one task either.
+    place = [*strata, "p", "name"]
+    entries = near.groupBy(*place, "n", "local_rank", "h", "id").agg(
+        F.count(F.lit(1)).alias("c")
+    )
+    in_prefix = Window.partitionBy(*place).orderBy("h", "id").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
     cuts = (
-        near.withColumn("r", F.row_number().over(in_prefix))
-        .where(F.col("r") == F.col("local_rank"))
+        entries.withColumn("upto", F.sum("c").over(in_prefix))
+        .where((F.col("local_rank") <= F.col("upto"))
+               & (F.col("local_rank") > F.col("upto") - F.col("c")))
     )
     return materialize(
         cuts.groupBy(*strata).agg(

@@ -112,3 +112,17 @@ def test_merge_metadata(spark):
               for r in metadata.metadata_coverage(merged, compat=True).collect()}
     assert plain == {"domain": 1, "title": 1, "authors": 2}
     assert compat == {"domain": 2, "title": 2, "authors": 3}
+
+
+def test_repeated_ids_stay_together(spark):
+    """A third of all rows carries one id; no id may fall into two splits."""
+    rows = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("id"),
+        F.lit("a").alias("type"))
+    split = splitting.stratified_split(rows)
+    splitting.verify_split(rows, split)
+    ranked = sorted((r["id"] for r in rows.collect()), key=key)
+    last_train = key(ranked[900 * 8 // 10 - 1])
+    got = {r["id"]: r["split"] for r in split.collect()}
+    for i in set(ranked):
+        assert (got[i] == "train") == (key(i) <= last_train)
