@@ -44,8 +44,7 @@ def nb_fit(train: DataFrame, fields: Sequence[Field], alpha: float = NB_ALPHA,
     Per class: ``ln((sum w + alpha) / (sum over terms + alpha * |V|))`` and the
     unsmoothed log share of the class. Only six totals reach the driver.
     """
-    n = train.groupBy().pivot(label, [0, 1]).count().first()
-    n0, n1 = n["0"] or 0, n["1"] or 0
+    n0, n1 = train.agg(*[F.count_if(F.col(label) == c) for c in (0, 1)]).first()
     if vocabulary is None:
         vocabulary = fit_vocabulary(train, fields, n0 + n1, id_column)
     weights = term_weights(train, vocabulary, fields, (id_column, label), id_column, ["idf"])

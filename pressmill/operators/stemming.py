@@ -13,13 +13,18 @@ implementation makes by default (irregular forms, two-letter words left alone,
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The stemmer travels with the job, so workers need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _MEMO_WORDS = 200_000
 
 # Consonant and vowel runs: y is a vowel after a consonant.
