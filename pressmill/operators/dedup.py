@@ -17,7 +17,7 @@ def keep_first(df: DataFrame, key: dict[str, Column] | Sequence[str],
 
     A minimum over structs combines on the map side, so a key that owns a third
     of all rows leaves every map task as a single row. A window would sort that
-    key in one task.
+    key in one task. Columns must have an order, which rules out maps only.
     """
     if not isinstance(key, dict):
         key = {name: F.col(name) for name in key}

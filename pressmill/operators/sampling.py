@@ -18,14 +18,25 @@ def _share_rank(fraction: float):
     return lambda n: F.bround(n.cast("double") * F.lit(float(fraction)), 0).cast("bigint")
 
 
+def stratified_samples(df: DataFrame, fractions: Sequence[float], strata: Sequence[str],
+                       id_column: str = "id", seed: int = SEED) -> dict[float, DataFrame]:
+    """Samples of several sizes; each holds the smaller ones.
+
+    The cuts of all fractions come from the same two passes.
+    """
+    names = {f: f"_cut_at_{i}" for i, f in enumerate(fractions)}
+    ranks = {name: _share_rank(f) for f, name in names.items()}
+    placed = with_cuts(df, hash_cuts(df, id_column, strata, ranks, seed), strata)
+    return {
+        f: placed.where(at_or_below(name, id_column, seed)).select(*df.columns)
+        for f, name in names.items()
+    }
+
+
 def stratified_sample(df: DataFrame, fraction: float, strata: Sequence[str],
                       id_column: str = "id", seed: int = SEED) -> DataFrame:
     """The share ``fraction`` of every stratum, rounded to whole rows."""
-    cuts = hash_cuts(df, id_column, strata, {"_cut": _share_rank(fraction)}, seed)
-    return (
-        with_cuts(df, cuts, strata).where(at_or_below("_cut", id_column, seed))
-        .select(*df.columns)
-    )
+    return stratified_samples(df, [fraction], strata, id_column, seed)[fraction]
 
 
 def random_sample(df: DataFrame, fraction: float, id_column: str = "id",

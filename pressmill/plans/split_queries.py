@@ -173,10 +173,8 @@ def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = materialize(rounded(V.articles(spark, sf_dir).select(
         "id", labels.map_label_strict("type").alias("label")
     ).where(F.col("label").isNotNull())), "labels")
-    parts = [
-        sampling.stratified_sample(mapped, f, ["label"]).withColumn("fraction", F.lit(f))
-        for f in (0.5, 0.07, 0.05)
-    ]
+    samples = sampling.stratified_samples(mapped, (0.5, 0.07, 0.05), ["label"])
+    parts = [sample.withColumn("fraction", F.lit(f)) for f, sample in samples.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 

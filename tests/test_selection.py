@@ -126,3 +126,11 @@ def test_repeated_ids_stay_together(spark):
     got = {r["id"]: r["split"] for r in split.collect()}
     for i in set(ranked):
         assert (got[i] == "train") == (key(i) <= last_train)
+
+
+def test_row_order_helpers(rows):
+    shuffled = [r["id"] for r in sampling.shuffle_rows(rows.repartition(5)).collect()]
+    assert shuffled == sorted(shuffled, key=key) and len(shuffled) == 998
+    assert sampling.first_rows(rows, 10).count() == 10
+    assert sampling.first_rows(rows, None).count() == 998
+    assert 300 < sampling.approximate_sample(rows, 0.5).count() < 700
