@@ -20,7 +20,6 @@ from pressmill.plans.model_queries import (
 from pressmill.plans.profile_queries import KEPT_ROWS
 from pressmill.plans.registry import query, rounded
 
-
 # --- Stemming in SQL ---------------------------------------------------------
 
 _C, _V = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
@@ -54,11 +53,13 @@ _ENDINGS = (
     ("ation", "ate"), ("ator", "ate"), ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"),
     ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"), ("fulli", "ful"),
 )
-_FORMS = "/".join(f"{a}={b}" for a, b in (
+# Irregular forms.
+_FORMS = (
     ("sky", "sky"), ("skies", "sky"), ("dying", "die"), ("lying", "lie"), ("tying", "tie"),
     ("news", "news"), ("innings", "inning"), ("inning", "inning"), ("outings", "outing"),
     ("outing", "outing"), ("cannings", "canning"), ("canning", "canning"), ("howe", "howe"),
-    ("proceed", "proceed"), ("exceed", "exceed"), ("succeed", "succeed")))
+    ("proceed", "proceed"), ("exceed", "exceed"), ("succeed", "succeed"),
+)
 
 
 def _steps_sql(source: str) -> list[str]:
@@ -71,9 +72,7 @@ def _steps_sql(source: str) -> list[str]:
         for s in sorted(("al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous "
                          "ive ize").split(), key=lambda s: -len(s))
     )
-    irregular = " ".join(
-        f"WHEN '{a}' THEN '{b}'" for a, b in (pair.split("=") for pair in _FORMS.split("/"))
-    )
+    irregular = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _FORMS)
     return [
         f"step_1a AS (SELECT word, CASE WHEN word LIKE '_ies' THEN {_cut('word', 1)} "
         f"WHEN {_is('word', '(sses|ies)$')} THEN {_cut('word', 2)} "
