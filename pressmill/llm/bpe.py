@@ -27,7 +27,9 @@ from pressmill.llm.common import as_texts, documents, slices, spans_of
 
 
 #: Bytes of text whose words are replayed together.
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 12 << 20
+#: Texts decoded at a time.
+DECODE_ROWS = 500
 
 
 class _Codes(dict):
@@ -235,12 +237,14 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = Vocabulary.load(ranks_path, pattern).symbols
         for batch in batches:
-            ids = batch.column("ids")
-            decoded = [b"".join(map(symbols.__getitem__, ids[i].values.to_numpy().tolist()))
-                       if ids[i].is_valid else b"" for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), ids, pa.array(decoded, pa.binary())],
-                ["doc_id", "ids", "decoded"])
+            for start in range(0, batch.num_rows, DECODE_ROWS):
+                part = batch.slice(start, DECODE_ROWS)
+                ids = part.column("ids")
+                decoded = [b"".join(map(symbols.__getitem__, x.values.to_numpy().tolist()))
+                           if x.is_valid else b"" for x in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), ids, pa.array(decoded, pa.binary())],
+                    ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(
         run, "doc_id bigint, ids array<int>, decoded binary")
