@@ -111,3 +111,99 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None,
 
 def logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+_BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
+_powers: dict[tuple[int, bool], np.ndarray] = {}
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Spread the bits of 64-bit integers (a bijection)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def powers(base: int, size: int, inverse: bool = False) -> np.ndarray:
+    """base**i (or its inverse) modulo 2**64 for i below ``size``."""
+    have = _powers.get((base, inverse))
+    if have is None or len(have) < size:
+        step = pow(base, -1, 1 << 64) if inverse else base
+        size = max(size, 1 << 16)
+        have = np.ones(size, np.uint64)
+        done = 1
+        while done < size:  # doubles what is there
+            more = min(done, size - done)
+            have[done:done + more] = have[:more] * np.uint64(pow(step, done, 1 << 64))
+            done += more
+        _powers[base, inverse] = have
+    return have[:size]
+
+
+class Words:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of the texts of an Arrow column, without Python objects.
+
+    ``starts`` and ``ends`` point into ``data``; the words of text ``i`` are those
+    from ``first[i]`` up to ``first[i + 1]``.
+    """
+
+    def __init__(self, column: pa.Array, lower: bool = False) -> None:
+        column = pc.fill_null(column.cast(pa.binary()), b"")
+        offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4)
+        raw = column.buffers()[2]
+        data = np.frombuffer(raw, np.uint8, int(offsets[-1] - offsets[0]), int(offsets[0])) \
+            if raw is not None and offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+        offsets = (offsets - offsets[0]).astype(np.int64)
+        self.data = _LOWER[data] if lower else data
+        self.offsets = offsets
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offsets] = True
+        solid = ~_SPACE[data]
+        begins, stops = edge[:-1].copy(), edge[1:].copy()
+        if len(data):
+            begins[1:] |= ~solid[:-1]
+            stops[:-1] |= ~solid[1:]
+        self.starts = np.flatnonzero(solid & begins)
+        self.ends = np.flatnonzero(solid & stops) + 1
+        self.first = np.searchsorted(self.starts, offsets)
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def per_text(self) -> np.ndarray:
+        return np.diff(self.first)
+
+    def hashes(self, which: int = 0) -> np.ndarray:
+        """64 bits per word; the two kinds are independent of each other."""
+        base, size = _BASES[which], len(self.data)
+        sums = np.zeros(size + 1, np.uint64)
+        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * powers(base, size), out=sums[1:])
+        h = (sums[self.ends] - sums[self.starts]) * powers(base, size + 1, True)[self.starts]
+        return mix(h + (self.ends - self.starts).astype(np.uint64) * np.uint64(base | 2))
+
+    def word(self, i: int) -> bytes:
+        return self.data[self.starts[i]:self.ends[i]].tobytes()
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """An occurrence of each distinct word, and for every word the number of its distinct one.
+
+        Words are told apart by 128 bits.
+        """
+        h = self.hashes(0)
+        _, at, code = np.unique(h, return_index=True, return_inverse=True)
+        other = self.hashes(1)
+        if (other[at][code] != other).any():  # two words share 64 bits: tell them apart by both
+            pairs = np.rec.fromarrays([h, other])
+            _, at, code = np.unique(pairs, return_index=True, return_inverse=True)
+        return at, code
+
+
+def gather(table: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The runs ``table[starts[i] : starts[i] + counts[i]]`` one after another."""
+    begin, end = spans_of(counts)
+    total = int(end[-1]) if len(end) else 0
+    return table[np.repeat(starts - begin, counts) + np.arange(total)]
