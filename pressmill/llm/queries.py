@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressmill.llm import bpe, packing
+from pressmill.llm import bpe, packing, quality, toxicity, weighted_sampling
+from pressmill.llm.common import crc_of_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,6 +25,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model:
+    return quality.fit(docs, labels, "quality", crc_of_id() % 3 != 1)
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    return toxicity.fit(docs, labels, "toxic", crc_of_id() % 5 != 0)
+
+
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (crc_of_id() % 3 == 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -39,3 +56,19 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pieces(table(spark, sf_dir, "documents"),
                             public_tokenizers.path("word_bpe_49k.json"), end_id=2, limit=4096)
     return packing.pack(pieces, 4096)
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (crc_of_id() % 5 == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = weighted_sampling.compare_with_next(table(spark, sf_dir, "documents"))
+    return compared.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next")
