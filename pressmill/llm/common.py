@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pressmill.session import materialize
+
 #: Bytes of text that a task holds as Python objects at a time.
 SLICE_BYTES = 2 << 20
 
@@ -188,19 +190,40 @@ class Words:
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i]:self.ends[i]].tobytes()
 
+    def _edges(self) -> np.ndarray:
+        """Length, first eight and last eight bytes of every word (zeros before a shorter one)."""
+        padded = np.concatenate([np.zeros(8, np.uint8), self.data, np.zeros(8, np.uint8)])
+        eight = np.lib.stride_tricks.as_strided(
+            padded[:1].view(np.uint8), (len(self.data) + 9, 8), (1, 1), writeable=False)
+        length = self.ends - self.starts
+        keep = (np.uint64(1) << np.minimum(length * 8, 63).astype(np.uint64)) - np.uint64(1)
+        keep[length >= 8] = np.uint64(0xFFFFFFFFFFFFFFFF)
+        first = np.ascontiguousarray(eight[self.starts + 8]).view("<u8").ravel() & keep
+        last = np.ascontiguousarray(eight[self.ends]).view("<u8").ravel()
+        return np.column_stack([length.astype(np.uint64), first, np.where(length >= 8, last, 0)])
+
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
         """An occurrence of each distinct word, and for every word the number of its distinct one.
 
-        Words are told apart by 128 bits.
+        Words are told apart by 64 bits of hash, their length, and sixteen bytes of themselves.
         """
-        h = self.hashes(0)
+        h = self.hashes()
         _, at, code = np.unique(h, return_index=True, return_inverse=True)
-        other = self.hashes(1)
-        if (other[at][code] != other).any():  # two words share 64 bits: tell them apart by both
-            pairs = np.rec.fromarrays([h, other])
-            _, at, code = np.unique(pairs, return_index=True, return_inverse=True)
+        edges = self._edges()
+        if (edges[at][code] != edges).any():  # two words share a hash
+            _, at, code = np.unique(np.column_stack([h, edges]), axis=0, return_index=True, return_inverse=True)
+            code = code.ravel()
         return at, code
 
+    def lines(self, which: np.ndarray) -> str:
+        """Some words, one a line."""
+        if not len(which):
+            return ""
+        sizes = (self.ends - self.starts)[which] + 1
+        data = gather(np.append(self.data, np.uint8(10)), self.starts[which], sizes)
+        data[np.cumsum(sizes) - 1] = 10
+        return data[:-1].tobytes().decode()
+
 
 def gather(table: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The runs ``table[starts[i] : starts[i] + counts[i]]`` one after another."""
@@ -238,3 +261,20 @@ def class_weights(y: np.ndarray, sizes: dict[int, int]) -> np.ndarray:
         if mine.any():
             weight[mine] = sizes.get(value, 0) / mine.sum()
     return weight / weight.mean() if len(y) else weight
+
+
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a shared table and read it again; the shuffles that made it are removed at once."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN_UP, None)
+    conf.set(_CLEAN_UP, "true")
+    try:
+        return materialize(df, name)
+    finally:
+        if before is None:
+            conf.unset(_CLEAN_UP)
+        else:
+            conf.set(_CLEAN_UP, before)

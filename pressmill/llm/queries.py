@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressmill.llm import bpe, packing, quality, toxicity, weighted_sampling
+from pressmill.llm import bpe, packing, quality, suffix_tree, toxicity, weighted_sampling
 from pressmill.llm.common import crc_of_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, 4096)
 
 
+@query
+def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = suffix_tree.score(table(spark, sf_dir, "documents"), crc_of_id() % 5 != 1)
+    return scored.withColumn("held_out", crc_of_id() % 5 == 1)
+
+
 @query
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
