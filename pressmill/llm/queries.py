@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressmill.llm import bpe, packing, quality, suffix_tree, toxicity, weighted_sampling
+from pressmill.llm import bpe, debruijn, packing, quality, suffix_tree, toxicity, weighted_sampling
 from pressmill.llm.common import crc_of_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +64,13 @@ def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", crc_of_id() % 5 == 1)
 
 
+@query
+def op4_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = debruijn.remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_words", "n_removed",
+                          F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
