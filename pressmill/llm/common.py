@@ -135,11 +135,10 @@ def powers(base: int, size: int, inverse: bool = False) -> np.ndarray:
     have = _powers.get((base, inverse))
     if have is None or len(have) < size:
         step = pow(base, -1, 1 << 64) if inverse else base
-        size = max(size, 1 << 16)
-        have = np.ones(size, np.uint64)
+        have = np.ones(max(size, 1 << 16), np.uint64)
         done = 1
-        while done < size:  # doubles what is there
-            more = min(done, size - done)
+        while done < len(have):  # doubles what is there
+            more = min(done, len(have) - done)
             have[done:done + more] = have[:more] * np.uint64(pow(step, done, 1 << 64))
             done += more
         _powers[base, inverse] = have

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressmill.llm import bpe, debruijn, packing, quality, suffix_tree, toxicity, weighted_sampling
+from pressmill.llm import bpe, debruijn, packing, part_enum, quality, suffix_tree, toxicity, weighted_sampling
 from pressmill.llm.common import crc_of_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,8 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compared.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query
+def op10_part_enum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return part_enum.similarity_components(table(spark, sf_dir, "documents"), size=4, percent=85)
