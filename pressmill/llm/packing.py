@@ -19,10 +19,11 @@ from __future__ import annotations
 
 import heapq
 import math
+import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressmill.llm.common import Memo, Words, documents, gather, one_per_id, slices, spans_of
+from pressmill.llm.common import SLICE_BYTES, Words, documents, gather, one_per_id, slices, spans_of
 from pressmill.session import materialize
 
 #: Pieces of one length that are ranked together.
@@ -38,31 +39,51 @@ _RANK_GROUP = 50_000
 PIECE_SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
+class _Codes(dict):
+    """Numbers pieces in the order of their first use."""
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = code = len(self)
+        return code
+
+
 class WordTokenizer:
-    """A word-level tokenizer of the ``tokenizers`` library, applied to distinct words.
+    """A word-level tokenizer of the ``tokenizers`` library, applied to distinct pieces of words.
 
-    For a tokenizer that drops white space and never merges across words, whose
-    tokens at the end of a word carry a suffix. The library encodes the distinct
-    pieces of a slice of the corpus, many in one call; the suffix tells where the
-    ids of a piece end. Words with control or space characters or with special
+    For a tokenizer that drops white space and never merges across pieces, whose
+    tokens at the end of a piece carry a suffix. The library encodes the pieces of
+    a slice of the corpus that are new, fifty in one text; the suffix tells where
+    the ids of a piece end. Words with control or space characters or with special
     tokens are given to the library as they are.
     """
 
     _loaded: dict[str, WordTokenizer] = {}
     PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    #: Pieces that are remembered; beyond that all are forgotten.
+    REMEMBERED = 400_000
 
     def __init__(self, path: str, suffix: str = "</w>") -> None:
-        from tokenizers import Tokenizer
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the parallel part
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = Tokenizer.from_file(path)  # for pieces that are normalised and split
+        self.merges.normalizer = None
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.last[number] = token.endswith(suffix)
-        self.split = regex.compile(self.PIECES).findall
-        special = [regex.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = regex.compile("|".join([r"[\p{C}\p{Z}\s]", *special])).search
-        self.pieces, self.words = Memo(), Memo()
+        self.split = regex.compile(self.PIECES + "|\n").findall
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.codes = _Codes({"\n": 0})
+        self.starts, self.counts = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.ids = np.zeros(0, np.int32)
 
     @classmethod
     def load(cls, path: str) -> WordTokenizer:
@@ -71,53 +92,67 @@ class WordTokenizer:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32).tobytes()
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _learn(self, fresh: list[str]) -> None:
-        """Encode pieces, fifty in one text."""
-        texts = [fresh[i:i + 50] for i in range(0, len(fresh), 50)]
-        for group, found in zip(texts, self.tokenizer.encode_batch_fast(
-                [" ".join(group) for group in texts], add_special_tokens=False)):
-            ids = np.array(found.ids, np.int32)
-            cuts = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
-            data = ids.tobytes()
-            if len(cuts) == len(group) and cuts[-1] == len(data):
-                self.pieces.update(zip(group, [data[a:b] for a, b in zip([0, *cuts], cuts)]))
-            else:
-                self.pieces.update((piece, self._whole(piece)) for piece in group)
-
-    def _add(self, fresh: list[bytes]) -> None:
-        """Encode words."""
-        text = b"\n".join(fresh).decode()
-        if self.odd(text.replace("\n", "")):
-            odd = [word for word in fresh if self.odd(word.decode())]
-            self.words.update((word, self._whole(word.decode())) for word in odd)
-            fresh = list(set(fresh).difference(odd))
-            text = b"\n".join(fresh).decode()
-        if not fresh:
-            return
+        """Encode pieces that have got their codes just now."""
+        texts = [" ".join(fresh[i:i + 50]) for i in range(0, len(fresh), 50)]
+        found = [x.ids for x in self.merges.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(found), np.int32)
+        cuts = np.flatnonzero(self.last[ids]) + 1
+        if len(cuts) != len(fresh) or cuts[-1] != len(ids):
+            found = list(map(self._whole, fresh))
+            ids = np.fromiter(chain.from_iterable(found), np.int32)
+            cuts = np.cumsum([len(x) for x in found])
+        counts = np.diff(np.append(0, cuts))
+        self.starts = np.append(self.starts, cuts - counts + len(self.ids))
+        self.counts = np.append(self.counts, counts)
+        self.ids = np.append(self.ids, ids)
+
+    def _words(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, of which each has a line, one after another, and how many each has."""
+        if any(mark in text for mark in self.special) or not text.replace("\n", "").isprintable():
+            words = text.split("\n")
+            odd = {i: self._whole(word) for i, word in enumerate(words)
+                   if not word.isprintable() or any(mark in word for mark in self.special)}
+            plain = [word for i, word in enumerate(words) if i not in odd]
+            ids, counts = self._words("\n".join(plain)) if plain else (np.zeros(0, np.int32), [])
+            cuts = np.append(0, np.cumsum(counts)).astype(np.int64)
+            rest = (ids[x:y] for x, y in zip(cuts, cuts[1:]))
+            parts = [np.array(odd[i], np.int32) if i in odd else next(rest) for i in range(len(words))]
+            return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
         # lower case letter by letter, without the rule for a final sigma
         text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
-        parts = list(map(self.split, text.split("\n")))
-        if unknown := self.pieces.missing(set(chain.from_iterable(parts))):
-            self._learn(unknown)
-        piece = self.pieces.__getitem__
-        self.words.update((word, b"".join(map(piece, p))) for word, p in zip(fresh, parts))
+        words = text.split("\n")
+        plain = np.fromiter(map(str.isalpha, words), bool, len(words))  # one piece each
+        mixed = self.split("\n".join(compress(words, ~plain)))
+        if len(self.codes) > self.REMEMBERED:
+            self._forget()
+        known = len(self.codes)
+        code = self.codes.__getitem__
+        single = np.fromiter(map(code, compress(words, plain)), np.int64)
+        several = np.fromiter(map(code, mixed), np.int64, len(mixed))
+        if len(self.codes) > known:
+            self._learn(list(islice(self.codes, known, None)))
+        ends = np.append(np.flatnonzero(several == 0), len(several))
+        starts = np.append(0, ends[:-1] + 1)
+        first, size = np.empty(len(words), np.int64), np.ones(len(words), np.int64)
+        first[plain] = np.arange(len(single))
+        if not plain.all():
+            first[~plain], size[~plain] = starts + len(single), ends - starts
+        codes = gather(np.append(single, several), first, size)
+        sizes = self.counts[codes]
+        summed = np.append(0, np.cumsum(sizes))
+        return gather(self.ids, self.starts[codes], sizes), np.diff(summed[np.append(0, np.cumsum(size))])
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and how many each text has."""
         words = Words(column)
+        if not len(words):
+            return np.zeros(0, np.int32), np.zeros(len(column), np.int64)
         at, code = words.distinct()
-        data = words.data.tobytes()
-        raw = [data[a:b] for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist())]
-        if fresh := self.words.missing(set(raw)):
-            self._add(fresh)
-        ids = list(map(self.words.__getitem__, raw))
-        counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), np.int32)
-        if not len(code):
-            return flat, np.zeros(len(column), np.int64)
+        flat, counts = self._words(words.lines(at))
         sizes, starts = counts[code], spans_of(counts)[0]
         summed = np.append(0, np.cumsum(sizes))
         return gather(flat, starts[code], sizes), np.diff(summed[words.first])
@@ -132,7 +167,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, limit: int, keep_i
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer.load(tokenizer_path)
-        for part in slices(batches):
+        for part in slices(batches, limit=2 * SLICE_BYTES):
             flat, counts = tokenizer.encode(part.column("text"))
             begins, ends = spans_of(counts)
             rows: list[tuple] = []
