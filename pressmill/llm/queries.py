@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressmill.llm import bpe, debruijn, grid_join, packing, part_enum, quality, suffix_tree, toxicity, weighted_sampling
+from pressmill.llm import bpe, debruijn, grid_join, licences, packing, part_enum, quality, suffix_tree, toxicity, weighted_sampling
 from pressmill.llm.common import crc_of_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,14 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op7_licence_scan"] = licences.scan_sql()
+
+
 @query
 def op8_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid_join.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
