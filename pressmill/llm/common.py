@@ -16,10 +16,12 @@ from pressmill.session import materialize
 SLICE_BYTES = 2 << 20
 
 
-def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only id (BIGINT) and text, whatever else the table holds."""
+def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              carry: tuple[str, ...] = ()) -> DataFrame:
+    """Only id (BIGINT), text and the named other columns, whatever else the table holds."""
     return docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
-                       F.col(f"`{text_col}`").cast("string").alias("text"))
+                       F.col(f"`{text_col}`").cast("string").alias("text"),
+                       *(F.col(f"`{name}`") for name in carry))
 
 
 def one_per_id(docs: DataFrame) -> DataFrame:
@@ -32,7 +34,8 @@ def one_per_id(docs: DataFrame) -> DataFrame:
     repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     if repeated.isEmpty():
         return docs
-    return docs.groupBy("doc_id").agg(F.min("text").alias("text"))
+    row = F.struct(*(c for c in docs.columns if c != "doc_id"))
+    return docs.groupBy("doc_id").agg(F.min(row).alias("row")).select("doc_id", "row.*")
 
 
 def crc_of_id(column: str = "doc_id") -> Column:

@@ -171,16 +171,17 @@ def _chain(start: np.ndarray, length: np.ndarray, doc: np.ndarray, source: np.nd
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, spans: bool = False,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, n_words, n_removed, kept``: each text without the words that repeat earlier ones.
 
     A word goes if a window over it has the words of a window that starts earlier, in
     a text with a smaller id or in the same text. Windows are those of the input. The
     kept words are joined by one space. With ``spans`` there is also an array of
-    structs ``start, length, source_doc, source_start``, in words.
+    structs ``start, length, source_doc, source_start``, in words. The columns named in
+    ``carry``, ``text`` for the given one, are handed on.
     """
-    docs = one_per_id(documents(docs, id_col, text_col))
-    found = _repeats(docs, window, anchor).groupBy("doc_id").agg(
+    docs = one_per_id(documents(docs, id_col, text_col, tuple(c for c in carry if c != "text")))
+    found = _repeats(docs.select("doc_id", "text"), window, anchor).groupBy("doc_id").agg(
         F.collect_list(F.struct("start", "n", "src_doc", "src_start")).alias("found"))
     kind = pa.struct([(name, pa.int64()) for name in ("start", "length", "source_doc", "source_start")])
 
@@ -215,11 +216,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
                         for a, b in zip(cuts, cuts[1:])]
                 columns.append(pa.array(rows, pa.list_(kind)))
                 names.append("spans")
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays([*columns, *map(part.column, carry)], [*names, *carry])
 
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept string"
     if spans:
         schema += ", spans array<struct<start: bigint, length: bigint, source_doc: bigint, source_start: bigint>>"
+    types = dict(docs.dtypes)
+    schema += "".join(f", `{name}` {types[name]}" for name in carry)
     return docs.join(found, "doc_id", "left").mapInArrow(cut, schema)
 
 
