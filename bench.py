@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pressmill.plans import catalog  # noqa: E402
-from pressmill.session import build_session  # noqa: E402
+from pressmill.session import build_session, clear_stages  # noqa: E402
 
 HEADLINE = (
     "class_profile", "processed_articles", "low_quality", "feature_stats_both",
@@ -48,6 +48,7 @@ def main() -> None:
         "metric": "total_query_seconds", "value": round(sum(seconds.values()), 3),
         "unit": "sec", "queries": seconds, "sf": float(scale) if scale else None,
     }))
+    clear_stages(spark)
     spark.stop()
 
 

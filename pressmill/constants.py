@@ -87,10 +87,13 @@ MARKUP_TAG_PATTERN = r"<[^\n]*?>"
 _NOT_AFTER_WORD = r"(?<![\p{L}\p{N}_])"
 _NOT_BEFORE_WORD = r"(?![\p{L}\p{N}_])"
 _DIGIT = r"\p{Nd}"
-_MONTH = (
-    r"jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|"
-    r"sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
+# Month names and their short forms.
+MONTH_NAMES = (
+    "january", "february", "march", "april", "may", "june", "july", "august", "september",
+    "october", "november", "december",
+    "jan", "feb", "mar", "apr", "jun", "jul", "aug", "sept", "sep", "oct", "nov", "dec",
 )
+_MONTH = "|".join(MONTH_NAMES)
 DATE_PATTERNS = (
     rf"{_NOT_AFTER_WORD}{_DIGIT}{{4}}-{_DIGIT}{{1,2}}-{_DIGIT}{{1,2}}{_NOT_BEFORE_WORD}",
     rf"{_NOT_AFTER_WORD}{_DIGIT}{{1,2}}/{_DIGIT}{{1,2}}/{_DIGIT}{{2,4}}{_NOT_BEFORE_WORD}",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from collections.abc import Iterable, Sequence
 from functools import cache
+from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -119,14 +121,16 @@ def combine_text_and_meta(text: Column | str,
 
 
 @cache
-def _accent_table() -> tuple[str, str]:
-    """Characters with a one-character compatibility base, and combining marks.
+def _accent_table() -> tuple[str, str, dict[str, str]]:
+    """Characters with a one-character compatibility base and combining marks, and others.
 
-    Built from Unicode normalisation; the marks come last, so that ``translate``
-    deletes them.
+    Built from Unicode normalisation over all code points; the marks come last, so
+    that ``translate`` deletes them. The dictionary has the characters whose base is
+    longer (ligatures, fractions, units) or empty. Hangul syllables stay whole: their
+    parts are letters of the same script.
     """
-    accented, base, marks = [], [], []
-    for point in range(0x80, 0x2200):
+    accented, base, marks, longer = [], [], [], {}
+    for point in chain(range(0x80, 0xAC00), range(0xD7A4, 0xD800), range(0xE000, sys.maxunicode + 1)):
         char = chr(point)
         if unicodedata.combining(char):
             marks.append(char)
@@ -137,14 +141,24 @@ def _accent_table() -> tuple[str, str]:
         if len(plain) == 1 and plain != char:
             accented.append(char)
             base.append(plain)
-    return "".join(accented + marks), "".join(base)
+        elif plain != char:
+            longer[char] = plain
+    return "".join(accented + marks), "".join(base), longer
 
 
 def strip_accents(text: Column | str) -> Column:
-    accented, base = _accent_table()
+    """Compatibility form without combining marks, as Unicode normalisation (NFKD) has it."""
+    accented, base, longer = _accent_table()
     text = _col(text)
-    # Translation looks up every character; plain texts are left alone.
-    return F.when(text.rlike(r"[^\x00-\x7f]"), F.translate(text, accented, base)).otherwise(text)
+    # Pair and key marks are no characters of any text that has been decoded.
+    table = F.str_to_map(F.lit("\ufdd0".join(f"{k}\ufdd1{v}" for k, v in longer.items())),
+                         F.lit("\ufdd0"), F.lit("\ufdd1"))
+    spelled = F.array_join(F.transform(
+        F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    several = "[" + "".join(longer) + "]"
+    # Both look up every character; texts that have none of these are left alone.
+    whole = F.when(text.rlike(several), spelled).otherwise(text)
+    return F.when(text.rlike(r"[^\x00-\x7f]"), F.translate(whole, accented, base)).otherwise(text)
 
 
 def vectorizer_tokens(text: Column | str, pattern: str = C.WORD_TOKENS,

@@ -47,13 +47,15 @@ def nb_fit(train: DataFrame, fields: Sequence[Field], alpha: float = NB_ALPHA,
     n0, n1 = train.agg(*[F.count_if(F.col(label) == c) for c in (0, 1)]).first()
     if vocabulary is None:
         vocabulary = fit_vocabulary(train, fields, n0 + n1, id_column)
-    weights = term_weights(train, vocabulary, fields, (id_column, label), id_column, ["idf"])
+    weights = term_weights(train, vocabulary, fields, (id_column, label), id_column)
+    seen = weights.groupBy("field", "term").agg(
+        *[F.sum(F.when(F.col(label) == c, F.col("weight"))).alias(f"s{c}") for c in (0, 1)]
+    )
+    # A term of a given vocabulary counts also if no training row has it.
     sums = materialize(
-        weights.groupBy("field", "term").agg(
-            # The IDF is the same in every row of a term.
-            F.max("idf").alias("idf"),
-            *[F.coalesce(F.sum(F.when(F.col(label) == c, F.col("weight"))), F.lit(0.0))
-              .alias(f"s{c}") for c in (0, 1)],
+        vocabulary.select("field", "term", "idf").join(seen, ["field", "term"], "left").select(
+            "field", "term", "idf",
+            *[F.coalesce(f"s{c}", F.lit(0.0)).alias(f"s{c}") for c in (0, 1)],
         ),
         "nb-sums",
     )

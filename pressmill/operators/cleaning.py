@@ -64,14 +64,15 @@ def quality_report(df: DataFrame, content: str = "content",
 
     Reasons: ``boilerplate``, ``tokens``, ``stemmed_boilerplate`` or NULL.
     """
-    flagged = (
+    tested = pin(
         with_tokens(df.select("id", content), content, stop_words)
-        .withColumn("joined", text.join_tokens("tokens"))
-        .select("id", quality.has_phrase("joined").alias("boilerplate"),
-                quality.fails_token_quality("kept").alias("bad_tokens"),
-                stem_text(text.join_tokens("kept")).alias("stemmed"))
+        .withColumn("joined", text.join_tokens("tokens")),
+        boilerplate=quality.has_phrase("joined"), bad_tokens=quality.fails_token_quality("kept"),
     )
-    flagged = pin(flagged, stemmed=F.col("stemmed"))
+    # Only texts that pass the cheap tests go to the stemmer.
+    passed = F.when(~F.col("boilerplate") & ~F.col("bad_tokens"), text.join_tokens("kept"))
+    flagged = pin(tested.select("id", "boilerplate", "bad_tokens", passed.alias("joined")),
+                  stemmed=stem_text("joined"))
     reason = (
         F.when(F.col("boilerplate"), "boilerplate")
         .when(F.col("bad_tokens"), "tokens")
@@ -83,8 +84,13 @@ def quality_report(df: DataFrame, content: str = "content",
 
 
 def word_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
-    """Frequency of every word. Frequent words combine on the map side."""
-    return df.select(F.explode(tokens).alias("word")).groupBy("word").agg(
+    """Frequency of every word. Frequent words combine on the map side.
+
+    The words are pinned: exploding them would have the optimiser test them first
+    and so make them from the text again for each test.
+    """
+    words = pin(df.select(tokens), _words=F.col(tokens))
+    return words.select(F.explode("_words").alias("word")).groupBy("word").agg(
         F.count(F.lit(1)).alias("count")
     )
 

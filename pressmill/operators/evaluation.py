@@ -24,6 +24,17 @@ def confusion_matrix(predictions: DataFrame, by: Sequence[str] = (), pos_label:
     )
 
 
+def confusion_matrices(predictions: DataFrame, by: Sequence[str] = (), label: str = "label",
+                       prediction: str = "prediction") -> DataFrame:
+    """``by..., pos_label, tp, fp, fn, tn`` for both classes, in one pass."""
+    one = confusion_matrix(predictions, by, 1, label, prediction)
+    cells = ("tp", "fp", "fn", "tn")
+    rows = [F.struct(F.lit(pos).alias("pos_label"), *[
+        F.col(source).alias(name) for source, name in zip(cells if pos else cells[::-1], cells)
+    ]) for pos in (0, 1)]
+    return one.select(*by, F.inline(F.array(*rows)))
+
+
 def confusion_table(predictions: DataFrame, by: Sequence[str] = (),
                     classes: Sequence[int] = (0, 1), label: str = "label",
                     prediction: str = "prediction") -> DataFrame:

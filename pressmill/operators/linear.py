@@ -1,9 +1,8 @@
 """Linear baselines on ``pyspark.ml``: hinge-loss SVM and logistic regression.
 
 The coefficient vector of these estimators lives on the driver and in every
-task, so its length, the vocabulary size, is the one thing that must stay
-bounded. ``max_features`` of a field bounds it; a vocabulary above
-``MAX_COEFFICIENTS`` is refused instead of being cut.
+task, so its length, the vocabulary size, is what ``max_features`` of a field is
+there for. The only limit of the code is that of a vector: positions are 32-bit.
 """
 
 from __future__ import annotations
@@ -19,7 +18,8 @@ from pyspark.errors import AnalysisException
 from pyspark.ml.classification import (
     LinearSVC, LinearSVCModel, LogisticRegression, LogisticRegressionModel,
 )
-from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.common import _py2java
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,9 +32,8 @@ from pressmill.operators.features import (
 from pressmill.session import materialize, stage_path
 
 M = TypeVar("M")
-MAX_COEFFICIENTS = 50_000_000
 _SPARSE = 0
-_PARTITION_BYTES = 8 << 20
+_MAX_POSITIONS = (1 << 31) - 1  # of a vector
 
 
 @dataclass(frozen=True)
@@ -81,10 +80,8 @@ def fit_vectorizer(train: DataFrame, fields: Sequence[Field],
     """Vocabulary of the training documents with column positions."""
     vocabulary = fit_vocabulary(train, fields, id_column=id_column)
     size = vocabulary.count()
-    if size > MAX_COEFFICIENTS:
-        raise ValueError(
-            f"{size} terms do not fit a coefficient vector; set max_features or raise min_df"
-        )
+    if size > _MAX_POSITIONS:
+        raise ValueError(f"{size} terms are more than a vector has positions")
     return Vectorizer(tuple(fields), materialize(index_terms(vocabulary), "term-index"), size)
 
 
@@ -113,8 +110,7 @@ def vectorize(df: DataFrame, vectorizer: Vectorizer, keep: Sequence[str] = ("id"
 
     Optimisers read the vectors many times, so they are written once. Reading
     the written rows back under the vector type builds the vectors without any
-    Python. An optimiser runs a job per step, whose cost for little data is the
-    number of tasks; so no partition is left with less than a few megabytes.
+    Python. How many tasks a step has is up to the reader's settings.
     """
     rows = sparse_rows(df, vectorizer, keep, id_column)
     path = stage_path(df.sparkSession, "vectors")
@@ -122,10 +118,7 @@ def vectorize(df: DataFrame, vectorizer: Vectorizer, keep: Sequence[str] = ("id"
     schema = T.StructType([
         *[rows.schema[c] for c in keep], T.StructField("features", VectorUDT()),
     ])
-    spark = df.sparkSession
-    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
-    # Narrow, and without effect where there are fewer partitions anyway.
-    return spark.read.schema(schema).parquet(path).coalesce(1 + size // _PARTITION_BYTES)
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:
@@ -176,9 +169,89 @@ def predict_probability(model: LogisticRegressionModel, vectors: DataFrame,
     return scored.withColumn("prediction", (F.col("probability") >= threshold).cast("int"))
 
 
+def model_of(spark: SparkSession, coefficients, intercept: float, logistic: bool):
+    """A model with the given coefficients, which ``predict`` takes like a fitted one."""
+    values = _py2java(spark.sparkContext, Vectors.dense(coefficients))
+    classes = spark._jvm.org.apache.spark.ml.classification
+    if logistic:
+        return LogisticRegressionModel(
+            classes.LogisticRegressionModel("given", values, float(intercept)))
+    return LinearSVCModel(classes.LinearSVCModel("given", values, float(intercept)))
+
+
+def certificate(model, train: DataFrame, vectorizer: Vectorizer, loss: str,
+                penalty: float = C.SVM_ALPHA, label: str = "label",
+                id_column: str = "id") -> DataFrame:
+    """Whether a fit is the minimum of its convex objective, from the table of weights.
+
+    ``loss`` is ``hinge`` (balanced class weights) or ``log``. The objective is the mean
+    loss plus ``penalty / 2 * |w|^2``, the intercept being free. One row: ``n_rows``,
+    ``n_terms``; ``stationary``, the directional derivatives along the coefficients,
+    the intercept and a fixed direction vanish (for the log loss the whole gradient is
+    small against that at zero); ``lowest``, no scaled or shifted coefficients have a
+    lower objective.
+    """
+    spark = train.sparkSession
+    coefficients = spark.createDataFrame(
+        [(i, float(w)) for i, w in enumerate(model.coefficients.toArray())], "idx int, w double")
+    terms = materialize(coefficients.withColumn(
+        "d", (F.pmod(F.xxhash64("idx"), F.lit(2001)) - 1000) / 1000.0), "coefficients")
+    weights = materialize(term_weights(train, vectorizer.vocabulary, vectorizer.fields,
+                                       (id_column, label), id_column, ["idx"])
+                          .select(id_column, label, "idx", "weight"), "weights")
+    dots = weights.join(terms, "idx").groupBy(id_column).agg(
+        F.sum(F.col("weight") * F.col("w")).alias("m"), F.sum(F.col("weight") * F.col("d")).alias("e"))
+    rows = train.select(id_column, label).join(dots, id_column, "left").select(
+        id_column, F.col(label).cast("double").alias("y"), F.coalesce("m", F.lit(0.0)).alias("m"),
+        F.coalesce("e", F.lit(0.0)).alias("e"))
+    share = F.lit(1.0)
+    if loss == "hinge":
+        balanced = {r["label"]: r["class_weight"] for r in class_weights(train, label).collect()}
+        share = F.when(F.col("y") == 1, balanced.get(1, 1.0)).otherwise(balanced.get(0, 1.0))
+    rows = materialize(rows.withColumn("share", share), "margins")
+    ww, wd, dd, n_terms = terms.agg(
+        F.sum(F.col("w") * F.col("w")), F.sum(F.col("w") * F.col("d")),
+        F.sum(F.col("d") * F.col("d")), F.count(F.lit(1))).first()
+    b = float(model.intercept)
+    unit = (ww / dd) ** 0.5 if dd else 0.0  # the direction, as long as the coefficients
+    sign = 2 * F.col("y") - 1
+
+    def loss_of(scale: float, along: float, shift: float):
+        margin = sign * (scale * F.col("m") + along * F.col("e") + b + shift)
+        # log(1 + exp(-x)) without overflow
+        value = F.greatest(F.lit(0.0), 1 - margin) if loss == "hinge" else \
+            F.greatest(F.lit(0.0), -margin) + F.log1p(F.exp(-F.abs(margin)))
+        return F.sum(F.col("share") * value) / F.sum("share")
+
+    moves = [(1.0, 0.0, 0.0)] + [
+        (1.0 + x, y * unit, z * max(abs(b), 0.1))
+        for s in (-1, 1) for x, y, z in ((0.1 * s, 0, 0), (0.3 * s, 0, 0), (0, 0.1 * s, 0), (0, 0, 0.3 * s),
+                                         (0.1 * s, 0.1, 0.1), (-0.1, 0.1 * s, 0.1))]
+    small = [(1 + 1e-3, 0, 0), (1 - 1e-3, 0, 0), (1, 0, 1e-3), (1, 0, -1e-3), (1, 1e-3 * unit, 0), (1, -1e-3 * unit, 0)]
+    losses = rows.agg(F.count(F.lit(1)), *[loss_of(*move) for move in (*moves, *small)]).first()
+    values = [value + penalty / 2 * (s * s * ww + 2 * s * a * wd + a * a * dd)
+              for value, (s, a, _) in zip(losses[1:], (*moves, *small))]
+    best, at_zero = values[0], 1.0 if loss == "hinge" else 0.6931471805599453
+    lowest = all(value >= best - 1e-6 for value in values[1:len(moves)]) and best < at_zero
+    # no small step gains more than the solver's tolerance
+    stationary = all(value >= best - 1e-5 for value in values[len(moves):])
+    if loss == "log":
+        slope = 1 / (1 + F.exp(-(F.col("m") + b))) - F.col("y")
+        residuals = weights.join(rows.select(id_column, slope.alias("r"), (0.5 - F.col("y")).alias("r0")), id_column)
+        gradient = residuals.groupBy("idx").agg(
+            (F.sum(F.col("weight") * F.col("r")) / losses[0]).alias("g"),
+            (F.sum(F.col("weight") * F.col("r0")) / losses[0]).alias("g0")).join(terms, "idx")
+        now, zero = gradient.agg(
+            F.sum((F.col("g") + penalty * F.col("w")) ** 2), F.sum(F.col("g0") ** 2)).first()
+        residual = rows.agg(F.abs(F.avg(slope))).first()[0]
+        stationary = stationary and now <= 1e-4 * zero and residual < 1e-3
+    return spark.createDataFrame([(losses[0], n_terms, stationary, lowest)],
+                                 "n_rows bigint, n_terms bigint, stationary boolean, lowest boolean")
+
+
 @dataclass(frozen=True)
 class GridResult:
-    model: LogisticRegressionModel
+    model: LogisticRegressionModel | None
     best_c: float
     scores: tuple[tuple[float, float], ...]
 
@@ -187,24 +260,33 @@ class GridResult:
         return spark.createDataFrame(rows, "position int, c double, f1 double, chosen boolean")
 
 
+def validation_f1(predictions: DataFrame, pos_label: int = 1, label: str = "label") -> float:
+    """F1 of one table of labels and predictions."""
+    return metrics(confusion_matrix(predictions, pos_label=pos_label, label=label)).first()["f1"]
+
+
+def choose(scores: Sequence[tuple[float, float]], models: Sequence | None = None) -> GridResult:
+    """The candidate ``(c, f1)`` with the highest F1; the first wins a tie."""
+    best = max(range(len(scores)), key=lambda i: scores[i][1])
+    return GridResult(models[best] if models else None, float(scores[best][0]), tuple(scores))
+
+
 def logistic_grid(train: DataFrame, validation: DataFrame,
                   grid: Sequence[float] = C.C_GRID, max_iter: int = C.LOGISTIC_MAX_ITER,
-                  pos_label: int = 1, label: str = "label", parallelism: int = 4) -> GridResult:
+                  pos_label: int = 1, label: str = "label", parallelism: int = 1) -> GridResult:
     """Fit every ``c`` and keep the best validation F1; the first wins a tie.
 
-    ``parallelism`` candidates are fitted at a time: the driver only waits for
-    jobs, and small candidates alone would not fill a cluster.
+    ``parallelism`` candidates are fitted at a time. Each keeps its own copy of the
+    training rows in memory, so more than one is for rows that fit several times over.
     """
     rows = train.count()
 
     @inheritable_thread_target(train.sparkSession)
     def fit(c: float) -> tuple[float, float, LogisticRegressionModel]:
         model = fit_logistic(train, c, rows, max_iter, label)
-        scored = predict(model, validation, (label,))
-        row = metrics(confusion_matrix(scored, pos_label=pos_label, label=label)).first()
-        return float(c), row["f1"], model
+        scored = predict_probability(model, validation, (label,))
+        return float(c), validation_f1(scored, pos_label, label), model
 
     with ThreadPool(max(1, min(parallelism, len(grid)))) as pool:
         candidates = pool.map(fit, grid)
-    best = max(candidates, key=lambda candidate: candidate[1])
-    return GridResult(best[2], best[0], tuple((c, f1) for c, f1, _ in candidates))
+    return choose([(c, f1) for c, f1, _ in candidates], [model for *_, model in candidates])

@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 from pressmill import constants as C
 from pressmill.functions import text
 from pressmill.functions.numeric import safe_divide
+from pressmill.session import materialize
 
 FEATURES = ("token", "url", "date", "number")
 
@@ -207,9 +208,17 @@ def top_rows(features: DataFrame, feature: str, k: int = C.OUTLIER_ROWS) -> Data
     )
 
 
-def sample_rows(features: DataFrame, k: int = C.SAMPLE_ROWS) -> DataFrame:
+def first_articles(df: DataFrame, content: str = "content", k: int = C.SAMPLE_ROWS) -> DataFrame:
+    """The ``k`` articles with the lowest ids among those with a letter, as they came.
+
+    Written once, so that features and stems are made for these rows only.
+    """
+    return materialize(df.where(has_letters(content)).orderBy("id").limit(k), "first-articles")
+
+
+def sample_rows(df: DataFrame, content: str = "content", k: int = C.SAMPLE_ROWS) -> DataFrame:
     """The first ``k`` analysed articles with all features."""
-    return features.orderBy("id").limit(k)
+    return analyzed(first_articles(df, content, k), content)
 
 
 def top_words(counts: DataFrame, k: int = C.TOP_WORDS) -> DataFrame:

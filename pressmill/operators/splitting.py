@@ -32,7 +32,8 @@ def stratified_split(df: DataFrame, stratum: str = "type", id_column: str = "id"
     """Add ``split``: in every class 80 % train, 10 % val, 10 % test.
 
     Same result as ranking each class by hash and cutting at
-    ``rank * 10 <= n * 8`` and ``rank * 10 <= n * 9``, but no class is sorted.
+    ``rank * 10 <= n * 8`` and ``rank * 10 <= n * 9``, but no class is sorted. ``df``
+    is read three times: write it first if it is costly to make.
     """
     cuts = hash_cuts(df, id_column, [stratum],
                      {"_train": _tenths(8), "_val": _tenths(9)}, seed)

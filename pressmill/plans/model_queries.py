@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,23 +16,14 @@ from pressmill.plans import views as V
 from pressmill.plans.registry import query, r6, rounded
 from pressmill.session import materialize
 
-# Unigrams of two or more letters; bounds fitted to the size of the test tables.
-NB_FIELD = features.Field("text", "content", pattern=C.PLAIN_TOKENS, min_df=2,
-                          max_features=5_000, sublinear=True)
-META_FIELD = features.Field("text", "combined_text", min_df=5, max_df=0.95,
-                            max_features=10_000, sublinear=True)
-BIGRAM_FIELD = features.Field(
-    "text", "content", pattern=C.LETTER_TOKENS, accents=False, stop_words=C.STOP_WORDS,
-    ngrams=(1, 2), min_df=5, max_df=0.9, max_features=2_000, sublinear=True)
-BLOCK_FIELDS = (
-    features.Field("text", "content", stop_words=C.STOP_WORDS, ngrams=(1, 2), min_df=2,
-                   max_df=0.95),
-    features.Field("domain", "domain"),
-    features.Field("title", "title", stop_words=C.STOP_WORDS, ngrams=(1, 2), min_df=2,
-                   max_df=0.95),
-    features.Field("authors", "authors", stop_words=C.STOP_WORDS, ngrams=(1, 2), min_df=2,
-                   max_df=0.95),
-)
+# The settings of the baselines, over the text that the test tables have.
+NB_FIELD = replace(features.NB_TEXT, column="content")
+META_FIELD = features.NB_COMBINED
+BIGRAM_FIELD = replace(features.SVM_TEXT, column="content")
+TITLE_FIELD = features.SVM_TITLE
+BLOCK_FIELDS = tuple(
+    replace(f, column="content") if f.name == "text" else f for f in features.LOGISTIC_FIELDS)
+META = ("content", *C.METADATA_COLUMNS)
 
 
 def train_rows(df: DataFrame) -> DataFrame:
@@ -148,7 +141,7 @@ def _nb_sql(source: str, p: str = "", alpha: float = C.NB_ALPHA) -> list[str]:
     ]
 
 
-def _metric_sql(source: str, by: str = "split", pos: int = 0) -> str:
+def metric_sql(source: str, by: str = "split", pos: int = 0) -> str:
     hit, miss = f"= {pos}", f"<> {pos}"
     return f"""SELECT {by},
     round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy,
@@ -222,7 +215,7 @@ def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     + """SELECT id, field, count(*) AS n_terms, round(sum(weight), 6) AS total,
     round(max(weight), 6) AS largest FROM w GROUP BY id, field""")
 def tfidf_multi_field(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = V.labelled(spark, sf_dir)
+    rows = V.labelled(spark, sf_dir, columns=META)
     vocabulary = features.fit_vocabulary(train_rows(rows), BLOCK_FIELDS)
     weights = features.term_weights(rows, vocabulary, BLOCK_FIELDS)
     return weights.groupBy("id", "field").agg(
@@ -261,21 +254,18 @@ def nb_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(bayes.nb_predict(rows, model, ["id", "split", "label"]))
 
 
-@query("nb_metrics", V.with_sql(*_NB) + _metric_sql("scored"))
+@query("nb_metrics", V.with_sql(*_NB) + metric_sql("scored"))
 def nb_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, model = naive_bayes_text(spark, sf_dir)
     scored = bayes.nb_predict(rows, model, ["id", "split", "label"])
     return rounded(evaluation.metrics_by_split(scored))
 
 
-# Half of the training rows, all of the others, with the metadata in front.
+# The metadata in front of the text.
 def _combined_sql(columns) -> str:
     front = " || ".join(f"coalesce({c}, '') || ' '" for c in columns)
     return f"""combined AS (
-  SELECT id, split, label, {front} || content AS combined_text
-  FROM (SELECT *, row_number() OVER (PARTITION BY split ORDER BY md5('42:' || id), id) AS r,
-          count(*) OVER (PARTITION BY split) AS c FROM labelled)
-  WHERE split <> 'train' OR r <= round_even(0.5 * c, 0))"""
+  SELECT id, split, label, {front} || content AS combined_text FROM labelled)"""
 
 
 def _nb_meta_sql(columns) -> list[str]:
@@ -291,35 +281,41 @@ _SCORES_SQL = """SELECT id, split, CAST(label AS BIGINT) AS label, round(score,
   CAST(prediction AS BIGINT) AS prediction FROM m_scored"""
 
 
-def naive_bayes_meta(rows: DataFrame, columns=C.METADATA_COLUMNS) -> DataFrame:
-    """Scores of the text-plus-metadata model trained on half of the rows."""
+def naive_bayes_meta(rows: DataFrame, columns=C.METADATA_COLUMNS,
+                     train_fraction: float = 1.0) -> DataFrame:
+    """Scores of all rows by the text-plus-metadata model.
+
+    ``train_fraction`` of the training rows are learnt from; all by default.
+    """
     combined = rows.withColumn("combined_text", text.combine_text_and_meta("content", columns)) \
         .select("id", "split", "label", "combined_text")
-    half = materialize(random_sample(train_rows(combined), 0.5), "half")
-    model = bayes.nb_fit(half, [META_FIELD])
-    scored = half.unionByName(combined.where(F.col("split") != "train"))
-    return bayes.nb_predict(scored, model, ["id", "split", "label"])
+    learnt = train_rows(combined)
+    if train_fraction < 1:
+        learnt = materialize(random_sample(learnt, train_fraction), "learnt")
+    model = bayes.nb_fit(learnt, [META_FIELD])
+    return bayes.nb_predict(combined, model, ["id", "split", "label"])
 
 
 @query("nb_metadata", V.with_sql(*_L, *_NB_META) + _SCORES_SQL)
 def nb_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(naive_bayes_meta(V.labelled(spark, sf_dir)))
+    return rounded(naive_bayes_meta(V.labelled(spark, sf_dir, columns=META)))
 
 
 @query("nb_domain", V.with_sql(*_L, *_nb_meta_sql(["domain"])) + _SCORES_SQL)
 def nb_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with the domain as the only metadata."""
-    return rounded(naive_bayes_meta(V.labelled(spark, sf_dir), ["domain"]))
+    return rounded(naive_bayes_meta(V.labelled(spark, sf_dir, columns=META), ["domain"]))
 
 
 @query("model_comparison", V.with_sql(
-    *_NB, *_NB_META, f"a AS ({_metric_sql('scored')})", f"b AS ({_metric_sql('m_scored')})",
+    *_NB, *_NB_META, f"a AS ({metric_sql('scored')})", f"b AS ({metric_sql('m_scored')})",
     "la AS (UNPIVOT a ON accuracy, precision, recall, f1 INTO NAME metric VALUE baseline)",
     "lb AS (UNPIVOT b ON accuracy, precision, recall, f1 INTO NAME metric VALUE candidate)")
     + """SELECT split, metric, baseline, candidate, round(candidate - baseline, 6) AS delta
     FROM la JOIN lb USING (split, metric)""")
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, model = naive_bayes_text(spark, sf_dir)
+    rows = V.labelled(spark, sf_dir, columns=META)
+    model = bayes.nb_fit(train_rows(rows), [NB_FIELD])
     plain = bayes.nb_predict(rows, model, ["id", "split", "label"])
     meta = naive_bayes_meta(rows)
     return rounded(evaluation.compare_models(
@@ -344,7 +340,7 @@ _FOREIGN = [
 ]
 
 
-@query("nb_cross_domain", V.with_sql(*_NB, *_FOREIGN) + _metric_sql("both_scored"))
+@query("nb_cross_domain", V.with_sql(*_NB, *_FOREIGN) + metric_sql("both_scored"))
 def nb_cross_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trained on articles; scored on all splits and, unchanged, on statements."""
     rows, model = naive_bayes_text(spark, sf_dir)
@@ -372,12 +368,7 @@ _P = V.with_sql(V.PREDICTIONS)
     count(*) FILTER (label <> {pos} AND prediction <> {pos}) AS tn
     FROM predictions GROUP BY split""" for pos in (0, 1)))
 def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    guesses = V.predictions(spark, sf_dir)
-    parts = [
-        evaluation.confusion_matrix(guesses, ["split"], pos).withColumn("pos_label", F.lit(pos))
-        for pos in (0, 1)
-    ]
-    return rounded(parts[0].unionByName(parts[1]))
+    return rounded(evaluation.confusion_matrices(V.predictions(spark, sf_dir), ["split"]))
 
 
 @query("confusion_table", _P + """SELECT split, CAST(label AS BIGINT) AS label,
@@ -387,15 +378,11 @@ def confusion_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(evaluation.confusion_table(V.predictions(spark, sf_dir), ["split"]))
 
 
-@query("metrics_by_split", _P + f"""SELECT *, 0 AS pos_label FROM ({_metric_sql('predictions')})
-  UNION ALL SELECT *, 1 FROM ({_metric_sql('predictions', pos=1)})""")
+@query("metrics_by_split", _P + f"""SELECT *, 0 AS pos_label FROM ({metric_sql('predictions')})
+  UNION ALL SELECT *, 1 FROM ({metric_sql('predictions', pos=1)})""")
 def metrics_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    guesses = V.predictions(spark, sf_dir)
-    parts = [
-        evaluation.metrics_by_split(guesses, pos).withColumn("pos_label", F.lit(pos))
-        for pos in (0, 1)
-    ]
-    return rounded(parts[0].unionByName(parts[1]))
+    both = evaluation.confusion_matrices(V.predictions(spark, sf_dir), ["split"])
+    return rounded(evaluation.metrics(both, ["split", "pos_label"]))
 
 
 @query("classification_report", _P + """, c AS (
@@ -423,7 +410,7 @@ def classification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("best_candidate", V.with_sql(
     V.PREDICTIONS, "folds AS (SELECT id % 5 AS fold, label, prediction FROM predictions)",
-    f"m AS ({_metric_sql('folds', 'fold', 1)})")
+    f"m AS ({metric_sql('folds', 'fold', 1)})")
     + "SELECT fold, f1 FROM m ORDER BY f1 DESC, fold LIMIT 1")
 def best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each fold of the predictions stands for one candidate."""

@@ -11,6 +11,7 @@ from pressmill.operators import cleaning, profile
 from pressmill.operators.dedup import duplicate_stats
 from pressmill.plans import views as V
 from pressmill.plans.registry import query, rounded
+from pressmill.session import materialize
 
 _A = V.with_sql(V.ARTICLES)
 _F = V.with_sql(V.ARTICLES, V.FEATURES)
@@ -180,7 +181,7 @@ def word_freq_nostop(spark: SparkSession, sf_dir: str) -> DataFrame:
   UNION ALL
   (SELECT 'no_stop', * FROM counts WHERE {_NOT_STOP} ORDER BY "count" DESC, word LIMIT 100)""")
 def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = _word_counts(spark, sf_dir)
+    counts = materialize(_word_counts(spark, sf_dir), "word-counts")
     raw = profile.top_words(counts).withColumn("variant", F.lit("raw"))
     kept = profile.top_words(cleaning.drop_stopword_rows(counts))
     return raw.unionByName(kept.withColumn("variant", F.lit("no_stop")))
@@ -301,4 +302,4 @@ for _name, _feature in (("top_url_rows", "url"), ("top_date_rows", "date"),
 @query("sample_rows", f"""{_F} SELECT id, type, title, domain, url, content, token_count,
   url_count, date_count, number_count FROM features ORDER BY id LIMIT 1000""")
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.sample_rows(_features(spark, sf_dir))
+    return profile.sample_rows(V.articles(spark, sf_dir))

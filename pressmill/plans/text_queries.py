@@ -78,17 +78,16 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", text.preview(text.clean_text("content")).alias("preview"))
 
 
-@query("clean_statement", f"""{V.with_sql(V.CLAIMS, V.CLAIM_ARTICLES)}
-  SELECT id, content AS statement FROM claim_articles""")
+@query("clean_statement", f"""{V.with_sql(V.CLAIMS)}
+  SELECT id, {V.STATEMENT_SQL} AS statement FROM claims""")
 def clean_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.claims(spark, sf_dir).select(
         "id", text.clean_statement("statement").alias("statement"))
 
 
 @query("clean_statement_markup", f"""{V.with_sql(
-    'claims AS (SELECT page_id AS id, NULL AS label, html AS statement, NULL AS subject, '
-    'NULL AS speaker FROM pages)', V.CLAIM_ARTICLES)}
-  SELECT id, content AS statement FROM claim_articles""")
+    'claims AS (SELECT page_id AS id, html AS statement FROM pages)')}
+  SELECT id, {V.STATEMENT_SQL} AS statement FROM claims""")
 def clean_statement_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("id"), text.clean_statement("html").alias("statement"))

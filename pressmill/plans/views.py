@@ -14,16 +14,10 @@ from pressmill.functions import labels, text
 from pressmill.operators.splitting import stratified_split
 from pressmill.schemas import TABLES
 from pressmill.session import materialize
-from pressmill.sources.tables import spread
-
-
-# Tables of long texts, with the key their rows are spread by.
-_TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    scan = spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
-    return spread(scan, _TEXT_TABLES[name]) if name in _TEXT_TABLES else scan
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _author(id_column: str) -> Column:
@@ -98,25 +92,27 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def claim_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statements in the shape of processed articles; no publisher is known."""
+    """Statements, as they are, in the shape of processed articles; no publisher is known."""
     source = claims(spark, sf_dir)
     return source.select(
         "id", F.col("label").alias("claim_label"),
-        text.clean_statement("statement").alias("content"),
+        text.fill_text("statement").alias("content"),
         F.lit("").alias("domain"), text.fill_text("subject").alias("title"),
         text.fill_text("speaker").alias("authors"),
     )
 
 
-def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Articles with a strict binary label, split 80/10/10 within each label.
+def labelled(spark: SparkSession, sf_dir: str, label: Column | None = None,
+             columns: tuple[str, ...] = ("content",)) -> DataFrame:
+    """Articles with a binary label, the strict one by default, split 80/10/10 within each.
 
-    The split is materialised: fitting and scoring read it several times.
+    The split is written with the columns that are asked for: fitting and scoring
+    read it several times.
     """
-    mapped = articles(spark, sf_dir).withColumn("label", labels.map_label_strict("type")) \
-        .where(F.col("label").isNotNull())
-    base = materialize(mapped, "labelled")
-    return stratified_split(base, "label")
+    mapped = articles(spark, sf_dir).withColumn(
+        "label", labels.map_label_strict("type") if label is None else label)
+    rows = mapped.where(F.col("label").isNotNull()).select("id", "label", *columns)
+    return materialize(stratified_split(rows, "label"), "labelled")
 
 
 # --- SQL twins ---------------------------------------------------------------
@@ -195,23 +191,21 @@ PREDICTIONS = """predictions AS (
   SELECT doc_id AS id, CASE WHEN doc_id % 5 = 0 THEN 'val' ELSE 'test' END AS split,
     1 - quality AS label, toxic AS prediction FROM labels)"""
 
-_STATEMENT_SQL = clean_sql(
+STATEMENT_SQL = clean_sql(
     f"regexp_replace(regexp_replace(lower(statement), 'http[^{WS}]+|www\\.[^{WS}]+', ' ', 'g'), "
     r"'<[^\n]*?>', ' ', 'g')"
 )
 CLAIM_ARTICLES = f"""claim_articles AS (
-  SELECT id, label AS claim_label, {_STATEMENT_SQL} AS content, '' AS domain,
+  SELECT id, label AS claim_label, coalesce(statement, '') AS content, '' AS domain,
     coalesce(subject, '') AS title, coalesce(speaker, '') AS authors FROM claims)"""
 
 # Letters outside ASCII count as word characters, but RE2's \b does not know
 # them; a stand-in letter that starts no month name makes the borders agree.
 _FOLDED = f"regexp_replace({clean_sql('content')}, '[À-ÖØ-öø-ɏ]', 'q', 'g')"
-_MONTHS = ("jan january feb february mar march apr april may jun june jul july aug august "
-           "sep sept september oct october nov november dec december").split()
 _DATES = (
     r"\b\d{4}-\d{1,2}-\d{1,2}\b", r"\b\d{1,2}/\d{1,2}/\d{2,4}\b",
     r"\b\d{1,2}-\d{1,2}-\d{2,4}\b",
-    rf"(?i)\b(?:{'|'.join(_MONTHS)})\s+\d{{1,2}}(?:,\s*\d{{4}})?\b",
+    rf"(?i)\b(?:{'|'.join(C.MONTH_NAMES)})\s+\d{{1,2}}(?:,\s*\d{{4}})?\b",
 )
 
 
@@ -231,14 +225,23 @@ FEATURES = f"""features AS (
     {URLS_SQL} AS url_count, {DATES_SQL} AS date_count, {NUMBERS_SQL} AS number_count
   FROM articles WHERE len({tokens_sql('content')}) > 0)"""
 
-LABELLED = f"""labelled AS (
+def labelled_sql(label: str, source: str = "articles", stratum: str = "label") -> str:
+    """``labelled``: rows of ``source`` with a label and their split within ``stratum``."""
+    return f"""labelled AS (
   SELECT *, CASE WHEN rn * 10 <= n * 8 THEN 'train' WHEN rn * 10 <= n * 9 THEN 'val'
                  ELSE 'test' END AS split
-  FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || id), id) AS rn,
-               count(*) OVER (PARTITION BY label) AS n
-        FROM (SELECT *, {strict_sql('type')} AS label FROM articles)
+  FROM (SELECT *, row_number() OVER (PARTITION BY {stratum} ORDER BY md5('42:' || id), id) AS rn,
+               count(*) OVER (PARTITION BY {stratum}) AS n
+        FROM (SELECT *, {label} AS label FROM {source})
         WHERE label IS NOT NULL))"""
 
 
+def normalized_sql(x: str, fake: int = 1) -> str:
+    return strict_sql(f"lower({strip_sql(x)})", fake)
+
+
+LABELLED = labelled_sql(strict_sql("type"))
+
+
 def with_sql(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"

@@ -32,19 +32,25 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    atexit.register(_clear_if_running, spark)
+    return spark
 
 
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    Only with a local master it may be a folder of this machine, and a temporary one
+    if none is named. A session that doesn't tell its master counts as a cluster.
     """
     global _local_root
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    local = (spark.conf.get("spark.master", None) or "").startswith("local")
     if configured:
+        if configured.startswith("file:") and not local:
+            raise RuntimeError(f"executors do not share {configured}; name a folder they do")
         return configured
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="pressmill-")
@@ -52,10 +58,28 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root
 
 
+def _stage_folder(spark: SparkSession) -> str:
+    return os.path.join(shared_root(spark), f"pressmill-{spark.conf.get('spark.app.id', 'app')}")
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared root, grouped by application for clean-up."""
-    app = spark.conf.get("spark.app.id", "app")
-    return os.path.join(shared_root(spark), f"pressmill-{app}", f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(_stage_folder(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application.
+
+    Call it when no DataFrame of the library will be read any more. Sessions from
+    ``build_session`` that are still running when Python ends do it by themselves.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_stage_folder(spark))
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def _clear_if_running(spark: SparkSession) -> None:
+    if SparkSession.getActiveSession() is not None and spark.sparkContext._jsc is not None:
+        clear_stages(spark)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -98,6 +98,8 @@ def write_profile(df: DataFrame, path: str, content: str = "content") -> list[st
 def write_evaluation(predictions: DataFrame, path: str, by: tuple[str, ...] = ("split",),
                      pos_label: int = 0, **settings: object) -> None:
     """Metrics, confusion matrix and run settings of a prediction table."""
+    # Predictions are made when they are read; here three reports read them.
+    predictions = materialize(predictions.select(*by, "label", "prediction"), "predictions")
     scored = metrics(confusion_matrix(predictions, by, pos_label), by)
     _write_report(scored, f"{path}/metrics")
     _write_report(confusion_table(predictions, by), f"{path}/confusion_matrix")

@@ -20,47 +20,55 @@ from pressmill import schemas
 _EXTRA = "_extra_field"
 
 
-def _read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
-              multiline: bool, **options) -> DataFrame:
-    """CSV where rows with too many fields are dropped and short rows padded.
+def csv_schema(schema: T.StructType) -> T.StructType:
+    """``schema`` and one more field, which only a row with too many fields fills."""
+    return T.StructType([*schema.fields, T.StructField(_EXTRA, T.StringType())])
+
+
+def csv_options(multiline: bool = True, **options: object) -> dict[str, object]:
+    """Reader options for quoted fields; columns are taken by position."""
+    return {"multiLine": multiline, "quote": '"', "escape": '"', "mode": "PERMISSIVE",
+            "enforceSchema": True, **options}
 
-    The header decides nothing: columns are taken by position. An extra field
-    that is empty cannot be told from a missing one, so such a row stays.
-    """
-    padded = T.StructType([*schema.fields, T.StructField(_EXTRA, T.StringType())])
-    table = (
-        spark.read.schema(padded)
-        .options(multiLine=multiline, quote='"', escape='"', mode="PERMISSIVE",
-                 enforceSchema=True, **options)
-        .csv(list(path) if not isinstance(path, str) else path)
-    )
-    return table.where(F.col(_EXTRA).isNull()).drop(_EXTRA)
 
+def sound_rows(table: DataFrame) -> DataFrame:
+    """Rows without surplus field, without the bytes that could not be decoded.
 
-def _without_undecodable(df: DataFrame) -> DataFrame:
-    """Undecodable bytes arrive as U+FFFD; leave them out."""
-    return df.select(*[
+    An extra field that is empty cannot be told from a missing one, so such a row
+    stays. Short rows are padded. Undecodable bytes arrive as U+FFFD.
+    """
+    return table.where(F.col(_EXTRA).isNull()).drop(_EXTRA).select(*[
         F.translate(c, "�", "").alias(c) if t == "string" else F.col(c)
-        for c, t in df.dtypes
+        for c, t in table.dtypes if c != _EXTRA
     ])
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Give every core a share of a scan that has fewer splits than cores.
+def _read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
+              multiline: bool, **options) -> DataFrame:
+    """CSV where rows with too many fields are dropped and short rows padded."""
+    return sound_rows(
+        spark.read.schema(csv_schema(schema)).options(**csv_options(multiline, **options))
+        .csv(list(path) if not isinstance(path, str) else path)
+    )
 
-    A file with a single row group, or a multi-line CSV file, is one split
-    however long its texts are. With more splits than cores, as in any large
-    corpus, the scan is returned as it is and nothing is shuffled.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores, key)
+
+def csv_header(spark: SparkSession, path: str | Sequence[str], multiline: bool = True) -> list[str]:
+    """Column names of CSV files, from the first record of the first one."""
+    options = csv_options(multiline, header=True, inferSchema=False)
+    return spark.read.options(**options).csv(path if isinstance(path, str) else list(path)).columns
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV file, from its first record."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+def _without_headers(table: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Leave out the header of every file; fail on one that has the names in another order."""
+    row = F.array(*[F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in names])
+    wanted, in_order = F.array(*map(F.lit, names)), F.array(*map(F.lit, sorted(names)))
+    another = F.raise_error(F.concat(
+        F.lit("a file has its columns in another order: "), F.array_join(row, ",")))
+    # Hardly any row has a column name in its first field.
+    maybe = row[0].isin(list(names))
+    verdict = F.when(~maybe, True).when(row == wanted, False) \
+        .when(F.array_sort(row) == in_order, another.cast("boolean")).otherwise(True)
+    return table.where(verdict)
 
 
 def read_articles_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
@@ -68,12 +76,13 @@ def read_articles_csv(spark: SparkSession, path: str, columns: Sequence[str] | N
                       multiline: bool = True) -> DataFrame:
     """Articles from CSV with a header line; all columns are strings.
 
-    ``header`` states the file's column order; otherwise the first record tells.
-    ``columns`` selects some of them.
+    ``header`` states the files' column order; otherwise the first record tells.
+    ``columns`` selects some of them. With ``multiline`` each file is one task: cut a
+    very large one into many first, or, if no field spans lines, pass ``False``.
     """
-    names = list(header or csv_header(spark, path))
+    names = list(header or csv_header(spark, path, multiline))
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    table = _without_undecodable(_read_csv(spark, path, schema, multiline, header=True))
+    table = _without_headers(_read_csv(spark, path, schema, multiline, header=False), names)
     return table.select(*columns) if columns else table
 
 

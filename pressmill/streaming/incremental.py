@@ -11,16 +11,21 @@ from pyspark.sql.streaming import StreamingQuery
 from pressmill import constants as C
 from pressmill import schemas
 from pressmill.operators.cleaning import processed_articles
+from pressmill.sources.tables import csv_options, csv_schema, sound_rows
 
 
 def article_stream(spark: SparkSession, path: str, schema: T.StructType = schemas.ARTICLE,
                    fmt: str = "parquet", files_per_batch: int | None = None) -> DataFrame:
-    """Stream over the files of a directory; CSV files carry a header line."""
-    reader = spark.readStream.schema(schema).format(fmt)
+    """Stream over the files of a directory; CSV files carry a header line.
+
+    CSV rows pass the same tests as in the batch reader.
+    """
+    csv = fmt == "csv"
+    reader = spark.readStream.schema(csv_schema(schema) if csv else schema).format(fmt)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if fmt == "csv":
-        reader = reader.options(header=True, multiLine=True, quote='"', escape='"')
+    if csv:
+        return sound_rows(reader.options(**csv_options(header=True)).load(path))
     return reader.load(path)
 
 

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pressmill.session import build_session  # noqa: E402
+from pressmill.session import build_session, clear_stages  # noqa: E402
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -15,6 +15,7 @@ def spark():
     session = build_session("local[4]", 4, spark__driver__memory="4g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_stages(session)
     session.stop()
 
 

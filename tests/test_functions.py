@@ -159,3 +159,13 @@ def test_claim_labels(spark):
 def test_safe_divide(evaluate):
     assert evaluate(v=numeric.safe_divide(F.lit(1), F.lit(0))) == 0.0
     assert evaluate(v=numeric.reduction_percent(F.lit(8), F.lit(6))) == 25.0
+
+
+def test_accents_of_any_script(evaluate):
+    text_in = "oﬃce ＡＢＣ café ẛ̣ ① ㎡ \U0001d400 İώ ½"
+    import unicodedata
+
+    plain = "".join(c for c in unicodedata.normalize("NFKD", text_in) if not unicodedata.combining(c))
+    assert evaluate(x=text.strip_accents(F.lit(text_in))) == plain
+    assert evaluate(x=text.vectorizer_tokens(F.lit("oﬃce ＡＢＣ café"), "[a-z]{2,}", accents=False)) \
+        == ["office", "abc", "cafe"]

@@ -90,3 +90,32 @@ def test_no_broadcast_hints():
         source = path.read_text()
         assert "F.broadcast(" not in source and ".crossJoin(" not in source
         assert "localCheckpoint" not in source
+
+
+def test_words_are_made_once(rows):
+    from pressmill.functions import text
+
+    counts = cleaning.word_counts(rows.select(text.tokenize_alpha("content").alias("tokens")))
+    assert plan(counts).count("regexp_extract_all") == 1
+
+
+def test_sample_rows_take_the_rows_first(rows):
+    from pressmill.operators import profile
+
+    sampled = plan(profile.sample_rows(rows))
+    assert "rangepartitioning" not in sampled and "first-articles" in sampled
+
+
+def test_only_passing_texts_are_stemmed(rows):
+    report = plan(cleaning.quality_report(rows))
+    stem = report[report.index("ArrowEvalPython"):]
+    assert report.count("ArrowEvalPython") == 1 and "CASE WHEN (NOT boilerplate" in stem
+
+
+def test_given_vocabulary_is_kept(spark):
+    train = spark.createDataFrame([(1, 0, "aa bb"), (2, 1, "bb cc")], "id int, label int, content string")
+    words = spark.createDataFrame(
+        [("text", w, 1, 1, 1.5) for w in ("aa", "bb", "cc", "dd", "ee")],
+        "field string, term string, df bigint, tf bigint, idf double")
+    field = Field("text", "content")
+    assert bayes.nb_fit(train, [field], vocabulary=words).terms.count() == 5

@@ -190,3 +190,49 @@ def test_evaluation_files(spark, tmp_path):
     summary = spark.read.json(str(tmp_path / "e/summary"))
     assert summary.count() == 2 and summary.first()["alpha"] == "0.1"
     assert spark.read.option("header", True).csv(str(tmp_path / "e/confusion_matrix")).count() == 2
+
+
+def test_files_with_another_column_order_fail(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,type,content\n1,fake,one\n")
+    (folder / "b.csv").write_text("id,type,content\n2,hate,two\n")
+    rows = sources.read_articles_csv(spark, str(folder))
+    assert sorted(tuple(r) for r in rows.collect()) == [("1", "fake", "one"), ("2", "hate", "two")]
+    (folder / "c.csv").write_text("type,id,content\nfake,3,three\n")
+    with pytest.raises(Exception, match="another order"):
+        sources.read_articles_csv(spark, str(folder), header=["id", "type", "content"]).collect()
+
+
+def test_csv_stream_keeps_what_the_batch_reader_keeps(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    header = ",".join(schemas.ARTICLE.fieldNames())
+    (folder / "a.csv").write_bytes(
+        header.encode() + b'\n1,fake,"a ""b""\nc",,,,\n2,fake,x,,,,,surplus\n3,fake\n4,fake,\xffy,,,,\n')
+    batch = sources.read_articles_csv(spark, str(folder)).select("id", "content")
+    stream = article_stream(spark, str(folder), fmt="csv").select("id", "content")
+    out = str(tmp_path / "out")
+    stream.writeStream.format("parquet").option("path", out).option(
+        "checkpointLocation", str(tmp_path / "mark")).trigger(availableNow=True).start().awaitTermination()
+    found = sorted(map(tuple, spark.read.parquet(out).collect()), key=str)
+    assert found == sorted(map(tuple, batch.collect()), key=str)
+    assert [r[0] for r in found] == ["1", "3", "4"]
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from pressmill import session
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Session:
+        conf = Conf()
+
+    for conf in ({}, {"spark.master": "spark://x"}, {"spark.master": "yarn", "spark.checkpoint.dir": "file:/tmp/x"}):
+        Session.conf = Conf(conf)
+        with pytest.raises(RuntimeError):
+            session.shared_root(Session)
+    Session.conf = Conf({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:/x"})
+    assert session.shared_root(Session) == "hdfs:/x"
