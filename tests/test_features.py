@@ -212,7 +212,7 @@ def test_model_round_trip(spark, vectors, train, rows, tmp_path):
 
 def test_oversized_vocabulary_is_refused(train, monkeypatch):
     monkeypatch.setattr(linear, "_MAX_POSITIONS", 2)
-    with pytest.raises(ValueError, match="coefficient"):
+    with pytest.raises(ValueError, match="positions"):
         linear.fit_vectorizer(train, [Field("f", "body")])
 
 
