@@ -1,7 +1,8 @@
 """All queries: importing a module registers its queries."""
 
 from pressmill.plans import (  # noqa: F401
-    model_queries, profile_queries, split_queries, stem_queries, text_queries,
+    io_queries, model_queries, pipeline_queries, profile_queries, split_queries, stem_queries,
+    text_queries,
 )
 from pressmill.plans.registry import ORACLE, QUERIES
 

@@ -116,7 +116,7 @@ def weight_sql(fields, p: str = "", tf: str | None = None) -> list[str]:
     ]
 
 
-def _nb_sql(source: str, p: str = "", alpha: float = C.NB_ALPHA) -> list[str]:
+def nb_sql(source: str, p: str = "", alpha: float = C.NB_ALPHA) -> list[str]:
     """``<p>theta`` and ``<p>scored`` (all rows of ``source``)."""
     n = f"(SELECT count(*) FROM {source} WHERE split = 'train'"
     return [
@@ -158,7 +158,7 @@ def metric_sql(source: str, by: str = "split", pos: int = 0) -> str:
 
 _L = [V.ARTICLES, V.LABELLED]
 _NB_VOCAB = [*_L, *tf_sql([NB_FIELD], "labelled"), *vocab_sql([NB_FIELD], "labelled")]
-_NB = [*_NB_VOCAB, *weight_sql([NB_FIELD]), *_nb_sql("labelled")]
+_NB = [*_NB_VOCAB, *weight_sql([NB_FIELD]), *nb_sql("labelled")]
 
 
 # --- Features ----------------------------------------------------------------
@@ -272,7 +272,7 @@ def _nb_meta_sql(columns) -> list[str]:
     return [
         _combined_sql(columns), *tf_sql([META_FIELD], "combined", "m_"),
         *vocab_sql([META_FIELD], "combined", "m_"), *weight_sql([META_FIELD], "m_"),
-        *_nb_sql("combined", "m_"),
+        *nb_sql("combined", "m_"),
     ]
 
 

@@ -14,11 +14,12 @@ from pressmill.session import materialize
 
 _A = V.with_sql(V.ARTICLES)
 
-_META = f"""meta AS (SELECT id,
+META_ROWS = f"""meta AS (SELECT id,
     coalesce({V.strip_sql('domain')}, '') AS domain, coalesce({V.strip_sql('title')}, '') AS title,
     coalesce({V.strip_sql('authors')}, '') AS authors
   FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq) AS r FROM raw_metadata)
-  WHERE r = 1),
+  WHERE r = 1)"""
+_META = META_ROWS + """,
   merged AS (SELECT a.id, a.type, m.domain, m.title, m.authors
     FROM articles a LEFT JOIN meta m ON m.id = a.id)"""
 _MERGED = V.with_sql(V.ARTICLES, V.RAW_METADATA, _META)

@@ -152,15 +152,15 @@ def boilerplate_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CLEAN = f"""clean AS (SELECT id, type, processed_text FROM stemmed
     WHERE id IN (SELECT id FROM kept_rows)
     AND NOT {_any_sql('processed_text', C.STEMMED_BOILERPLATE)})"""
-_CLEANED = [*_STEMMED, KEPT_ROWS, _CLEAN]
+CLEANED = [*_STEMMED, KEPT_ROWS, _CLEAN]
 
 
-@query("processed_articles", V.with_sql(*_CLEANED) + "SELECT * FROM clean")
+@query("processed_articles", V.with_sql(*CLEANED) + "SELECT * FROM clean")
 def processed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.processed_articles(V.articles(spark, sf_dir))
 
 
-@query("low_quality", V.with_sql(*_CLEANED) + f"""SELECT s.id, c.id IS NULL AS low_quality,
+@query("low_quality", V.with_sql(*CLEANED) + f"""SELECT s.id, c.id IS NULL AS low_quality,
     CASE WHEN {_any_sql("array_to_string(t.tokens, ' ')", C.RAW_BOILERPLATE)} THEN 'boilerplate'
       WHEN k.id IS NULL THEN 'tokens' WHEN c.id IS NULL THEN 'stemmed_boilerplate' END
       AS drop_reason
@@ -170,7 +170,7 @@ def low_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.quality_report(V.articles(spark, sf_dir))
 
 
-@query("dedup_processed", V.with_sql(*_CLEANED) + """SELECT id, type, md5(processed_text)
+@query("dedup_processed", V.with_sql(*CLEANED) + """SELECT id, type, md5(processed_text)
   AS text_md5 FROM (SELECT *, row_number() OVER (PARTITION BY md5(processed_text) ORDER BY id)
   AS r FROM clean WHERE type IS NOT NULL) WHERE r = 1""")
 def dedup_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,12 +208,12 @@ def _sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.vocabulary_sizes(cleaning.clean_articles(V.articles(spark, sf_dir)))
 
 
-@query("vocab_sizes_stemmed", V.with_sql(*_CLEANED, *_CLEAN_WORDS) + "SELECT * FROM sizes")
+@query("vocab_sizes_stemmed", V.with_sql(*CLEANED, *_CLEAN_WORDS) + "SELECT * FROM sizes")
 def vocab_sizes_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sizes(spark, sf_dir)
 
 
-@query("vocab_reduction", V.with_sql(*_CLEANED, *_CLEAN_WORDS) + """SELECT
+@query("vocab_reduction", V.with_sql(*CLEANED, *_CLEAN_WORDS) + """SELECT
     round(100.0 * (vocab_raw - vocab_no_stop) / CAST(vocab_raw AS DOUBLE), 6)
       AS stopword_reduction,
     round(100.0 * (vocab_no_stop - vocab_stemmed) / CAST(vocab_no_stop AS DOUBLE), 6)

@@ -17,7 +17,9 @@ from pressmill.session import materialize
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     writer = df.write.mode(mode)
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        # Spaces at the ends belong to the value.
+        writer = writer.options(header=True, escape='"', ignoreLeadingWhiteSpace=False,
+                                ignoreTrailingWhiteSpace=False)
     writer.format(fmt).save(path)
 
 
