@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,11 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _contract(links: DataFrame) -> DataFrame:
-    """The same components with fewer links, each task for its own rows."""
+    """The same components with fewer links: a task joins up about ``_BATCH`` of them at a time.
+
+    ``links`` is a written table, so neighbouring partitions are put together without
+    moving anything.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = b = np.zeros(0, np.int64)
         for batch in batches:
@@ -45,7 +50,12 @@ def _contract(links: DataFrame) -> DataFrame:
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in forest(a, b)], ["a", "b"])
 
-    return links.mapInArrow(run, "a bigint, b bigint")
+    tasks = max(1, math.ceil(links.count() / _BATCH))
+    return links.coalesce(tasks).mapInArrow(run, "a bigint, b bigint")
+
+
+def _state(links: DataFrame) -> tuple:
+    return links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -56,8 +66,8 @@ def components(links: DataFrame) -> DataFrame:
     all links lead to the least node: in the order of log n rounds. A hot node is a hot key
     of a join, which adaptive execution splits.
     """
-    links = stage(_contract(links.where("a <> b")), "links")
-    before = None
+    links = stage(_contract(stage(links.where("a <> b"), "links")), "links")
+    before = _state(links)
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
@@ -68,8 +78,8 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(lower, "a").select(
             F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         small = small.unionByName(lower.select("a", F.col("m").alias("b"))).where("a <> b")
-        links = stage(_contract(small).distinct(), "links")
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        links = stage(_contract(stage(small.distinct(), "links")), "links")
+        now = _state(links)
         if now == before:
             return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -151,8 +151,9 @@ def _members(docs: DataFrame, size: int) -> DataFrame:
 def _candidates(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """``a, b``: links that make one cluster of all sets that share a signature.
 
-    A task joins up what it has in a slice itself, equal sets too, and sends one row
-    per signature on.
+    A task joins up what it has in a slice itself and sends one row per signature on. Of
+    equal sets in a slice the least id stands for all; the least id of the table is
+    always among them.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -161,15 +162,12 @@ def _candidates(docs: DataFrame, size: int, percent: int) -> DataFrame:
             order = np.lexsort((doc, *sets.keys()))
             keys = np.column_stack(sets.keys())[order]
             new = np.append(True, (keys[1:] != keys[:-1]).any(axis=1))
-            leader = order[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
             signature, owner = _signatures(sets, order[new], percent)
             order = np.lexsort((doc[owner], signature))
             signature, owner = signature[order], doc[owner[order]]
             head = np.append(True, signature[1:] != signature[:-1]) if len(order) else np.zeros(0, bool)
             lead = owner[np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))]
-            filled = sets.counts[np.lexsort((doc, *sets.keys()))] > 0
-            copies = np.column_stack([doc[leader], doc[np.lexsort((doc, *sets.keys()))]])[~new & filled]
-            links = np.concatenate([np.column_stack([lead, owner])[~head], copies])
+            links = np.column_stack([lead, owner])[~head]
             links = np.column_stack(forest(links[:, 0], links[:, 1])) if len(links) else links
             alone = mix(links[:, 0].astype(np.uint64) + np.uint64(_BASE))  # spread over the tasks
             k = np.concatenate([signature[head], alone])
@@ -204,8 +202,9 @@ def _verified(docs: DataFrame, members: DataFrame, clusters: DataFrame, size: in
         .select("component", "block", "block2")
     sides = pairs.select("component", F.col("block").alias("one"), F.col("block2").alias("two"), F.explode(
         F.array_distinct(F.array("block", "block2"))).alias("block"))
-    rows = docs.join(blocked.drop("n"), "doc_id").join(sides, ["component", "block"]) \
-        .select("component", "one", "two", "block", "doc_id", "text")
+    tasks = blocked.drop("n").join(sides, ["component", "block"])
+    # texts meet their tasks by id in the same way whatever the size
+    rows = docs.hint("merge").join(tasks, "doc_id").select("component", "one", "two", "block", "doc_id", "text")
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
