@@ -241,18 +241,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use: Column,
     ``docs`` has ``doc_id`` and ``text``; ``labels`` has ``doc_id`` and ``label`` (0 or 1,
     other rows are left out; of several labels of an id the largest counts). ``use``
     says which ids may be learnt from. Which ids are drawn depends on their hash alone.
-    Only the ids of the sample go through the driver.
     """
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label")) \
         .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)) \
         .groupBy("doc_id").agg(F.max("label").alias("label")).where(use)
     sizes = {row["label"]: row["count"] for row in known.groupBy("label").count().collect()}
     order = F.xxhash64("doc_id", F.lit(seed))
-    drawn = [row for value in sorted(sizes) for row in
-             known.where(F.col("label") == value).orderBy(order, "doc_id").limit(per_class).collect()]
-    ids = docs.sparkSession.createDataFrame(drawn, "doc_id bigint, label int")
-    # at most 2 * per_class pairs of integers
-    return docs.join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text"), sizes
+    zero, one = (known.where(F.col("label") == value).orderBy(order, "doc_id").limit(per_class) for value in (0, 1))
+    # at most 2 * per_class pairs of integers, as a table whose size the planner sees
+    drawn = stage(zero.unionByName(one), "drawn")
+    return docs.join(drawn, "doc_id").select("doc_id", "label", "text"), sizes
 
 
 def class_weights(y: np.ndarray, sizes: dict[int, int]) -> np.ndarray:
