@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from pressmill.llm.common import SLICE_BYTES, Words, documents, gather, one_per_id, slices, spans_of
 from pressmill.session import materialize
 
-#: Pieces of one length that are ranked together.
-_RANK_GROUP = 50_000
+#: Pieces of one length that are ranked together, about.
+RANK_GROUP = 500
 PIECE_SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
@@ -209,7 +209,11 @@ def shortest_pack_first(histogram: dict[int, int], limit: int) -> list[tuple[tup
         left = histogram[length]
         while left:
             if not totals or totals[0] + length > limit:
-                put((length,), left, length)
+                fit = limit // length  # new packs: no shorter one has room
+                if left >= fit:
+                    put((length,) * fit, left // fit, length * fit)
+                if left % fit:
+                    put((length,) * (left % fit), 1, length * (left % fit))
                 break
             total = totals[0]
             pattern, count = open_packs[total].pop()
@@ -248,12 +252,13 @@ def pack(pieces: DataFrame, limit: int) -> DataFrame:
     the histogram, and the patterns made from it.
     """
     pieces = materialize(pieces, "pieces")
-    total = pieces.count()
-    groups = max(1, math.ceil(total / _RANK_GROUP))
-    pieces = pieces.withColumn("rank_group", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)))
-    counts = materialize(pieces.groupBy("length", "rank_group").agg(F.count("*").alias("n")), "lengths")
     histogram = {row["length"]: row["n"] for row in
-                 counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+                 pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    total = sum(histogram.values())
+    groups = F.array(*(F.lit(math.ceil(histogram.get(n, 0) / RANK_GROUP) or 1) for n in range(1, limit + 1)))
+    pieces = pieces.withColumn("rank_group", F.pmod(
+        F.xxhash64("doc_id", "start"), F.element_at(groups, F.col("length").cast("int"))))
+    counts = materialize(pieces.groupBy("length", "rank_group").agg(F.count("*").alias("n")), "lengths")
     slots = _slots(shortest_pack_first(histogram, limit))
     before = counts.withColumn("before", F.sum("n").over(
         Window.partitionBy("length").orderBy("rank_group")) - F.col("n")).drop("n")
