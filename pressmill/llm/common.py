@@ -123,7 +123,9 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 _BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
-_powers: dict[tuple[int, bool], np.ndarray] = {}
+_powers: dict[int, np.ndarray] = {}
+#: Inverse powers are looked up in two short tables.
+_LOW = 1 << 12
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -133,21 +135,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def powers(base: int, size: int, inverse: bool = False) -> np.ndarray:
-    """base**i (or its inverse) modulo 2**64 for i below ``size``."""
-    have = _powers.get((base, inverse))
+def powers(base: int, size: int) -> np.ndarray:
+    """base**i modulo 2**64 for i below ``size``."""
+    have = _powers.get(base)
     if have is None or len(have) < size:
-        step = pow(base, -1, 1 << 64) if inverse else base
-        have = np.ones(max(size, 1 << 16), np.uint64)
+        have = np.ones(max(size, _LOW), np.uint64)
         done = 1
         while done < len(have):  # doubles what is there
             more = min(done, len(have) - done)
-            have[done:done + more] = have[:more] * np.uint64(pow(step, done, 1 << 64))
+            have[done:done + more] = have[:more] * np.uint64(pow(base, done, 1 << 64))
             done += more
-        _powers[base, inverse] = have
+        _powers[base] = have
     return have[:size]
 
 
+def inverse_powers(base: int, at: np.ndarray) -> np.ndarray:
+    """base**-i modulo 2**64 for each i in ``at``."""
+    inverse = pow(base, -1, 1 << 64)
+    low = powers(inverse, _LOW)[at % _LOW]
+    high = powers(pow(inverse, _LOW, 1 << 64), int(at.max(initial=0)) // _LOW + 1)
+    return low * high[at // _LOW]
+
+
 class Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of the texts of an Arrow column, without Python objects.
 
@@ -185,8 +194,11 @@ class Words:
         """64 bits per word; the two kinds are independent of each other."""
         base, size = _BASES[which], len(self.data)
         sums = np.zeros(size + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * powers(base, size), out=sums[1:])
-        h = (sums[self.ends] - sums[self.starts]) * powers(base, size + 1, True)[self.starts]
+        values = self.data.astype(np.uint64)
+        values += np.uint64(1)
+        values *= powers(base, size)
+        np.cumsum(values, out=sums[1:])
+        h = (sums[self.ends] - sums[self.starts]) * inverse_powers(base, self.starts)
         return mix(h + (self.ends - self.starts).astype(np.uint64) * np.uint64(base | 2))
 
     def word(self, i: int) -> bytes:

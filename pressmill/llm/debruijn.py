@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressmill.llm.common import Words, documents, mix, one_per_id, powers, slices, stage
+from pressmill.llm.common import Words, documents, inverse_powers, mix, one_per_id, powers, slices, stage
 
 WINDOW = 20
 ANCHOR = 6
@@ -56,7 +56,7 @@ class _Hashed:
 
     def spans(self, starts: np.ndarray, ends: np.ndarray, kind: int) -> np.ndarray:
         sums, base = self.sums[kind], _BASES[kind]
-        h = (sums[ends] - sums[starts]) * powers(base, len(sums), True)[starts]
+        h = (sums[ends] - sums[starts]) * inverse_powers(base, starts)
         return mix(h + (ends - starts).astype(np.uint64))
 
     def pieces(self, window: int, anchor: int) -> tuple[np.ndarray, ...]:

@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressmill.llm.common import SLICE_BYTES, Words, documents, gather, one_per_id, slices, spans_of
+from pressmill.llm.common import Words, documents, gather, one_per_id, slices, spans_of
 from pressmill.session import materialize
 
 #: Pieces of one length that are ranked together, about.
@@ -60,24 +60,25 @@ class WordTokenizer:
     _loaded: dict[str, WordTokenizer] = {}
     PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
     #: Pieces that are remembered; beyond that all are forgotten.
-    REMEMBERED = 400_000
+    REMEMBERED = 200_000
 
     def __init__(self, path: str, suffix: str = "</w>") -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the parallel part
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
+        self.tokenizer = None  # made if a word needs it
         self.merges = Tokenizer.from_file(path)  # for pieces that are normalised and split
         self.merges.normalizer = None
         self.merges.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.WhitespaceSplit(),
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        vocabulary = self.merges.get_vocab(with_added_tokens=True)
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.last[number] = token.endswith(suffix)
         self.split = regex.compile(self.PIECES + "|\n").findall
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.content for t in self.merges.get_added_tokens_decoder().values()]
         self._forget()
 
     def _forget(self) -> None:
@@ -93,6 +94,10 @@ class WordTokenizer:
         return cls._loaded[path]
 
     def _whole(self, text: str) -> list[int]:
+        if self.tokenizer is None:
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_file(self.path)
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _learn(self, fresh: list[str]) -> None:
@@ -167,7 +172,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, limit: int, keep_i
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer.load(tokenizer_path)
-        for part in slices(batches, limit=2 * SLICE_BYTES):
+        for part in slices(batches):
             flat, counts = tokenizer.encode(part.column("text"))
             begins, ends = spans_of(counts)
             rows: list[tuple] = []

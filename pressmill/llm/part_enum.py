@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressmill.llm.common import Words, documents, mix, one_per_id, powers, slices, stage
+from pressmill.llm.common import Words, documents, inverse_powers, mix, one_per_id, powers, slices, stage
 from pressmill.llm.components import components, forest
 
 #: Elements of the sets of a block.
@@ -52,7 +52,7 @@ class _Sets:
         short = per_text < size  # the whole text is one
         start = np.flatnonzero((at + size <= end) | short[text] & (at == words.first[:-1][text]))
         stop = np.minimum(start + size, end[start])
-        h = mix((sums[stop] - sums[start]) * powers(_BASE, total + 1, True)[start] + (stop - start).astype(np.uint64))
+        h = mix((sums[stop] - sums[start]) * inverse_powers(_BASE, start) + (stop - start).astype(np.uint64))
         text = text[start]
         order = np.lexsort((h, text))
         h, text = h[order], text[order]
