@@ -32,7 +32,7 @@ from pressmill.llm.common import Words, documents, inverse_powers, mix, one_per_
 from pressmill.llm.components import components, forest
 
 #: Elements of the sets of a block.
-BLOCK = 60_000
+BLOCK = 240_000
 _BASE = 0xC2B2AE3D27D4EB4F
 _ONE = np.uint64(1)
 
@@ -212,7 +212,7 @@ def _verified(docs: DataFrame, members: DataFrame, clusters: DataFrame, size: in
         text = table.column("text").chunk(0) if table.num_rows else pa.array([], pa.string())
         sets = _Sets(text, size)
         _, code = np.unique(sets.hash, return_inverse=True)
-        left = block == block.min(initial=0)
+        left = block == block.min()  # a group has a row at least
         cross = not left.all()
         marks = np.zeros(int(code.max(initial=-1)) + 1, bool)
         counts, starts = sets.counts, sets.starts

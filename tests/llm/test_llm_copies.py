@@ -75,9 +75,13 @@ def test_similarity_components(spark, size, percent, monkeypatch):
     assert part_enum.similarity_components(frame(spark, []), size, percent).count() == 0
 
 
-def test_components_over_several_blocks(spark, monkeypatch):
-    monkeypatch.setattr(part_enum, "BLOCK", 150)
-    rows = awkward()
+@pytest.mark.parametrize("block", [20, 150])
+def test_components_over_several_blocks(spark, monkeypatch, block):
+    """Also with a block for each set, so that links lie in and between blocks other than the first."""
+    monkeypatch.setattr(part_enum, "BLOCK", block)
+    words = [f"v{i}" for i in range(80)]
+    chain = [(400 + i, " ".join(words[i:i + 50])) for i in range(0, 8)]  # each links to the next ones only
+    rows = awkward() + chain
     sets = shingle_sets(dict(rows), 4)
     links = [(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b]
              and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
