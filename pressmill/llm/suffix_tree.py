@@ -2,20 +2,24 @@
 
 Symbols are lower-cased words and one end per text. The root is the smoothed
 distribution of all words of the training texts. Below it stand contexts of one
-to ``depth`` words that make up at least ``context_share`` of the training tokens.
-A context keeps the next words whose share differs from that in its suffix, the
-shorter context, by ``ratio``, and is retained only if the divergence of the two
-distributions, in nats over all its occurrences, pays for those words at half the
-logarithm of the corpus size each. What it keeps is smoothed by a discount; the
+to ``depth`` words. A context of at least ``least`` occurrences keeps the next words
+that follow it ``least`` times or more and whose share differs from that in its
+suffix, the shorter context, by ``ratio``; it is retained only if the divergence of
+the two distributions, in nats over all its occurrences, pays for those words at half
+the logarithm of the corpus size each. What it keeps is smoothed by a discount; the
 rest of its probability goes to the suffix's other words in proportion. A text is
 scored word by word from the longest retained context.
 
-Every pass counts over all training texts: words first, then one pass for each
-length of context. The tree on the driver and in the tasks is bounded by the
-shares: at most ``1 / word_share`` words (as 128-bit hashes), ``1 / context_share``
-contexts and ``1 / pair_share`` next words of each length, however large the corpus
-is. All other words, a table that grows with the corpus, meet the words of the
-texts in a join.
+Counts are absolute, so the tree grows with the corpus; it is held in written tables
+keyed by a 64-bit hash of the words. A run of words that occurs ``least`` times has
+shorter runs that do, so each length is weighed by joins with the table of the length
+before. The score of a token is a sum over the runs that end with it (see
+``context_tables``): one join and one sum for each length, over runs counted per text.
+Only the frequent words, at most ``1 / word_share``, are also held in the tasks, to
+spare them the join of single words.
+
+``fit`` with a depth makes a tree of the frequent contexts in memory, bounded by
+shares of the corpus; the score takes only its words.
 
 A null or empty text is one end. Of rows that repeat an id the one with the least
 text counts, rows without id go; other columns are ignored. Without training texts
@@ -32,11 +36,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressmill.llm.common import Words, documents, one_per_id, slices, stage
+from pressmill.llm.common import Words, documents, mix, one_per_id, slices, stage
 
 DISCOUNT = 0.5
 #: Hash of the end, in both kinds; no word has it in practice, and the word table tells them apart.
 _END = np.uint64(0)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
@@ -82,22 +87,24 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 class _Sequence:
     """The symbols of some texts: an end before each, its words, an end after."""
 
-    def __init__(self, column: pa.Array, tree: Tree) -> None:
+    def __init__(self, column: pa.Array, tree: Tree | None = None) -> None:
         self.words = words = Words(column, lower=True)
-        self.at, self.code = words.distinct()
         per_text = words.per_text()
         sizes = per_text + 2
         self.stops = np.cumsum(sizes)
         self.starts = self.stops - sizes
-        end = int(tree.symbols(np.array([_END]), np.array([_END]))[0])
-        self.symbol = np.full(int(sizes.sum()), end)
         self.text = np.repeat(np.arange(len(sizes)), sizes)
-        self.place = np.arange(len(self.symbol)) - self.starts[self.text]  # in its text
+        self.place = np.arange(len(self.text)) - self.starts[self.text]  # in its text
         self.inner = (self.place > 0) & (self.place < sizes[self.text] - 1)
+        self.target = self.place > 0
+        if tree is None:
+            return
+        self.at, self.code = words.distinct()
+        end = int(tree.symbols(np.array([_END]), np.array([_END]))[0])
+        self.symbol = np.full(len(self.text), end)
         if len(self.code):
             known = tree.symbols(words.hashes(0)[self.at], words.hashes(1)[self.at])
             self.symbol[self.inner] = known[self.code]
-        self.target = self.place > 0
 
     def states(self, tree: Tree) -> list[np.ndarray]:
         """For every context length the context that each token follows, -1 for none."""
@@ -229,36 +236,131 @@ def _lookup(tree: Tree, length: int, context: np.ndarray, word: np.ndarray, root
     return found
 
 
+def _keys(sequence: _Sequence, longest: int) -> list[np.ndarray]:
+    """For every token the hash of the 1, 2, ... words that end with it; wrong where ``place`` is too low."""
+    symbol = np.full(len(sequence.text), _END)
+    symbol[sequence.inner] = sequence.words.hashes()
+    keys = [mix(symbol + _STEP)]
+    for back in range(1, longest):
+        older = np.full(len(symbol), _END)
+        older[back:] = symbol[:-back]
+        keys.append(mix(keys[-1] * _STEP + older + np.uint64(back)))
+    return keys
+
+
+def _word_keys(vocabulary: DataFrame, normal: float) -> DataFrame:
+    """``gram, n, p`` of all words: key, count and log10 probability."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "word"):
+            words, symbol = Words(part.column("word")), np.full(part.num_rows, _END)
+            symbol[words.per_text() > 0] = words.hashes(0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(mix(symbol + _STEP).view(np.int64)), part.column("c")], ["gram", "n"])
+
+    return vocabulary.mapInArrow(run, "gram bigint, n bigint") \
+        .select("gram", "n", F.log10((F.col("n") + 0.5) / normal).alias("p"))
+
+
+def _gram_counts(docs: DataFrame, length: int, least: int) -> DataFrame:
+    """``gram, ctx, shorter, n`` of ``length`` words and the next one, ``least`` times or more.
+
+    ``ctx`` is the key of the words before the last one, ``shorter`` that of all but the oldest.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            sequence = _Sequence(part.column("text"))
+            use = np.flatnonzero(sequence.place >= length)
+            *_, short, long = _keys(sequence, length + 1)
+            gram, at, n = np.unique(long[use], return_index=True, return_counts=True)
+            ctx, shorter = short[use[at] - 1], short[use[at]]
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(k.view(np.int64)) for k in (gram, ctx, shorter)), pa.array(n)],
+                ["gram", "ctx", "shorter", "n"])
+
+    return docs.mapInArrow(run, "gram bigint, ctx bigint, shorter bigint, n bigint") \
+        .groupBy("gram", "ctx", "shorter").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
+
+def context_tables(docs: DataFrame, tree: Tree, vocabulary: DataFrame, depth: int = 3, least: int = 3,
+                   context_share: float = 0.0, ratio: float = 1.2) -> list[DataFrame]:
+    """``key, value`` for runs of 1, 2, ... words: what each occurrence adds to a text's score.
+
+    A run adds as a context the factor for words that it does not keep, and as a context
+    with one of its kept words what that word has more than by this factor.
+    """
+    lower, values, found = stage(_word_keys(vocabulary, tree.normal), "words"), None, []
+    floor, price = max(least, context_share * tree.tokens), 0.5 * float(np.log10(max(tree.tokens, 2)))
+    for length in range(1, depth + 1):
+        n, total, own, under = (F.col(c) for c in ("n", "total", "own", "lower"))
+        # a run of words before another one occurs as often as the run itself
+        rows = stage(_gram_counts(docs, length, least), "grams") \
+            .join(lower.select(F.col("gram").alias("ctx"), n.alias("total")), "ctx") \
+            .join(lower.select(F.col("gram").alias("shorter"), F.col("p").alias("lower")), "shorter") \
+            .select("gram", "ctx", "n", "total", "lower", F.log10((n - DISCOUNT) / total).alias("own")) \
+            .withColumn("keep", F.abs(own - under) >= float(np.log10(ratio)))
+        rows = stage(rows, "weighed")
+        sums = rows.where("keep").groupBy("ctx").agg(
+            F.first("total").alias("total"), F.count("*").alias("words"), F.sum("n").alias("seen"),
+            F.sum(F.pow(F.lit(10.0), own)).alias("mass"), F.sum(F.pow(F.lit(10.0), under)).alias("lower_mass"),
+            F.sum(n * (own - under)).alias("gain"))
+        sums = sums.where((F.col("mass") < 1) & (total >= floor)).withColumn("rest", F.log10(
+            (1 - F.col("mass")) / F.greatest(1 - F.col("lower_mass"), F.lit(1e-12))))
+        retained = stage(sums.where(F.col("gain") + (total - F.col("seen")) * F.col("rest") > price * F.col("words"))
+                         .select("ctx", "rest"), "contexts")
+        on, rest = F.col("rest").isNotNull(), F.col("rest")
+        lower = stage(rows.join(retained, "ctx", "left").select(
+            "gram", "n", F.when(on & F.col("keep"), own).otherwise(under + F.coalesce(rest, F.lit(0.0))).alias("p"),
+            F.when(on & F.col("keep"), own - under - rest).alias("value")), "level")
+        adds = retained.select(F.col("ctx").alias("key"), rest.alias("value"))
+        found.append(adds if values is None else values.unionByName(adds))
+        values = lower.where("value is not null").select(F.col("gram").alias("key"), "value")
+    return found + [values] * (values is not None)
+
+
+def _context_points(docs: DataFrame, length: int, values: DataFrame) -> DataFrame:
+    """``doc_id, added`` of texts that have runs of ``length`` words in the table."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            sequence = _Sequence(part.column("text"))
+            # a single end is a context before a text only
+            use = (sequence.place >= length - 1) & (sequence.inner | ((sequence.place > 0) == (length > 1)))
+            key, text = _keys(sequence, length)[-1][use], sequence.text[use]
+            order = np.lexsort((key, text))
+            key, text = key[order], text[order]
+            new = np.append(True, (key[1:] != key[:-1]) | (text[1:] != text[:-1])) if len(key) else np.zeros(0, bool)
+            at = np.flatnonzero(new)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key[at].view(np.int64)), part.column("doc_id").take(pa.array(text[at])),
+                 pa.array(np.diff(np.append(at, len(key))).astype(np.int32))], ["key", "doc_id", "n"])
+
+    return docs.mapInArrow(run, "key bigint, doc_id bigint, n int") \
+        .join(values.groupBy("key").agg(F.sum("value").alias("value")), "key") \
+        .groupBy("doc_id").agg(F.sum(F.col("n") * F.col("value")).alias("added"))
+
+
 def score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text",
-          **settings: float) -> DataFrame:
+          word_share: float = 4e-6, **settings: float) -> DataFrame:
     """Scores of all texts by a tree of those for which ``learn_from`` (of ``doc_id``) holds.
 
     Columns ``doc_id, n_tokens, n_known, train_tokens, base_score, score``; both scores
-    are log10 probabilities, the first from single words alone.
+    are log10 probabilities, the first from single words alone. ``settings`` are those of
+    ``context_tables``.
     """
     docs = one_per_id(documents(docs, id_col, text_col))
-    tree, vocabulary = fit(docs.where(learn_from), **settings)
+    learnt = docs.where(learn_from)
+    tree, vocabulary = fit(learnt, depth=0, word_share=word_share)
+    tables = context_tables(learnt, tree, vocabulary, **settings) if tree.tokens else []
+    parts = [stage(_context_points(docs, length, values), "points")
+             for length, values in enumerate(tables, 1)]
     root, normal = tree.root(), tree.normal
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             sequence = _Sequence(part.column("text"), tree)
             symbol, use = sequence.symbol, sequence.target
-            states = sequence.states(tree)
-            open_ = use.copy()
-            points = np.zeros(len(symbol))
-            for length in range(len(states), 0, -1):
-                state = states[length - 1]
-                at = _find(tree.keys[length - 1], np.where((state >= 0) & (symbol >= 0), state * tree.size + symbol, -1))
-                hit = open_ & (at >= 0)
-                points[hit] += tree.values[length - 1][at[hit]]
-                open_ &= ~hit
-                on = open_ & (state >= 0)
-                points[on] += tree.rest[length - 1][state[on]]
             known = use & (symbol >= 0)
             base = np.zeros(len(symbol))
             base[known] = root[symbol[known]]
-            points[open_ & known] += base[open_ & known]
             # other words, by text: what the word table has to add
             texts = part.num_rows
             words, data = sequence.words, sequence.words.data.tobytes()
@@ -272,22 +374,26 @@ def score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col:
             offsets = np.searchsorted(text_of, np.arange(texts + 1)).astype(np.int32)
             rare = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(
                 [spelled.take(pa.array(back)), pa.array(n)], ["word", "n"]))
-            sums = [np.bincount(sequence.text, x, texts) for x in (use, known, base, points)]
+            sums = [np.bincount(sequence.text, x, texts) for x in (use, known, base)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), *(pa.array(s.astype(np.int64)) for s in sums[:2]),
-                 *(pa.array(s) for s in sums[2:]), rare],
-                ["doc_id", "n_tokens", "known", "base", "points", "rare"])
+                 pa.array(sums[2]), rare],
+                ["doc_id", "n_tokens", "known", "base", "rare"])
 
     scored = stage(docs.mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, known bigint, base double, points double, "
+        run, "doc_id bigint, n_tokens bigint, known bigint, base double, "
              "rare array<struct<word: string, n: bigint>>"), "scored")
     rare = scored.select("doc_id", F.explode("rare").alias("r")).select("doc_id", "r.word", "r.n") \
         .join(vocabulary, "word", "left")
     added = rare.groupBy("doc_id").agg(
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more_known"),
         F.sum(F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / normal)).alias("more"))
-    return scored.drop("rare").join(added, "doc_id", "left").select(
+    points = scored.select("doc_id", F.lit(0.0).alias("added"))
+    for part in parts:
+        points = points.unionByName(part)
+    points = points.groupBy("doc_id").agg(F.sum("added").alias("added"))
+    return scored.drop("rare").join(added, "doc_id", "left").join(points, "doc_id").select(
         "doc_id", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(tree.tokens).cast("bigint").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        (F.col("points") + F.coalesce("more", F.lit(0.0))).alias("score"))
+        (F.col("base") + F.coalesce("more", F.lit(0.0)) + F.col("added")).alias("score"))

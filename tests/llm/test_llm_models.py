@@ -122,6 +122,53 @@ def test_suffix_tree_counts(spark, rows):
         assert found[i].base_score == pytest.approx(base)
 
 
+def suffix_tree_scores(tokens, learnt, depth=3, least=3, ratio=1.2):
+    """Scores of ``tokens`` (id -> words and None) by all contexts of ``learnt`` that occur ``least`` times."""
+    counts = collections.Counter(w for i in learnt for w in tokens[i])
+    total = sum(counts.values())
+    normal = total + 0.5 * (len(counts) + 1)
+    after = collections.defaultdict(collections.Counter)
+    for i in learnt:
+        seen = (None, *tokens[i])
+        for at in range(1, len(seen)):
+            for length in range(1, min(depth, at) + 1):
+                after[seen[at - length:at]][seen[at]] += 1
+    kept, rest = {}, {}
+
+    def p(ctx, word):
+        if not ctx:
+            return math.log10((counts[word] + 0.5) / normal)
+        return kept[ctx][word] if word in kept.get(ctx, ()) else rest.get(ctx, 0) + p(ctx[1:], word)
+
+    for ctx in sorted(after, key=len):
+        size = after[ctx].total()
+        own = {w: math.log10((n - 0.5) / size) for w, n in after[ctx].items() if n >= least}
+        low = {w: p(ctx[1:], w) for w in own}
+        own = {w: x for w, x in own.items() if abs(x - low[w]) >= math.log10(ratio)}
+        if size < least or not own:
+            continue
+        other = math.log10((1 - sum(10 ** x for x in own.values())) / max(1e-12, 1 - sum(10 ** low[w] for w in own)))
+        gain = sum(after[ctx][w] * (x - low[w]) for w, x in own.items()) \
+            + (size - sum(after[ctx][w] for w in own)) * other
+        if gain > 0.5 * math.log10(total) * len(own):
+            kept[ctx], rest[ctx] = own, other
+    scores = {i: sum(p((None, *ws)[max(0, at - depth):at], (None, *ws)[at]) for at in range(1, len(ws) + 1))
+              for i, ws in tokens.items()}
+    return scores, collections.Counter(map(len, kept)), collections.Counter(
+        len(ctx) for ctx in kept if after[ctx].total() < 10)
+
+
+def test_rare_contexts_score(spark):
+    """A context of three occurrences counts, whatever the size of the corpus."""
+    rows = awkward() + [(1000 + i, f"filler{i} " * 2000) for i in range(20)]  # 4e-4 of the tokens are 16 occurrences
+    tokens = {i: (t or "").encode().lower().split() + [None] for i, t in rows}
+    learnt = [i for i in tokens if zlib.crc32(str(i).encode()) % 5 != 1]
+    expected, lengths, rare = suffix_tree_scores(tokens, learnt)
+    assert set(lengths) == {1, 2, 3} and rare.total() > 50
+    found = suffix_tree.score(frame(spark, rows), crc_of_id() % 5 != 1).collect()
+    assert {r.doc_id: r.score for r in found} == pytest.approx(expected)
+
+
 def test_contexts_are_distributions(spark, tenth):
     docs = queries.documents_for_tests(spark, tenth) if hasattr(queries, "documents_for_tests") else \
         queries.table(spark, tenth, "documents").select("doc_id", "text")
