@@ -230,6 +230,26 @@ def test_licence_scan(spark, sf_dir):
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
 
 
+def test_licence_windows(spark):
+    """Wrapped and embedded notices and whole texts, none of them a line like a template."""
+    whole = dict(licences.PASSAGES)
+    rows = [
+        (1, "some text\n# Licensed under the\n# Apache License, Version 2.0.\nmore text"),
+        (2, "Copyright 2020 X. Licensed under the Apache License, Version 2.0. See LICENSE."),
+        (3, "Copyright 2020 X\n\n" + whole["MIT"] + "\n\nint main() {}"),
+        (4, "x\n" + whole["BSD-2-Clause"]), (5, whole["BSD-3-Clause"].replace("\n", " ")), (6, whole["ISC"]),
+        (7, "/* " + whole["Apache-2.0"].replace("\n", "\n * ")), (8, whole["Unlicense"]),
+        (9, whole["LGPL-2.1"] + "\n\n" + whole["EPL-2.0"]), (10, "the rights to use are reserved by all of us"), (11, None)]
+    found = collections.defaultdict(list)
+    for r in licences.scan(frame(spark, rows)).orderBy("doc_id", "segment").collect():
+        found[r.doc_id].append((r.segment, r.licence, r.dice))
+    ids = {i: [(s, n) for s, n, _ in x] for i, x in found.items()}
+    assert ids == {1: [(1, "Apache-2.0")], 2: [(0, "Apache-2.0")], 3: [(2, "MIT")], 4: [(1, "BSD-2-Clause")],
+                   5: [(0, "BSD-3-Clause")], 6: [(0, "ISC")], 7: [(0, "Apache-2.0")], 8: [(0, "Unlicense")],
+                   9: [(0, "LGPL-2.1"), (6, "EPL-2.0")]}
+    assert all(d == 1 for x in found.values() for _, _, d in x)
+
+
 def test_licence_sql(sf_dir, spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
