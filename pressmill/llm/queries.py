@@ -9,7 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressmill.llm import bpe, debruijn, grid_join, licences, packing, part_enum, quality, suffix_tree, toxicity, weighted_sampling
+from pressmill.llm import (
+    bpe, debruijn, filter_audit, grid_join, licences, packing, part_enum, quality, suffix_tree,
+    toxicity, weighted_sampling,
+)
 from pressmill.llm.common import crc_of_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +106,11 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_part_enum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part_enum.similarity_components(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLE["op12_filter_audit"] = filter_audit.audit_sql()
