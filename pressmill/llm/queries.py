@@ -9,9 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressmill.functions.pinning import pin
 from pressmill.llm import (
-    bpe, debruijn, filter_audit, grid_join, licences, packing, part_enum, quality, suffix_tree,
-    toxicity, weighted_sampling,
+    bpe, debruijn, filter_audit, grid_join, licences, packing, part_enum, posting_lists, quality,
+    recompression, suffix_tree, toxicity, weighted_sampling,
 )
 from pressmill.llm.common import crc_of_id
 
@@ -114,3 +115,37 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op12_filter_audit"] = filter_audit.audit_sql()
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: every tenth text by crc32 of its id goes on periodically from one of its words."""
+    h = crc_of_id()
+    g = F.floor(h / 10)
+    words = filter_audit.words(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    cut = pin(chosen, words=F.when(h % 10 == 0, words))
+    n = F.nullif(F.size("words"), F.lit(0))
+    first = (g % n).cast("int")
+    made = pin(cut, first=first, period=(1 + F.floor((n - first) / (3 + g % 8))).cast("int"))
+    again = F.flatten(F.array_repeat(F.slice("words", F.col("first") + 1, F.col("period")),
+                                     F.ceil((n - F.col("first")) / F.col("period")).cast("int")))
+    planted = F.array_join(F.slice(F.concat(F.slice("words", F.lit(1), F.col("first")), again), F.lit(1), n), " ")
+    return made.select("doc_id", F.when(F.col("first").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = recompression.periodic_runs(planted_runs(table(spark, sf_dir, "documents")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    best = found.withColumn("best", recompression.strongest())
+    return best.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_lists.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
