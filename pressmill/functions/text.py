@@ -155,9 +155,9 @@ def strip_accents(text: Column | str) -> Column:
                          F.lit("\ufdd0"), F.lit("\ufdd1"))
     spelled = F.array_join(F.transform(
         F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
-    several = "[" + "".join(longer) + "]"
-    # Both look up every character; texts that have none of these are left alone.
-    whole = F.when(text.rlike(several), spelled).otherwise(text)
+    # Spelling out looks up every character as a string; only texts that need it come there.
+    several = F.translate(text, "".join(longer), "") != text
+    whole = F.when(several, spelled).otherwise(text)
     return F.when(text.rlike(r"[^\x00-\x7f]"), F.translate(whole, accented, base)).otherwise(text)
 
 

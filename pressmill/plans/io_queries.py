@@ -15,7 +15,7 @@ from pressmill.plans import profile_queries, stem_queries  # noqa: F401  (their
 from pressmill.plans import views as V
 from pressmill.plans.model_queries import NB_FIELD, metric_sql, train_rows
 from pressmill.plans.registry import ORACLE, query, rounded
-from pressmill.session import stage_path
+from pressmill.session import materialize, stage_path, with_settings
 from pressmill.sinks import tables as sinks
 from pressmill.sources import tables as sources
 from pressmill.streaming.incremental import article_stream, incremental_clean
@@ -39,6 +39,25 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("id", "type", F.md5("content").alias("content_md5"))
 
 
+@query("csv_one_file", f"""{_A} SELECT CAST(id AS VARCHAR) AS id, type,
+  CASE WHEN id % 3 = 0 THEN md5(content) END AS content_md5, true AS parallel FROM articles WHERE id % 3 <> 1""")
+def csv_one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file whose fields span lines, read by many tasks; a surplus field may be empty."""
+    quoted = F.concat(F.lit('"'), F.regexp_replace("content", '"', '""'), F.lit('"'))
+    kind = F.coalesce(F.concat(F.lit('"'), F.col("type"), F.lit('"')), F.lit(""))
+    key = F.col("id").cast("string")
+    line = F.when(F.col("id") % 3 == 0, F.concat_ws(",", key, kind, quoted)) \
+        .when(F.col("id") % 3 == 1, F.concat_ws(",", key, kind, quoted, F.lit(""))) \
+        .otherwise(F.concat_ws(",", key, kind))
+    path = stage_path(spark, "csv")
+    V.articles(spark, sf_dir).select(line.alias("value")).coalesce(1).write.text(path)
+    with with_settings(spark, {"spark.sql.files.maxPartitionBytes": "256k", "spark.sql.files.openCostInBytes": "0"}):
+        read = sources.read_articles_csv(spark, path, header=["id", "type", "content"])
+        read = materialize(read.withColumn("task", F.spark_partition_id()), "articles")
+    several = read.agg(F.count_distinct("task").alias("tasks")).first()["tasks"] > 1
+    return read.select("id", "type", F.md5("content").alias("content_md5"), F.lit(several).alias("parallel"))
+
+
 @query("tsv_round_trip", V.with_sql(V.CLAIMS) + """SELECT CAST(id AS VARCHAR) AS id, label,
   md5(statement) AS statement_md5, subject, speaker, id % 5 AS false_counts FROM claims""")
 def tsv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressmill import constants as C
 from pressmill.functions import labels, text
 from pressmill.operators import bayes, cleaning, evaluation, features, metadata
 from pressmill.operators.dedup import deduplicate_text
@@ -68,8 +69,8 @@ def pipeline_nb_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metrics(rows.select("id", "split", "label", "combined_text"), features.NB_COMBINED)
 
 
-_SAMPLE = """picked AS (SELECT * FROM labelled WHERE split = 'train'
-    ORDER BY md5('42:' || id), id LIMIT 100)"""
+_SAMPLE = f"""picked AS (SELECT * FROM labelled WHERE split = 'train'
+    ORDER BY md5('42:' || id), id LIMIT {C.VOCABULARY_SAMPLE_ROWS})"""
 
 
 @query("nb_fixed_vocabulary", V.with_sql(
@@ -80,7 +81,7 @@ _SAMPLE = """picked AS (SELECT * FROM labelled WHERE split = 'train'
 def nb_fixed_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All training rows under the vocabulary of a sample of fixed size."""
     train = train_rows(V.labelled(spark, sf_dir))
-    sample = materialize(fixed_size_sample(train, 100), "picked")
+    sample = materialize(fixed_size_sample(train), "picked")
     vocabulary = features.fit_vocabulary(sample, [NB_FIELD])
     model = bayes.nb_fit(train, [NB_FIELD], vocabulary=vocabulary)
     return rounded(model.terms.select("term", "theta_0", "theta_1"))

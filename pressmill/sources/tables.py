@@ -1,9 +1,9 @@
 """File readers with explicit schemas.
 
-Text formats are meant for intake only. Where a quoted field may span lines, Spark
-reads each file in one task: land a large corpus as many files, and all of them
-are read in parallel, or write it once as Parquet (see ``sinks``). Files without
-line breaks inside fields can be split anywhere; say so with ``multiline=False``.
+Text formats are meant for intake only; write a corpus once as Parquet (see ``sinks``). Where a
+quoted field may span lines, ``records`` finds the records, in as many tasks as a file has
+blocks, and Spark parses each. Files without line breaks inside fields are
+read once instead of twice; say so with ``multiline=False``.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 from pressmill import constants as C
 from pressmill import schemas
+from pressmill.functions.pinning import pin
+from pressmill.sources.records import read_records
 
 _EXTRA = "_extra_field"
 
@@ -31,21 +33,29 @@ def csv_options(multiline: bool = True, **options: object) -> dict[str, object]:
             "enforceSchema": True, **options}
 
 
+def without_undecoded(table: DataFrame) -> DataFrame:
+    """The same without the bytes that could not be decoded, which arrive as U+FFFD."""
+    return table.select(*[F.translate(c, "\ufffd", "").alias(c) if t == "string" else F.col(c)
+                          for c, t in table.dtypes])
+
+
 def sound_rows(table: DataFrame) -> DataFrame:
-    """Rows without surplus field, without the bytes that could not be decoded.
+    """Rows without surplus field, without the bytes that could not be decoded. Short rows are padded.
 
-    An extra field that is empty cannot be told from a missing one, so such a row
-    stays. Short rows are padded. Undecodable bytes arrive as U+FFFD.
+    An extra field that is empty cannot be told from a missing one here, so such a row stays.
     """
-    return table.where(F.col(_EXTRA).isNull()).drop(_EXTRA).select(*[
-        F.translate(c, "�", "").alias(c) if t == "string" else F.col(c)
-        for c, t in table.dtypes if c != _EXTRA
-    ])
+    return without_undecoded(table.where(F.col(_EXTRA).isNull()).drop(_EXTRA))
 
 
 def _read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
               multiline: bool, **options) -> DataFrame:
-    """CSV where rows with too many fields are dropped and short rows padded."""
+    """CSV where rows with too many fields, empty ones included, are dropped and short rows padded."""
+    if multiline:
+        found = read_records(spark, path, str(options.get("sep", ","))).where(F.col("fields") <= len(schema))
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        said = {k: str(v).lower() if isinstance(v, bool) else v for k, v in csv_options(**options).items()}
+        row = F.from_csv("record", ddl, {k: v for k, v in said.items() if k not in ("header", "enforceSchema")})
+        return without_undecoded(pin(found.select("record"), row=row).select("row.*"))
     return sound_rows(
         spark.read.schema(csv_schema(schema)).options(**csv_options(multiline, **options))
         .csv(list(path) if not isinstance(path, str) else path)
@@ -77,8 +87,8 @@ def read_articles_csv(spark: SparkSession, path: str, columns: Sequence[str] | N
     """Articles from CSV with a header line; all columns are strings.
 
     ``header`` states the files' column order; otherwise the first record tells.
-    ``columns`` selects some of them. With ``multiline`` each file is one task: cut a
-    very large one into many first, or, if no field spans lines, pass ``False``.
+    ``columns`` selects some of them. If no field spans lines, pass ``multiline=False``,
+    which reads the files once instead of twice.
     """
     names = list(header or csv_header(spark, path, multiline))
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
