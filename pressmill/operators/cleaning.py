@@ -83,6 +83,29 @@ def quality_report(df: DataFrame, content: str = "content",
     )
 
 
+def judged_articles(df: DataFrame, content: str = "content",
+                    stop_words: Iterable[str] = C.STOP_WORDS,
+                    keep: Sequence[str] = ("id", "type")) -> DataFrame:
+    """Every article with its ``outcome``, and, if it is kept, ``tokens`` and ``processed_text``.
+
+    Outcomes: ``null_text``, ``no_words``, the reasons of ``quality_report``, or ``kept``.
+    """
+    tokenized = pin(df.select(*keep, content), tokens=text.tokenize_alpha(content))
+    split = pin(tokenized.select(*keep, "tokens"), kept=text.remove_stopwords("tokens", stop_words))
+    first = F.when(F.col("tokens").isNull(), "null_text").when(F.size("kept") == 0, "no_words") \
+        .when(quality.has_phrase(text.join_tokens("tokens")), "boilerplate") \
+        .when(quality.fails_token_quality("kept"), "tokens")
+    tested = pin(split, first=first)
+    passed = F.when(F.col("first").isNull(), text.join_tokens("kept"))
+    stemmed = pin(tested.select(*keep, "tokens", "first", passed.alias("joined")), stemmed=stem_text("joined"))
+    outcome = F.coalesce("first", F.when(quality.has_phrase("stemmed", C.STEMMED_BOILERPLATE), "stemmed_boilerplate"),
+                         F.lit("kept"))
+    done = pin(stemmed, outcome=outcome)
+    stays = F.col("outcome") == "kept"
+    return done.select(*keep, "outcome", F.when(stays, F.col("tokens")).alias("tokens"),
+                       F.when(stays, F.col("stemmed")).alias("processed_text"))
+
+
 def word_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Frequency of every word. Frequent words combine on the map side.
 
@@ -129,7 +152,12 @@ def vocabulary_sizes(clean: DataFrame, stop_words: Iterable[str] = C.STOP_WORDS,
     All totals come from one table of word counts, that is one shuffle of
     already combined counts.
     """
-    counts = word_counts(clean)
+    return vocabulary_sizes_of(word_counts(clean), stop_words, stems)
+
+
+def vocabulary_sizes_of(counts: DataFrame, stop_words: Iterable[str] = C.STOP_WORDS,
+                        stems: bool = True) -> DataFrame:
+    """The same from a table of word counts."""
     kept = ~F.col("word").isin(list(stop_words))
     totals = [
         F.count(F.lit(1)).alias("vocab_raw"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressmill import constants as C
-from pressmill.operators import bayes, profile
+from pressmill.operators import bayes, profile, sketches
 from pressmill.plans import profile_queries, stem_queries  # noqa: F401  (their SQL is used here)
 from pressmill.plans import views as V
 from pressmill.plans.model_queries import NB_FIELD, metric_sql, train_rows
@@ -19,6 +19,7 @@ from pressmill.session import materialize, stage_path, with_settings
 from pressmill.sinks import tables as sinks
 from pressmill.sources import tables as sources
 from pressmill.streaming.incremental import article_stream, incremental_clean
+from pressmill.streaming.totals import RunningTotals, add_articles, incremental_totals
 
 _A = V.with_sql(V.ARTICLES)
 
@@ -145,3 +146,87 @@ def incremental_clean_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = article_stream(spark, f"{root}/in", articles.schema)
         incremental_clean(stream, f"{root}/out", f"{root}/mark").awaitTermination()
     return spark.read.parquet(f"{root}/out")
+
+
+_FEATURE_SQL = " UNION ALL ".join(
+    f"""SELECT {level} AS label, '{f}' AS feature, count(*) AS n, avg({f}_count) AS mean,
+      stddev_pop({f}_count) AS std, min({f}_count) AS least, max({f}_count) AS most FROM features {group}"""
+    for f in profile.FEATURES for level, group in (("NULL", ""), ("type", "GROUP BY type")))
+_LONG = (("n", "n"), ("mean", "mean"), ("std", "std"), ("min", "least"), ("max", "most"))
+_TOTALS_SQL = V.with_sql(
+    *stem_queries.CLEANED, *stem_queries._CLEAN_WORDS, V.FEATURES, f"per_class AS ({_FEATURE_SQL})",
+    f"verdict AS ({stem_queries.DROP_REASONS})") + f"""
+  SELECT 'rows' AS part, CASE WHEN a.content IS NULL THEN 'null_text' WHEN v.id IS NULL THEN 'no_words'
+    ELSE coalesce(v.drop_reason, 'kept') END AS label, NULL AS feature, CAST(count(*) AS DOUBLE) AS value
+  FROM articles a LEFT JOIN verdict v ON v.id = a.id GROUP BY ALL
+  UNION ALL SELECT 'vocabulary', name, NULL, CAST(value AS DOUBLE) FROM (UNPIVOT sizes ON COLUMNS(*) INTO NAME name VALUE value)
+  UNION ALL SELECT 'texts', 'n_rows', NULL, count(*) FROM features
+  UNION ALL SELECT 'texts', 'unique_contents', NULL, count(DISTINCT content) FROM features
+  """ + " ".join(f"UNION ALL SELECT '{name}', label, feature, round({c}, 6) FROM per_class" for name, c in _LONG)
+
+
+def _long(df: DataFrame, part: str) -> DataFrame:
+    """Columns of a one-row table as rows."""
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in df.columns])
+    return wide.unpivot([], wide.columns, "label", "value").select(
+        F.lit(part).alias("part"), "label", F.lit(None).cast("string").alias("feature"), "value")
+
+
+@query("running_totals", _TOTALS_SQL)
+def running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals over two increments, one of them replayed, with the parts merged in between."""
+    articles = V.articles(spark, sf_dir)
+    root = stage_path(spark, "totals")
+    state = RunningTotals(spark, f"{root}/state")
+    for arrived in ("id % 3 = 0", "id % 3 <> 0"):
+        articles.where(arrived).write.mode("append").parquet(f"{root}/in")
+        stream = article_stream(spark, f"{root}/in", articles.schema)
+        incremental_totals(stream, f"{root}/out", state.path, f"{root}/mark").awaitTermination()
+        if arrived == "id % 3 = 0":
+            add_articles(articles.where(arrived), state, f"{root}/out", 0)
+            state.compact()
+    for batch, arrived in enumerate(("id % 3 = 0", "id % 3 <> 0")):  # once merged already, once not yet
+        add_articles(articles.where(arrived), state, f"{root}/out", batch)
+    stats = state.feature_stats()
+    parts = [_long(state.vocabulary_sizes(), "vocabulary"), _long(state.duplicates(), "texts"),
+             state.row_totals().select(F.lit("rows").alias("part"), F.col("outcome").alias("label"),
+                                       F.lit(None).cast("string").alias("feature"), F.col("n").cast("double").alias("value"))]
+    for name, column in (("n", "count"), ("mean", "mean"), ("std", "std"), ("min", "min"), ("max", "max")):
+        parts.append(stats.select(F.lit(name).alias("part"), "label", "feature", F.col(column).cast("double").alias("value")))
+    total = parts[0]
+    for part in parts[1:]:
+        total = total.unionByName(part)
+    return rounded(total)
+
+
+@query("merged_sketches", f"""{V.with_sql(V.ARTICLES, V.FEATURES)} SELECT type AS label, true AS ranks_close, true AS counts_close
+  FROM features GROUP BY type UNION ALL SELECT NULL, true, true FROM features HAVING count(*) > 0""")
+def merged_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of three increments, stored and merged per class and over all, against exact figures.
+
+    A quantile is close if its rank is within 1 %, or its own ties reach there; a count within 3 %.
+    """
+    rows = profile.analyzed(V.articles(spark, sf_dir)).select("id", "type", "token_count", "content")
+    path = stage_path(spark, "sketches")
+    for part in range(3):
+        sketches.sketch(rows.where(f"id % 3 = {part}"), ["type"]).write.mode("append").parquet(path)
+    stored = spark.read.parquet(path)
+    every = sketches.merged(stored, ["type"]).unionByName(
+        sketches.merged(stored).withColumn("type", F.lit(None).cast("string")))
+    every = materialize(every, "merged")
+    both = rows.select("type", "token_count", "content").unionByName(
+        rows.select(F.lit(None).cast("string").alias("type"), "token_count", "content"))
+    points = sketches.quantiles(every, ["type"])
+    lengths = both.groupBy("type", "token_count").agg(F.count(F.lit(1)).alias("c"))
+    ranks = points.alias("p").join(lengths.alias("l"), F.col("p.type").eqNullSafe(F.col("l.type"))).groupBy(
+        "p.type", "p.quantile", "p.value").agg(
+        (F.sum(F.when(F.col("token_count") < F.col("value"), F.col("c")).otherwise(0)) / F.sum("c")).alias("low"),
+        (F.sum(F.when(F.col("token_count") <= F.col("value"), F.col("c")).otherwise(0)) / F.sum("c")).alias("high"))
+    close = ranks.groupBy("type").agg(F.bool_and(
+        (F.col("low") - 0.01 <= F.col("quantile")) & (F.col("quantile") <= F.col("high") + 0.01)).alias("ranks_close"))
+    exact = both.groupBy("type").agg(F.count_distinct("content").alias("exact"))
+    counted = sketches.duplicate_stats(every, ["type"]).alias("s").join(
+        exact.alias("e"), F.col("s.type").eqNullSafe(F.col("e.type"))).select(
+        "s.type", (F.abs(F.col("unique_contents") - F.col("exact")) <= 0.03 * F.col("exact")).alias("counts_close"))
+    return close.alias("a").join(counted.alias("b"), F.col("a.type").eqNullSafe(F.col("b.type"))).select(
+        F.col("a.type").alias("label"), "ranks_close", "counts_close")

@@ -160,12 +160,15 @@ def processed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.processed_articles(V.articles(spark, sf_dir))
 
 
-@query("low_quality", V.with_sql(*CLEANED) + f"""SELECT s.id, c.id IS NULL AS low_quality,
+DROP_REASONS = f"""SELECT s.id, c.id IS NULL AS low_quality,
     CASE WHEN {_any_sql("array_to_string(t.tokens, ' ')", C.RAW_BOILERPLATE)} THEN 'boilerplate'
       WHEN k.id IS NULL THEN 'tokens' WHEN c.id IS NULL THEN 'stemmed_boilerplate' END
       AS drop_reason
   FROM stemmed s JOIN tokenized t ON t.id = s.id LEFT JOIN kept_rows k ON k.id = s.id
-  LEFT JOIN clean c ON c.id = s.id""")
+  LEFT JOIN clean c ON c.id = s.id"""
+
+
+@query("low_quality", V.with_sql(*CLEANED) + DROP_REASONS)
 def low_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.quality_report(V.articles(spark, sf_dir))
 
