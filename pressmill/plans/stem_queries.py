@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from pressmill import constants as C
 from pressmill.functions import labels, quality, text
-from pressmill.operators import cleaning, evaluation, linear, profile, stemming
+from pressmill.operators import (
+    cleaning, evaluation, linear, linear_table, profile, stemming, stochastic,
+)
 from pressmill.operators.dedup import deduplicate_text
+from pressmill.operators.features import term_weights
 from pressmill.plans import views as V
 from pressmill.plans.model_queries import (
     BIGRAM_FIELD, BLOCK_FIELDS, META, TITLE_FIELD, metric_sql, tf_sql, train_rows, vocab_sql,
@@ -445,6 +448,81 @@ def grid_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(linear.choose(scores).table(spark))
 
 
+def _cells(rows: DataFrame, fields) -> DataFrame:
+    """Weights of all rows as ``id, split, label, idx, weight``."""
+    vectorizer = linear.fit_vectorizer(train_rows(rows), fields)
+    weights = term_weights(rows, vectorizer.vocabulary, fields, _KEEP, extra=["idx"])
+    return materialize(weights.select(*_KEEP, "idx", "weight"), "cells")
+
+
+_STEPS, _RATE = 3, 1.0
+
+
+def _descent_sql() -> str:
+    """The same steps in SQL: coefficients, intercepts and margins of every step, for all c together."""
+    rows = "(SELECT id, label FROM labelled WHERE split = 'train')"
+    n = f"(SELECT count(*) FROM {rows})"
+    grid = ", ".join(f"({i}, CAST({c} AS DOUBLE))" for i, c in enumerate(C.C_GRID))
+    ctes = [f"grid(position, c) AS (VALUES {grid})",
+            "w_0 AS (SELECT position, field, term, CAST(0 AS DOUBLE) AS w FROM grid, vocab)",
+            "b_0 AS (SELECT position, CAST(0 AS DOUBLE) AS b FROM grid)"]
+    for k in range(_STEPS + 1):
+        ctes.append(f"m_{k} AS (SELECT l.id, l.split, CAST(l.label AS BIGINT) AS label, b.position, b.b + coalesce(d.dot, 0) AS m "
+                    f"FROM labelled l CROSS JOIN b_{k} b LEFT JOIN (SELECT w.id, c.position, sum(w.weight * c.w) AS dot FROM w "
+                    f"JOIN w_{k} c ON c.field = w.field AND c.term = w.term GROUP BY w.id, c.position) d "
+                    "ON d.id = l.id AND d.position = b.position)")
+        if k == _STEPS:
+            break
+        ctes += [
+            f"r_{k} AS (SELECT id, position, (1 / (1 + exp(-m)) - label) / {n} AS r FROM m_{k} WHERE split = 'train')",
+            f"g_{k} AS (SELECT r.position, w.field, w.term, sum(w.weight * r.r) AS g FROM w JOIN r_{k} r ON r.id = w.id GROUP BY ALL)",
+            f"w_{k + 1} AS (SELECT o.position, o.field, o.term, o.w - {_RATE} * (coalesce(g.g, 0) + o.w / (q.c * {n})) AS w "
+            f"FROM w_{k} o JOIN grid q ON q.position = o.position LEFT JOIN g_{k} g ON g.position = o.position "
+            "AND g.field = o.field AND g.term = o.term)",
+            f"b_{k + 1} AS (SELECT o.position, any_value(o.b) - {_RATE} * sum(r.r) AS b FROM b_{k} o JOIN r_{k} r "
+            "ON r.position = o.position GROUP BY o.position)"]
+    loss = "greatest(0, -(2 * label - 1) * m) + ln(1 + exp(-abs(m)))"
+    ctes += [
+        f"guesses AS (SELECT position, label, CAST(m >= 0 AS BIGINT) AS prediction FROM m_{_STEPS} WHERE split = 'val')",
+        f"f AS ({metric_sql('guesses', 'position', 1)})",
+        f"losses AS (SELECT position, avg({loss}) AS loss FROM m_{_STEPS} WHERE split = 'train' GROUP BY position)",
+        f"squares AS (SELECT position, sum(w * w) AS ww FROM w_{_STEPS} GROUP BY position)"]
+    return V.with_sql(V.ARTICLES, _LOGISTIC, *tf_sql(BLOCK_FIELDS, "labelled"), *vocab_sql(BLOCK_FIELDS, "labelled"),
+                      *weight_sql(BLOCK_FIELDS), *ctes) + f"""SELECT q.position, q.c, f.f1,
+    round(l.loss + s.ww / (2 * q.c * {n}), 6) AS objective,
+    q.position = (SELECT position FROM f ORDER BY f1 DESC, position LIMIT 1) AS chosen
+  FROM grid q JOIN f USING (position) JOIN losses l USING (position) JOIN squares s USING (position)"""
+
+
+@query("logistic_grid_steps", _descent_sql())
+def logistic_grid_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fixed number of full-batch steps for every C together, coefficients as a table; validation F1."""
+    rows = _logistic_rows(spark, sf_dir)
+    cells = _cells(rows, BLOCK_FIELDS)
+    train = train_rows(rows).select("id", "label")
+    model = linear_table.descend(cells.where("split = 'train'"), train, C.C_GRID, _STEPS, _RATE)
+    held = rows.where("split = 'val'").select("id", "label")
+    scores = model.validation_f1(cells.where("split = 'val'"), held)
+    table = linear.choose(list(zip(C.C_GRID, scores))).table(spark)
+    objectives = spark.createDataFrame(list(enumerate(model.objectives)), "position int, objective double")
+    return rounded(table.join(objectives, "position"))
+
+
+@query("svm_epochs", V.with_sql(V.ARTICLES, V.LABELLED, *tf_sql([BIGRAM_FIELD], "labelled"),
+                               *vocab_sql([BIGRAM_FIELD], "labelled")) + """SELECT split, count(*) AS n_rows,
+    (SELECT count(*) FROM vocab) AS n_terms, CASE WHEN split = 'train' THEN true END AS learnt FROM labelled GROUP BY split""")
+def svm_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three epochs of stochastic steps; whether they put three of four training rows on the right side."""
+    rows = V.labelled(spark, sf_dir)
+    vectors, vectorizer = _vectors(rows, [BIGRAM_FIELD])
+    sparse = linear.sparse_rows(train_rows(rows), vectorizer, _KEEP)
+    model = stochastic.fit_epochs(sparse, vectorizer.size)
+    right = F.avg((F.col("prediction") == F.col("label")).cast("int")) >= 0.75
+    return linear.predict(model, vectors, _KEEP).groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.lit(vectorizer.size).cast("bigint").alias("n_terms"),
+        F.when(F.first("split") == "train", right).alias("learnt"))
+
+
 @query("logistic_cross_domain")
 def logistic_cross_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chosen model on every split and, unchanged, on the statements as they are."""
