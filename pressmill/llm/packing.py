@@ -78,6 +78,7 @@ class WordTokenizer:
         for token, number in vocabulary.items():
             self.last[number] = token.endswith(suffix)
         self.split = regex.compile(self.PIECES + "|\n").findall
+        self.marks = regex.compile(r"\p{M}").search
         self.special = [t.content for t in self.merges.get_added_tokens_decoder().values()]
         self._forget()
 
@@ -115,12 +116,18 @@ class WordTokenizer:
         self.counts = np.append(self.counts, counts)
         self.ids = np.append(self.ids, ids)
 
+    def _odd(self, text: str) -> bool:
+        """Whether a text has something that only the library itself handles for certain.
+
+        Combining marks are composed by its own Unicode tables, which are of another age than Python's.
+        """
+        return not text.isprintable() or self.marks(text) is not None or any(mark in text for mark in self.special)
+
     def _words(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words, of which each has a line, one after another, and how many each has."""
-        if any(mark in text for mark in self.special) or not text.replace("\n", "").isprintable():
+        if self._odd(text.replace("\n", "")):
             words = text.split("\n")
-            odd = {i: self._whole(word) for i, word in enumerate(words)
-                   if not word.isprintable() or any(mark in word for mark in self.special)}
+            odd = {i: self._whole(word) for i, word in enumerate(words) if self._odd(word)}
             plain = [word for i, word in enumerate(words) if i not in odd]
             ids, counts = self._words("\n".join(plain)) if plain else (np.zeros(0, np.int32), [])
             cuts = np.append(0, np.cumsum(counts)).astype(np.int64)

@@ -4,9 +4,12 @@ import base64
 import collections
 import hashlib
 import struct
+import unicodedata
 import zlib
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -110,3 +113,19 @@ def test_query_digests(spark, sf_dir, encoding):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest()
+
+
+def test_word_ids_of_all_code_points():
+    """Every assigned code point alone, in a word, and between combining marks, as the library has it."""
+    points = [chr(i) for i in range(0x21, 0x110000) if unicodedata.category(chr(i)) not in ("Cs", "Cn", "Co")]
+    marks = [c for c in points if unicodedata.category(c).startswith("M")]
+    newer = [chr(i) for i in (0x7FD, 0x898, 0x9FE, 0xC3C, 0x1ABF, 0x10EFD, 0x11F41, 0x1E08F)]
+    letters = [c for c in points if len(c.encode()) < 4 and not "㐀" <= c <= "힣"]
+    texts = ["ͅ" + c + "́" for c in marks + newer + letters[::7]]
+    texts += [f"a{c}b" for c in letters] + ["e" + c + "̣x́" for c in marks]
+    tokenizer = packing.WordTokenizer.load(WORDS)
+    flat, counts = tokenizer.encode(pa.array(texts))
+    ends = np.cumsum(counts)
+    library = Tokenizer.from_file(WORDS).encode_batch_fast(texts, add_special_tokens=False)
+    wrong = [t for t, a, b, x in zip(texts, ends - counts, ends, library) if flat[a:b].tolist() != x.ids]
+    assert not wrong, wrong[:20]
