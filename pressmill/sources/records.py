@@ -6,8 +6,8 @@ a quoted field depends on all that is before it, so files are read twice:
 1. Every block tells in which state it ends if it begins outside, and if it begins inside a
    quoted field, and whether a record ends in it. Going through these few rows in
    order, one per block, gives the state in which each block really begins.
-2. Every block is cut into records from its own state. Complete records stay where they
-   are; a record that goes on in the next blocks is put together from its pieces, of
+2. Every block is cut into records. They soon are the same from either state; those
+   before that are told by the state that was found. Complete records stay where they are; a record that goes on in the next blocks is put together from its pieces, of
    which there are two per block at most.
 
 So a file of any size is read by as many tasks as it has blocks, and what passes between
@@ -185,6 +185,34 @@ def _blocks(lines: DataFrame, sep: int) -> DataFrame:
         F.array(*piece), lambda p: F.length(p["piece"]) > 0).alias("pieces")), "blocks")
 
 
+class _Cutter:
+    """Complete records of one block, if it begins in the given state."""
+
+    def __init__(self, inside: bool) -> None:
+        self.inside, self.skip, self.rest = inside, inside, b""  # the first end may be that of an earlier record
+
+    def take(self, data: np.ndarray, sep: int) -> dict[tuple[int, int], tuple[bytes, int]]:
+        """Records that end here by where they begin and end, with their number of fields."""
+        ends, seps, self.inside = cut(data, self.inside, sep)
+        if not len(ends):
+            self.rest += data.tobytes()
+            return {}
+        text, stops = data[:ends[-1]].tobytes(), ends.tolist()
+        fields = (np.diff(np.append(0, np.searchsorted(seps, ends))) + 1).tolist()
+        found = {(a, b): (text[a:b], n) for a, b, n in zip([0, *stops], stops, fields)}
+        if self.skip or self.rest:
+            first, _ = found.pop((0, stops[0]))
+            if not self.skip:
+                record = self.rest + first
+                _, inner, _ = cut(np.frombuffer(record, np.uint8), False, sep)
+                found[-len(self.rest), stops[0]] = record, len(inner) + 1
+        self.skip, self.rest = False, data[ends[-1]:].tobytes()
+        return found
+
+    def same_as(self, other: _Cutter) -> bool:
+        return not self.skip and not other.skip and (self.inside, len(self.rest)) == (other.inside, len(other.rest))
+
+
 def read_records(spark: SparkSession, path: str | Sequence[str], sep: str = ",") -> DataFrame:
     """``record, fields``: each record as text, without its line end, and its number of fields.
 
@@ -198,35 +226,38 @@ def read_records(spark: SparkSession, path: str | Sequence[str], sep: str = ",")
     blocks = _blocks(lines, code)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, inside, skip, rest = None, False, False, b""
+        here, cutters, met = None, [], False
+
+        def rows(found: dict, if_inside: bool | None) -> pa.RecordBatch:
+            batch = _rows([r for r, _ in found.values()], code, [n for _, n in found.values()])
+            n = batch.num_rows
+            return pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([here[0]] * n, pa.string()), pa.array([here[1]] * n, pa.int64()),
+                 pa.array([if_inside] * n, pa.bool_())], ["record", "fields", "file", "start", "if_inside"])
+
         for key, part in _by_block(batches):
             if here != key:
-                here, rest = key, b""
-                inside = skip = part.column("inside")[0].as_py()  # the first end is that of an earlier record
+                here, cutters, met = key, [_Cutter(False), _Cutter(True)], False
             data = _lines(part.column("value"))
-            ends, seps, inside = cut(data, inside, code)
-            if not len(ends):
-                rest += data.tobytes()
+            outer, *inner = [c.take(data, code) for c in cutters[:1 if met else 2]]
+            if met:
+                yield rows(outer, None)
                 continue
-            text, stops = data[:ends[-1]].tobytes(), ends.tolist()
-            records = [text[a:b] for a, b in zip([0, *stops], stops)]
-            fields = (np.diff(np.append(0, np.searchsorted(seps, ends))) + 1).tolist()
-            if skip:
-                records, fields = records[1:], fields[1:]
-            elif rest:
-                yield _rows([rest + records[0]], code)
-                records, fields = records[1:], fields[1:]
-            skip, rest = False, data[ends[-1]:].tobytes()
-            yield _rows(records, code, fields)
+            same = outer.keys() & inner[0].keys()
+            yield rows({k: outer[k] for k in same}, None)
+            yield rows({k: r for k, r in outer.items() if k not in same}, False)
+            yield rows({k: r for k, r in inner[0].items() if k not in same}, True)
+            met = cutters[0].same_as(cutters[1])
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield _rows([b"".join(p["piece"] for p in parts) for parts in batch.column("parts").to_pylist()], code)
 
     kind = "record string, fields int"
-    # lines have to stay in order, which they do in a broadcast join; it has one short row per block
-    states = F.broadcast(blocks.select("file", "start", "inside"))
-    whole = lines.join(states, ["file", "start"]).mapInArrow(run, kind)
+    # what a block has from either state; the few records that depend on it are then told by the state
+    either = lines.mapInArrow(run, f"{kind}, file string, start bigint, if_inside boolean")
+    whole = either.join(blocks.select("file", "start", "inside"), ["file", "start"]).where(
+        F.coalesce(F.col("if_inside") == F.col("inside"), F.lit(True))).select("record", "fields")
     shared = blocks.select("file", "start", F.explode("pieces").alias("p")).groupBy("file", "p.owner").agg(
         F.array_sort(F.collect_list(F.struct("start", "p.piece"))).alias("parts"))
     every = whole.unionByName(shared.select("parts").mapInArrow(put_together, kind))
