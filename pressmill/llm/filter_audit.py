@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressmill.llm.common import documents, stage
+from pressmill.session import with_settings
 
 #: Cells of a block, a power of two; all cells of a text lie in one block.
 BLOCK_CELLS = 1 << 15
@@ -134,18 +135,24 @@ def repeats(rows: DataFrame, texts: DataFrame, n_rows: int) -> DataFrame:
     """
     blocks = max(1, -(-n_rows * CELLS_A_TEXT // BLOCK_CELLS))
     merged = sketch(rows, blocks)
+    spark = rows.sparkSession
     if blocks * BLOCK_CELLS // 8 <= BROADCAST_BYTES:
-        merged = F.broadcast(merged)
-        wanted = _possible(texts, merged, blocks)
-        again = _possible(rows, merged, blocks)
+        # the planner broadcasts the written sketch, so that texts are tested where they are read
+        with with_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": str(BROADCAST_BYTES)}):
+            again = stage(_possible(rows, merged, blocks), "again")
+            first = stage(_first(_possible(texts, merged, blocks)), "first")
     else:
         again = stage(_possible(rows, merged, blocks), "again")
-        wanted = texts.join(again.distinct(), ["doc_id", "h"], "left_semi")
-    first = wanted.groupBy("text").agg(F.min("doc_id").alias("doc_id")) \
-        .select("doc_id", F.xxhash64("text").alias("h"))
+        first = _first(texts.join(again.distinct(), ["doc_id", "h"], "left_semi"))
     return again.join(first, ["doc_id", "h"], "left_anti")
 
 
+def _first(texts: DataFrame) -> DataFrame:
+    """``doc_id, h`` of the least id of each text; a group of copies leaves a map task as one row."""
+    least = texts.groupBy("text").agg(F.min("doc_id").alias("doc_id"))
+    return least.select("doc_id", F.xxhash64("text").alias("h"))
+
+
 def mask_counts(docs: DataFrame, labels: DataFrame, filters: Callable[[Column], Mapping[str, Column]] = text_filters,
                 part: str = "source", outcomes: Mapping[str, str] | None = None) -> DataFrame:
     """``part, mask, n`` and a sum per outcome: documents by the set of filters they fail.
