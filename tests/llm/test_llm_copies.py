@@ -110,6 +110,29 @@ def test_signatures_lose_no_pair(percent):
         assert set(signatures[owner == 0]) & set(signatures[owner == 1]), (n, drop, add)
 
 
+@pytest.mark.parametrize("percent", [60, 80, 95])
+def test_sketches_keep_links_and_drop_most_others(percent):
+    """Sets at the threshold stay together, also with other numbers of cells; sets with a tenth in common part."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(percent)
+    texts = []
+    for n in [1, 3, 13, 63, 64, 65, 127, 130, 400, 2000]:
+        base = [f"w{n}-{x}" for x in range(3 * n)]
+        drop = n * (100 - percent) // 100
+        texts += [" ".join(base[:n]), " ".join(base[drop:n])]  # similarity is exactly that or a little more
+    many = [" ".join([f"p{i}" for i in range(30)] + [f"q{x}" for x in rng.integers(0, 10**9, 300)]) for _ in range(20)]
+    sets = part_enum._Sets(pa.array(texts + many), 1)
+    doc = np.arange(len(texts) + len(many))
+    for block in (np.zeros(len(doc), np.int64), doc % 2):
+        found = part_enum._possible(pa.table([pa.array(doc), pa.array(sets.counts), pa.array(block), sets.sketches()],
+                                             ["doc_id", "n", "block", "sketch"]), percent)
+        part = dict(zip(found["doc_id"].to_pylist(), found["part"].to_pylist()))
+        assert all(part[i] == part[i + 1] for i in range(0, len(texts), 2))
+        if percent > 60:
+            assert not set(part) & set(range(len(texts), len(doc)))
+
+
 def test_connected_components(spark):
     rng = np.random.default_rng(1)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 400, (260, 2))] + [(i, i + 1) for i in range(1000, 1300)]
