@@ -37,8 +37,9 @@ from pyspark.sql import functions as F
 from pressmill.llm.common import Words, documents, inverse_powers, mix, one_per_id, powers, slices, stage
 from pressmill.llm.components import components, forest
 
-#: Elements of the sets of a block.
+#: Elements of the sets of a block, which has at most a thousand or so sets.
 BLOCK = 480_000
+_SETS = 1000
 _BASE = 0xC2B2AE3D27D4EB4F
 _ONE = np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -258,12 +259,14 @@ def _verified(docs: DataFrame, members: DataFrame, clusters: DataFrame, size: in
     reps = members.where("doc_id = rep").select("doc_id", "n", "sketch")
     placed = stage(reps.join(clusters, F.col("doc_id") == F.col("node")).select(
         "doc_id", "n", "component", "sketch"), "placed")
-    # sets in the order of size, equal sizes in that of a hash, cut where another BLOCK elements begin
+    # sets in the order of size, equal sizes in that of a hash, cut where another BLOCK elements begin;
+    # small sets weigh as much as those of which a block has _SETS
+    weight = F.greatest(F.col("n"), F.lit(BLOCK // _SETS))
     sizes = placed.groupBy("component", "n").agg(F.count("*").alias("sets"))
     whole = Window.partitionBy("component")
-    before = F.sum(F.col("n") * F.col("sets")).over(whole.orderBy("n")) - F.col("n") * F.col("sets")
+    before = F.sum(weight * F.col("sets")).over(whole.orderBy("n")) - weight * F.col("sets")
     sizes = sizes.withColumn("before", before).withColumn("all", F.sum("sets").over(whole)).where("all > 1")
-    place = F.col("before") + F.col("n") * F.pmod(F.xxhash64("doc_id"), F.col("sets"))
+    place = F.col("before") + weight * F.pmod(F.xxhash64("doc_id"), F.col("sets"))
     blocked = stage(placed.join(sizes, ["component", "n"]).select(
         "doc_id", "n", "component", "sketch", F.floor(place / BLOCK).cast("bigint").alias("block")), "blocked")
     blocks = stage(blocked.groupBy("component", "block").agg(F.min("n").alias("low"), F.max("n").alias("high")), "blocks")
