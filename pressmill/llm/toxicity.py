@@ -236,12 +236,12 @@ def _lexicon(sample: DataFrame, max_terms: int, lift: float, support: float
         for part in slices(iter([pa.RecordBatch.from_arrays([column], ["text"])])):
             words = Words(part.column("text"), lower=True)
             hashes = words.hashes()
-            keys += [np.unique(hashes[a:b])[:2].tobytes() for a, b in zip(words.first, words.first[1:])]
+            keys += [np.unique(hashes[a:b])[:4].tobytes() for a, b in zip(words.first, words.first[1:])]
         return pa.array(keys, pa.binary())
 
-    # near copies of a text, told by the two least hashes of its words, say nothing new
-    texts = sample.groupBy(least_words("text").alias("key")).agg(
-        F.max("label").alias("label"), F.min("text").alias("text")).select("label", "text")
+    # near copies of a text, told by the four least hashes of its words, say nothing new; a toxic one stays
+    row = F.struct((-F.col("label")).alias("order"), "text", "label")
+    texts = sample.groupBy(least_words("text").alias("key")).agg(F.min(row).alias("row")).select("row.label", "row.text")
     texts = materialize(texts, "texts")
     counted = {row["label"]: row["count"] for row in texts.groupBy("label").count().collect()}
     others, toxic = counted.get(0, 0), max(1, counted.get(1, 0))
