@@ -11,15 +11,15 @@ rest of its probability goes to the suffix's other words in proportion. A text i
 scored word by word from the longest retained context.
 
 Counts are absolute, so the tree grows with the corpus; it is held in written tables
-keyed by a 64-bit hash of the words. A run of words that occurs ``least`` times has
-shorter runs that do, so each length is weighed by joins with the table of the length
-before. The score of a token is a sum over the runs that end with it (see
-``context_tables``): one join and one sum for each length, over runs counted per text.
-Only the frequent words, at most ``1 / word_share``, are also held in the tasks, to
-spare them the join of single words.
-
-``fit`` with a depth makes a tree of the frequent contexts in memory, bounded by
-shares of the corpus; the score takes only its words.
+keyed by a 64-bit hash of the words. Texts are cut into slices of some megabytes. Each
+slice asks for all its runs of one to ``depth + 1`` words: their keys, sorted, go as
+one blob to each range of keys, with what the slice counted. The range adds up and
+answers in the order asked, so an answer has no keys. One slice of those that hold a
+run, named in the answer, reports it for the tree, with its context and suffix. The
+score of a token is a sum over the runs that end with it (see ``context_tables``); what
+each run adds is asked for in the same way, by those runs alone that can be in the tree.
+Ranges are as many as the runs need, so one holds about ``RANGE_KEYS`` at every size of
+the corpus; a run is in a slice's question once, however often it occurs there.
 
 A null or empty text is one end. Of rows that repeat an id the one with the least
 text counts, rows without id go; other columns are ignored. Without training texts
@@ -28,277 +28,262 @@ every word has the same probability.
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressmill.llm.common import Words, documents, mix, one_per_id, slices, stage
 
 DISCOUNT = 0.5
-#: Hash of the end, in both kinds; no word has it in practice, and the word table tells them apart.
+#: Keys, about, that a range of them has to add up at a time.
+RANGE_KEYS = 2_000_000
+#: Hash of the end; no word has it in practice.
 _END = np.uint64(0)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_SEQUENCE = "slice bigint, doc_ids array<bigint>, sizes array<int>, learnt array<boolean>, words binary, " \
+            "codes binary, symbols bigint"
+_GRAM = "struct<length: int, gram: bigint, ctx: bigint, shorter: bigint, n: bigint, total: bigint, under: bigint>"
 
 
-@dataclass
-class Tree:
-    first: np.ndarray  # hashes of the frequent words, sorted; the end is one of them
-    second: np.ndarray
-    count: np.ndarray
-    tokens: int
-    distinct: int
-    contexts: list[np.ndarray] = field(default_factory=list)  # by length: sorted suffix * size + oldest word
-    keys: list[np.ndarray] = field(default_factory=list)  # by length: sorted context * size + next word
-    values: list[np.ndarray] = field(default_factory=list)  # log10 probability of that next word
-    rest: list[np.ndarray] = field(default_factory=list)  # by length: log10 factor for all other words
-
-    @property
-    def size(self) -> int:
-        """One more than there are frequent words: the last stands for any word."""
-        return len(self.first) + 1
-
-    @property
-    def normal(self) -> float:
-        return self.tokens + 0.5 * (self.distinct + 1)
-
-    def root(self) -> np.ndarray:
-        return np.log10((self.count + 0.5) / self.normal)
-
-    def symbols(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """Numbers of frequent words, -1 for others."""
-        if not len(self.first):
-            return np.full(len(first), -1)
-        at = np.minimum(np.searchsorted(self.first, first), len(self.first) - 1)
-        return np.where((self.first[at] == first) & (self.second[at] == second), at, -1)
-
-
-def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Positions in sorted keys, -1 where there is none."""
-    if not len(keys):
-        return np.full(len(wanted), -1)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
-
-
-class _Sequence:
-    """The symbols of some texts: an end before each, its words, an end after."""
-
-    def __init__(self, column: pa.Array, tree: Tree | None = None) -> None:
-        self.words = words = Words(column, lower=True)
-        per_text = words.per_text()
-        sizes = per_text + 2
-        self.stops = np.cumsum(sizes)
-        self.starts = self.stops - sizes
-        self.text = np.repeat(np.arange(len(sizes)), sizes)
-        self.place = np.arange(len(self.text)) - self.starts[self.text]  # in its text
-        self.inner = (self.place > 0) & (self.place < sizes[self.text] - 1)
-        self.target = self.place > 0
-        if tree is None:
-            return
-        self.at, self.code = words.distinct()
-        end = int(tree.symbols(np.array([_END]), np.array([_END]))[0])
-        self.symbol = np.full(len(self.text), end)
-        if len(self.code):
-            known = tree.symbols(words.hashes(0)[self.at], words.hashes(1)[self.at])
-            self.symbol[self.inner] = known[self.code]
-
-    def states(self, tree: Tree) -> list[np.ndarray]:
-        """For every context length the context that each token follows, -1 for none."""
-        state, found = np.zeros(len(self.symbol), np.int64), []
-        for length, contexts in enumerate(tree.contexts, 1):
-            older = np.full(len(self.symbol), -1)
-            older[length:] = self.symbol[:-length]
-            able = (state >= 0) & (older >= 0) & (self.place >= length)
-            state = np.where(able, _find(contexts, state * tree.size + older), -1)
-            found.append(state)
-        return found
+def _pack_keys(keys: np.ndarray, start: int) -> bytes:
+    """Sorted keys from ``start`` on as six bytes of each difference, larger ones apart."""
+    gaps = np.diff(keys, prepend=np.uint64(start))
+    high = (gaps >> np.uint64(48)).astype(np.uint16)
+    large = np.flatnonzero(high).astype(np.uint32)
+    low = gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    return np.uint32(len(keys)).tobytes() + low.tobytes() + large.tobytes() + high[large].tobytes()
 
 
-def _word_counts(docs: DataFrame) -> DataFrame:
-    """``word, c`` of all tokens; the end is the empty word."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            words = Words(part.column("text"), lower=True)
-            at, code = words.distinct()
-            data = words.data.tobytes()
-            found = [data[a:b] for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist())]
-            counts = np.append(np.bincount(code, minlength=len(at)), part.num_rows).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([*found, b""], pa.binary()).cast(pa.string()), pa.array(counts)], ["word", "n"])
+def _unpack_keys(blob: bytes, start: int) -> np.ndarray:
+    n = int(np.frombuffer(blob, np.uint32, 1)[0])
+    gaps = np.zeros((n, 8), np.uint8)
+    gaps[:, :6] = np.frombuffer(blob, np.uint8, 6 * n, 4).reshape(-1, 6)
+    gaps = gaps.view("<u8").ravel()
+    apart = (len(blob) - 4 - 6 * n) // 6
+    if apart:
+        large = np.frombuffer(blob, np.uint32, apart, 4 + 6 * n)
+        gaps[large] += np.frombuffer(blob, np.uint16, apart, 4 + 6 * n + 4 * apart).astype(np.uint64) << np.uint64(48)
+    return np.cumsum(gaps, dtype=np.uint64) + np.uint64(start)
 
-    return docs.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("c"))
 
+def _pack_counts(counts: np.ndarray) -> bytes:
+    """One byte each and eight more for those of 255 or above, compressed."""
+    small = np.minimum(counts, 255).astype(np.uint8)
+    return zlib.compress(small.tobytes() + counts[small == 255].astype(np.int64).tobytes(), 1)
 
-def _frequent(vocabulary: DataFrame, least: float) -> list[np.ndarray]:
-    """Both hashes and the count of words that occur ``least`` times."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "word"):
-            words = Words(part.column("word"))
-            hashes = np.full((2, part.num_rows), _END)
-            for kind in (0, 1):
-                hashes[kind][words.per_text() > 0] = words.hashes(kind)
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(h.view(np.int64)) for h in hashes), part.column("c")], ["first", "second", "c"])
 
-    found = vocabulary.where(F.col("c") >= least).mapInArrow(
-        run, "first bigint, second bigint, c bigint").toArrow()
-    first, second, count = (found.column(i).to_numpy() for i in range(3))
-    first, second = first.view(np.uint64), second.view(np.uint64)
-    order = np.lexsort((second, first))
-    return [first[order], second[order], count[order]]
+def _unpack_counts(blob: bytes, size: int) -> np.ndarray:
+    blob = zlib.decompress(blob)
+    counts = np.frombuffer(blob, np.uint8, size).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(blob, np.int64, (len(blob) - size) // 8, size)
+    return counts
 
 
-def _pair_counts(docs: DataFrame, tree: Tree, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of next words in the longest contexts of the tree: those of ``least``, and all totals."""
-    size = tree.size
+def _pack_flags(flags: np.ndarray) -> bytes:
+    return zlib.compress(np.packbits(flags).tobytes(), 1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            sequence = _Sequence(part.column("text"), tree)
-            state = sequence.states(tree)[-1]
-            use = sequence.target & (state >= 0)
-            state, symbol = state[use], sequence.symbol[use]
-            known = symbol >= 0
-            key = np.concatenate([state[known] * size + symbol[known], state * size + size - 1])
-            key, n = np.unique(key, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
-
-    found = docs.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")) \
-        .where((F.col("n") >= least) | (F.col("key") % size == size - 1)).toArrow()
-    key, n = found.column("key").to_numpy(), found.column("n").to_numpy()
-    order = np.argsort(key)
-    return key[order], n[order]
-
-
-def fit(docs: DataFrame, depth: int = 3, word_share: float = 4e-6, context_share: float = 1e-4,
-        pair_share: float = 2e-6, ratio: float = 1.2) -> tuple[Tree, DataFrame]:
-    """The tree of ``docs`` (``doc_id, text``) and the table of all their words."""
-    vocabulary = stage(_word_counts(docs), "vocabulary")
-    sums = vocabulary.agg(F.sum("c").alias("tokens"), F.count("*").alias("distinct")).first()
-    tokens = sums["tokens"] or 0
-    tree = Tree(*_frequent(vocabulary, max(2, word_share * tokens)), tokens, sums["distinct"])
-    size, root = tree.size, tree.root()
-    least = max(3, pair_share * tokens)
-    names: list[dict[tuple[int, ...], int]] = [{(): 0}]  # by length: words, oldest first -> context
-    wanted = {(int(w),) for w in np.flatnonzero(tree.count >= max(2, context_share * tokens))}
-    # log10 probabilities of any word in contexts of the lengths so far
-    for length in range(1, depth + 1):
-        keyed = sorted((names[-1][words[1:]] * size + words[0], words)
-                       for words in wanted if words[1:] in names[-1])
-        if not keyed:
-            break
-        tree.contexts.append(np.array([key for key, _ in keyed], np.int64))
-        names.append({words: i for i, (_, words) in enumerate(keyed)})
-        key, n = _pair_counts(docs, tree, least)
-        context, word = key // size, key % size
-        total = np.zeros(len(keyed))
-        total[context[word == size - 1]] = n[word == size - 1]
-        pair = word < size - 1
-        context, word, n, key = context[pair], word[pair], n[pair], key[pair]
-        strings = [words for _, words in keyed]
-        wanted = {(*strings[c], int(w)) for c, w, k in zip(context.tolist(), word.tolist(), n.tolist())
-                  if k >= context_share * tokens}
-        suffix = tree.contexts[-1] // size  # the next shorter context of each
-        lower = _lookup(tree, length - 1, suffix[context], word, root)
-        own = np.log10((n - DISCOUNT) / total[context])
-        keep = np.abs(own - lower) >= np.log10(ratio)
-        context, word, n, key, own, lower = (x[keep] for x in (context, word, n, key, own, lower))
-        mass = np.bincount(context, 10 ** own, len(keyed))
-        lower_mass = np.bincount(context, 10 ** lower, len(keyed))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            rest = np.log10((1 - mass) / np.maximum(1 - lower_mass, 1e-12))
-        gain = np.bincount(context, n * (own - lower), len(keyed)) \
-            + (total - np.bincount(context, n, len(keyed))) * np.where(np.isfinite(rest), rest, 0)
-        cost = 0.5 * np.log10(max(tokens, 2)) * np.bincount(context, minlength=len(keyed))
-        retained = (gain > cost) & np.isfinite(rest)
-        stay = retained[context]
-        tree.keys.append(key[stay])
-        tree.values.append(own[stay])
-        tree.rest.append(np.where(retained, rest, 0.0))
-    return tree, vocabulary
-
-
-def _lookup(tree: Tree, length: int, context: np.ndarray, word: np.ndarray, root: np.ndarray) -> np.ndarray:
-    """log10 probability of frequent words in contexts of a length; 0 is the root."""
-    found, open_ = np.zeros(len(word)), np.ones(len(word), bool)
-    for n in range(length, 0, -1):
-        at = _find(tree.keys[n - 1], context * tree.size + word)
-        hit = open_ & (at >= 0)
-        found[hit] += tree.values[n - 1][at[hit]]
-        open_ &= ~hit
-        found[open_] += tree.rest[n - 1][context[open_]]
-        context = tree.contexts[n - 1][context] // tree.size
-    found[open_] += root[word[open_]]
-    return found
-
-
-def _keys(sequence: _Sequence, longest: int) -> list[np.ndarray]:
-    """For every token the hash of the 1, 2, ... words that end with it; wrong where ``place`` is too low."""
-    symbol = np.full(len(sequence.text), _END)
-    symbol[sequence.inner] = sequence.words.hashes()
-    keys = [mix(symbol + _STEP)]
-    for back in range(1, longest):
-        older = np.full(len(symbol), _END)
-        older[back:] = symbol[:-back]
-        keys.append(mix(keys[-1] * _STEP + older + np.uint64(back)))
-    return keys
-
-
-def _word_keys(vocabulary: DataFrame, normal: float) -> DataFrame:
-    """``gram, n, p`` of all words: key, count and log10 probability."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "word"):
-            words, symbol = Words(part.column("word")), np.full(part.num_rows, _END)
-            symbol[words.per_text() > 0] = words.hashes(0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(mix(symbol + _STEP).view(np.int64)), part.column("c")], ["gram", "n"])
 
-    return vocabulary.mapInArrow(run, "gram bigint, n bigint") \
-        .select("gram", "n", F.log10((F.col("n") + 0.5) / normal).alias("p"))
+def _unpack_flags(blob: bytes, size: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(zlib.decompress(blob), np.uint8), count=size).astype(bool)
 
 
-def _gram_counts(docs: DataFrame, length: int, least: int) -> DataFrame:
-    """``gram, ctx, shorter, n`` of ``length`` words and the next one, ``least`` times or more.
+def _signed(keys: np.ndarray) -> pa.Array:
+    return pa.array(keys.view(np.int64))
 
-    ``ctx`` is the key of the words before the last one, ``shorter`` that of all but the oldest.
-    """
+
+def _sequences(docs: DataFrame) -> DataFrame:
+    """Texts (``doc_id, text, learnt``) as a row per slice: its distinct words and the order they come in."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
         for part in slices(batches):
-            sequence = _Sequence(part.column("text"))
-            use = np.flatnonzero(sequence.place >= length)
-            *_, short, long = _keys(sequence, length + 1)
-            gram, at, n = np.unique(long[use], return_index=True, return_counts=True)
-            ctx, shorter = short[use[at] - 1], short[use[at]]
+            words = Words(part.column("text"), lower=True)
+            at, code = words.distinct()
+            sizes = words.per_text().astype(np.int32)
+            code = code.astype(np.uint16 if len(at) <= 1 << 16 else np.uint32)
+            row = [number, part.column("doc_id").to_pylist(), sizes.tolist(), part.column("learnt").to_pylist(),
+                   words.hashes()[at].tobytes(), code.tobytes(), int(sizes.sum()) + len(sizes)]
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(k.view(np.int64)) for k in (gram, ctx, shorter)), pa.array(n)],
-                ["gram", "ctx", "shorter", "n"])
+                [pa.array([x], kind) for x, kind in zip(row, (
+                    pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.binary(),
+                    pa.binary(), pa.int64()))],
+                ["slice", "doc_ids", "sizes", "learnt", "words", "codes", "symbols"])
+            number += 1
+
+    return docs.mapInArrow(run, _SEQUENCE)
 
-    return docs.mapInArrow(run, "gram bigint, ctx bigint, shorter bigint, n bigint") \
-        .groupBy("gram", "ctx", "shorter").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
+class _Slice:
+    """The symbols of some texts, an end before each, its words, an end after, and the keys of their runs."""
 
-def context_tables(docs: DataFrame, tree: Tree, vocabulary: DataFrame, depth: int = 3, least: int = 3,
+    def __init__(self, row: dict, longest: int) -> None:
+        self.doc_ids, per_text = row["doc_ids"], np.array(row["sizes"], np.int64)
+        sizes = per_text + 2
+        starts = np.cumsum(sizes) - sizes
+        self.text = np.repeat(np.arange(len(sizes)), sizes)
+        self.place = np.arange(len(self.text)) - starts[self.text]  # in its text
+        inner = (self.place > 0) & (self.place < sizes[self.text] - 1)
+        words = np.frombuffer(row["words"], np.uint64)
+        width = len(row["codes"]) // max(1, int(per_text.sum()))
+        symbol = np.full(len(self.text), _END)
+        symbol[inner] = words[np.frombuffer(row["codes"], np.uint16 if width == 2 else np.uint32)]
+        self.learnt = np.array(row["learnt"], bool)[self.text]
+        #: By length: the positions of symbols that end a run, and from where on the run's numbers are in ``number``.
+        self.at = [np.flatnonzero(self.place >= max(1, length - 1)) for length in range(1, longest + 1)]
+        self.begin = np.cumsum([0, *map(len, self.at)])
+        found, key = [], mix(symbol + _STEP)
+        for back in range(longest):
+            if back:
+                older = np.full(len(symbol), _END)
+                older[back:] = symbol[:-back]
+                key = mix(key * _STEP + older + np.uint64(back))
+            found.append(key[self.at[back]])
+        self.keys, self.number = np.unique(np.concatenate(found), return_inverse=True)
+
+    def runs(self, length: int) -> np.ndarray:
+        """Numbers of the runs that end at ``at[length - 1]``."""
+        return self.number[self.begin[length - 1]:self.begin[length]]
+
+    def counts(self) -> np.ndarray:
+        """How often each run occurs in the texts to learn from."""
+        use = self.learnt[np.concatenate(self.at)]
+        return np.bincount(self.number[use], minlength=len(self.keys))
+
+    def numbers_at(self, length: int) -> np.ndarray:
+        """For each symbol the number of the run that ends with it; an end before a text is that after it."""
+        found = np.zeros(len(self.text), np.int64)
+        found[self.at[length - 1]] = self.runs(length)
+        if length == 1:
+            found[self.place == 0] = found[np.append(self.place[1:] == 0, True)]
+        return found
+
+
+def _cut(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int, int]]:
+    """Of sorted keys the ranges that have some: its number, its first possible key, from where, to where."""
+    if not bits:
+        yield 0, 0, 0, len(keys)
+        return
+    part = keys >> np.uint64(64 - bits)
+    at = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    for a, b in zip(at.tolist(), [*at[1:].tolist(), len(keys)]):
+        yield int(part[a]), int(part[a]) << (64 - bits), a, b
+
+
+def _rows(table: pa.Table) -> list[dict]:
+    return sorted(table.to_pylist(), key=lambda row: row["part"])
+
+
+def _asked(sequences: DataFrame, longest: int, bits: int) -> DataFrame:
+    """``slice, part, keys, counts``: what each slice asks of each range of keys."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                own = _Slice(row, longest)
+                counts = own.counts()
+                rows = [{"slice": row["slice"], "part": part, "keys": _pack_keys(own.keys[a:b], start),
+                         "counts": _pack_counts(counts[a:b])} for part, start, a, b in _cut(own.keys, bits)]
+                yield pa.RecordBatch.from_pylist(rows, pa.schema(
+                    [("slice", pa.int64()), ("part", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]))
+
+    return sequences.mapInArrow(run, "slice bigint, part bigint, keys binary, counts binary")
+
+
+def _totals(asked: DataFrame, bits: int) -> DataFrame:
+    """``slice, part, counts, named``: counts over all slices, in the order asked, and which of them to report."""
+    def run(table: pa.Table) -> pa.Table:
+        start = table.column("part")[0].as_py() << (64 - bits)
+        keys = [_unpack_keys(blob.as_py(), start) for blob in table.column("keys")]
+        ends = np.cumsum([len(k) for k in keys])
+        n = np.concatenate([_unpack_counts(blob.as_py(), len(k)) for blob, k in zip(table.column("counts"), keys)])
+        keys = np.concatenate(keys)
+        order = np.argsort(keys, kind="stable")
+        ordered = keys[order]
+        new = np.append(True, ordered[1:] != ordered[:-1])
+        sums = np.add.reduceat(n[order], np.flatnonzero(new))
+        n[order] = sums[np.cumsum(new) - 1]
+        named = np.zeros(len(keys), bool)
+        named[order[new]] = True
+        cuts = list(zip([0, *ends[:-1].tolist()], ends.tolist()))
+        return pa.table({"slice": table.column("slice"), "part": table.column("part"),
+                         "counts": pa.array([_pack_counts(n[a:b]) for a, b in cuts], pa.binary()),
+                         "named": pa.array([_pack_flags(named[a:b]) for a, b in cuts], pa.binary())})
+
+    return asked.groupBy("part").applyInArrow(run, "slice bigint, part bigint, counts binary, named binary")
+
+
+def _all_counts(own: _Slice, rows: list[dict], bits: int) -> np.ndarray:
+    sizes = [b - a for _, _, a, b in _cut(own.keys, bits)]
+    return np.concatenate([_unpack_counts(row["counts"], n) for row, n in zip(rows, sizes)])
+
+
+def _reported(sequences: DataFrame, totals: DataFrame, longest: int, bits: int, least: int) -> DataFrame:
+    """What slices report and ask next: a row per slice and range.
+
+    ``distinct`` words and ``tokens`` to learn from, ``grams`` of ``least`` occurrences
+    that this slice has to report, and ``keys`` of all its runs of ``least`` occurrences.
+    """
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        row, rows = left.to_pylist()[0], _rows(right)
+        own = _Slice(row, longest)
+        n = _all_counts(own, rows, bits)
+        cuts = list(_cut(own.keys, bits))
+        named = np.concatenate([_unpack_flags(r["named"], b - a) for r, (_, _, a, b) in zip(rows, cuts)])
+        todo = named & (n >= least)
+        first = np.unique(own.runs(1))
+        found = []
+        for length in range(2, longest + 1):
+            number, at = own.runs(length), own.at[length - 1]
+            use = todo[number]
+            number, where = np.unique(number[use], return_index=True)
+            at = at[use][where]
+            short = own.numbers_at(length - 1)
+            ctx, shorter = short[at - 1], short[at]
+            found.append([np.full(len(at), length - 1), own.keys[number].view(np.int64),
+                          own.keys[ctx].view(np.int64), own.keys[shorter].view(np.int64), n[number], n[ctx], n[shorter]])
+        grams = [np.concatenate(c) for c in zip(*found)]
+        grams = pa.StructArray.from_arrays(
+            [pa.array(grams[0].astype(np.int32)), *(pa.array(c.astype(np.int64)) for c in grams[1:])],
+            ["length", "gram", "ctx", "shorter", "n", "total", "under"])
+        use = n >= least
+        keys = [_pack_keys(own.keys[a:b][use[a:b]], start) for _, start, a, b in cuts]
+        more = len(cuts) - 1
+        return pa.table({
+            "slice": pa.array([row["slice"]] * len(cuts), pa.int64()),
+            "part": pa.array([c[0] for c in cuts], pa.int64()), "keys": pa.array(keys, pa.binary()),
+            "tokens": pa.array([int(own.learnt[own.at[0]].sum())] + [0] * more, pa.int64()),
+            "distinct": pa.array([int((named[first] & (n[first] > 0)).sum())] + [0] * more, pa.int64()),
+            "grams": pa.ListArray.from_arrays(pa.array([0] + [len(grams)] * len(cuts), pa.int32()), grams)})
+
+    return sequences.groupBy("slice").cogroup(totals.groupBy("slice")).applyInArrow(
+        run, f"slice bigint, part bigint, keys binary, tokens bigint, distinct bigint, grams array<{_GRAM}>")
+
+
+def context_tables(grams: DataFrame, tokens: int, distinct: int, depth: int = 3, least: int = 3,
                    context_share: float = 0.0, ratio: float = 1.2) -> list[DataFrame]:
     """``key, value`` for runs of 1, 2, ... words: what each occurrence adds to a text's score.
 
     A run adds as a context the factor for words that it does not keep, and as a context
-    with one of its kept words what that word has more than by this factor.
+    with one of its kept words what that word has more than by this factor. ``grams`` are
+    contexts of ``length`` words and the next one (``gram``, ``n`` times), with the key and
+    count of the context (``ctx``, ``total``) and of the words but the oldest (``shorter``, ``under``).
     """
-    lower, values, found = stage(_word_keys(vocabulary, tree.normal), "words"), None, []
-    floor, price = max(least, context_share * tree.tokens), 0.5 * float(np.log10(max(tree.tokens, 2)))
+    normal, lower, values, found = tokens + 0.5 * (distinct + 1), None, None, []
+    floor, price = max(least, context_share * tokens), 0.5 * math.log10(max(tokens, 2))
     for length in range(1, depth + 1):
         n, total, own, under = (F.col(c) for c in ("n", "total", "own", "lower"))
-        # a run of words before another one occurs as often as the run itself
-        rows = stage(_gram_counts(docs, length, least), "grams") \
-            .join(lower.select(F.col("gram").alias("ctx"), n.alias("total")), "ctx") \
-            .join(lower.select(F.col("gram").alias("shorter"), F.col("p").alias("lower")), "shorter") \
-            .select("gram", "ctx", "n", "total", "lower", F.log10((n - DISCOUNT) / total).alias("own")) \
-            .withColumn("keep", F.abs(own - under) >= float(np.log10(ratio)))
-        rows = stage(rows, "weighed")
+        rows = grams.where(F.col("length") == length)
+        if lower is None:
+            rows = rows.withColumn("lower", F.log10((F.col("under") + 0.5) / normal))
+        else:
+            rows = rows.join(lower.select(F.col("gram").alias("shorter"), F.col("p").alias("lower")), "shorter")
+        rows = stage(rows.select("gram", "ctx", "n", "total", "lower", F.log10((n - DISCOUNT) / total).alias("own"))
+                     .withColumn("keep", F.abs(own - under) >= math.log10(ratio)), "weighed")
         sums = rows.where("keep").groupBy("ctx").agg(
             F.first("total").alias("total"), F.count("*").alias("words"), F.sum("n").alias("seen"),
             F.sum(F.pow(F.lit(10.0), own)).alias("mass"), F.sum(F.pow(F.lit(10.0), under)).alias("lower_mass"),
@@ -309,37 +294,99 @@ def context_tables(docs: DataFrame, tree: Tree, vocabulary: DataFrame, depth: in
                          .select("ctx", "rest"), "contexts")
         on, rest = F.col("rest").isNotNull(), F.col("rest")
         lower = stage(rows.join(retained, "ctx", "left").select(
-            "gram", "n", F.when(on & F.col("keep"), own).otherwise(under + F.coalesce(rest, F.lit(0.0))).alias("p"),
+            "gram", F.when(on & F.col("keep"), own).otherwise(under + F.coalesce(rest, F.lit(0.0))).alias("p"),
             F.when(on & F.col("keep"), own - under - rest).alias("value")), "level")
         adds = retained.select(F.col("ctx").alias("key"), rest.alias("value"))
         found.append(adds if values is None else values.unionByName(adds))
         values = lower.where("value is not null").select(F.col("gram").alias("key"), "value")
-    return found + [values] * (values is not None)
-
-
-def _context_points(docs: DataFrame, length: int, values: DataFrame) -> DataFrame:
-    """``doc_id, added`` of texts that have runs of ``length`` words in the table."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            sequence = _Sequence(part.column("text"))
-            # a single end is a context before a text only
-            use = (sequence.place >= length - 1) & (sequence.inner | ((sequence.place > 0) == (length > 1)))
-            key, text = _keys(sequence, length)[-1][use], sequence.text[use]
-            order = np.lexsort((key, text))
-            key, text = key[order], text[order]
-            new = np.append(True, (key[1:] != key[:-1]) | (text[1:] != text[:-1])) if len(key) else np.zeros(0, bool)
-            at = np.flatnonzero(new)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key[at].view(np.int64)), part.column("doc_id").take(pa.array(text[at])),
-                 pa.array(np.diff(np.append(at, len(key))).astype(np.int32))], ["key", "doc_id", "n"])
-
-    return docs.mapInArrow(run, "key bigint, doc_id bigint, n int") \
-        .join(values.groupBy("key").agg(F.sum("value").alias("value")), "key") \
-        .groupBy("doc_id").agg(F.sum(F.col("n") * F.col("value")).alias("added"))
-
-
-def score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text",
-          word_share: float = 4e-6, **settings: float) -> DataFrame:
+    return found + [values]
+
+
+def _answers(asked: DataFrame, values: DataFrame, bits: int) -> DataFrame:
+    """``slice, part, found, values``: which of the keys asked for have a value, and those values."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return left.select(["slice", "part"]).append_column("found", pa.array([], pa.binary())) \
+                .append_column("values", pa.array([], pa.binary()))
+        start = left.column("part")[0].as_py() << (64 - bits)
+        known = right.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(known)
+        known, value = known[order], right.column("value").to_numpy()[order]
+        flags, given = [], []
+        for blob in left.column("keys"):
+            keys = _unpack_keys(blob.as_py(), start)
+            at = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
+            hit = known[at] == keys if len(known) else np.zeros(len(keys), bool)
+            flags.append(_pack_flags(hit))
+            given.append(value[at[hit]].tobytes())
+        return pa.table({"slice": left.column("slice"), "part": left.column("part"),
+                         "found": pa.array(flags, pa.binary()), "values": pa.array(given, pa.binary())})
+
+    part = F.shiftrightunsigned("key", 64 - bits) if bits else F.lit(0).cast("bigint")
+    return asked.groupBy("part").cogroup(
+        values.groupBy("key").agg(F.sum("value").alias("value")).withColumn("part", part).groupBy("part")) \
+        .applyInArrow(run, "slice bigint, part bigint, found binary, values binary")
+
+
+def _scored(sequences: DataFrame, given: DataFrame, longest: int, bits: int, least: int, tokens: int,
+            distinct: int) -> DataFrame:
+    normal = tokens + 0.5 * (distinct + 1)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        own = _Slice(left.to_pylist()[0], longest)
+        rows = _rows(right)
+        n = _all_counts(own, [r for r in rows if r["counts"] is not None], bits)
+        cuts, wanted, value = list(_cut(own.keys, bits)), n >= least, np.zeros(len(own.keys))
+        answers = {r["part"]: r for r in rows if r["found"] is not None}
+        for part, _, a, b in cuts:
+            if part in answers:
+                places = a + np.flatnonzero(wanted[a:b])
+                hit = _unpack_flags(answers[part]["found"], len(places))
+                value[places[hit]] = np.frombuffer(answers[part]["values"], np.float64)
+        texts, target = len(own.doc_ids), own.at[0]
+        c = n[own.runs(1)]
+        text = own.text[target]
+        base = np.bincount(text, np.log10((c + 0.5) / normal), texts)
+        added = np.zeros(texts)
+        for length in range(1, longest + 1):
+            at = own.at[length - 1]
+            number = own.numbers_at(length)
+            if length == 1:  # a context: the end stands before a text, not after it
+                last = np.append(own.place[1:] == 0, True)
+                at = np.flatnonzero(~last)
+            added += np.bincount(own.text[at], value[number[at]], texts)
+        return pa.table({
+            "doc_id": pa.array(own.doc_ids, pa.int64()), "n_tokens": np.bincount(text, minlength=texts),
+            "n_known": np.bincount(text[c > 0], minlength=texts), "train_tokens": np.full(texts, tokens),
+            "base_score": base, "score": base + added})
+
+    return sequences.groupBy("slice").cogroup(given.groupBy("slice")).applyInArrow(
+        run, "doc_id bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+
+
+def tree_of(docs: DataFrame, learn_from: Column, depth: int = 3, least: int = 3,
+            **settings: float) -> tuple[DataFrame, DataFrame, DataFrame, list[DataFrame], int, int, int]:
+    """The tree of those ``docs`` (``doc_id, text``) for which ``learn_from`` holds, and what led to it.
+
+    Slices of all texts, counts of their runs, runs that occur ``least`` times, what the
+    tree's runs add, how many bits name a range, and how many tokens and words were learnt.
+    """
+    longest = depth + 1
+    learnt = F.coalesce(learn_from, F.lit(False)).alias("learnt")
+    sequences = stage(_sequences(docs.select("doc_id", "text", learnt)), "sequences")
+    symbols = sequences.agg(F.sum("symbols")).first()[0] or 0
+    bits = max(0, math.ceil(math.log2(max(1, symbols * longest / RANGE_KEYS))))
+    totals = stage(_totals(_asked(sequences, longest, bits), bits), "totals")
+    reported = stage(_reported(sequences, totals, longest, bits, least), "reported")
+    sums = reported.agg(F.sum("tokens"), F.sum("distinct")).first()
+    tokens, distinct = sums[0] or 0, sums[1] or 0
+    grams = reported.select(F.explode("grams").alias("g")).select("g.*")
+    tables = context_tables(grams, tokens, distinct, depth, least, **settings)
+    return sequences, totals, reported, tables, bits, tokens, distinct
+
+
+def score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 3,
+          least: int = 3, **settings: float) -> DataFrame:
     """Scores of all texts by a tree of those for which ``learn_from`` (of ``doc_id``) holds.
 
     Columns ``doc_id, n_tokens, n_known, train_tokens, base_score, score``; both scores
@@ -347,53 +394,12 @@ def score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col:
     ``context_tables``.
     """
     docs = one_per_id(documents(docs, id_col, text_col))
-    learnt = docs.where(learn_from)
-    tree, vocabulary = fit(learnt, depth=0, word_share=word_share)
-    tables = context_tables(learnt, tree, vocabulary, **settings) if tree.tokens else []
-    parts = [stage(_context_points(docs, length, values), "points")
-             for length, values in enumerate(tables, 1)]
-    root, normal = tree.root(), tree.normal
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            sequence = _Sequence(part.column("text"), tree)
-            symbol, use = sequence.symbol, sequence.target
-            known = use & (symbol >= 0)
-            base = np.zeros(len(symbol))
-            base[known] = root[symbol[known]]
-            # other words, by text: what the word table has to add
-            texts = part.num_rows
-            words, data = sequence.words, sequence.words.data.tobytes()
-            other = np.flatnonzero(symbol[sequence.inner] < 0)
-            pairs, n = np.unique(sequence.text[sequence.inner][other] * max(1, len(sequence.at))
-                                 + sequence.code[other], return_counts=True)
-            text_of, which = pairs // max(1, len(sequence.at)), pairs % max(1, len(sequence.at))
-            distinct, back = np.unique(which, return_inverse=True)
-            spelled = pa.array([data[words.starts[i]:words.ends[i]] for i in sequence.at[distinct].tolist()],
-                               pa.binary()).cast(pa.string())
-            offsets = np.searchsorted(text_of, np.arange(texts + 1)).astype(np.int32)
-            rare = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(
-                [spelled.take(pa.array(back)), pa.array(n)], ["word", "n"]))
-            sums = [np.bincount(sequence.text, x, texts) for x in (use, known, base)]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), *(pa.array(s.astype(np.int64)) for s in sums[:2]),
-                 pa.array(sums[2]), rare],
-                ["doc_id", "n_tokens", "known", "base", "rare"])
-
-    scored = stage(docs.mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, known bigint, base double, "
-             "rare array<struct<word: string, n: bigint>>"), "scored")
-    rare = scored.select("doc_id", F.explode("rare").alias("r")).select("doc_id", "r.word", "r.n") \
-        .join(vocabulary, "word", "left")
-    added = rare.groupBy("doc_id").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / normal)).alias("more"))
-    points = scored.select("doc_id", F.lit(0.0).alias("added"))
-    for part in parts:
-        points = points.unionByName(part)
-    points = points.groupBy("doc_id").agg(F.sum("added").alias("added"))
-    return scored.drop("rare").join(added, "doc_id", "left").join(points, "doc_id").select(
-        "doc_id", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(tree.tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0)) + F.col("added")).alias("score"))
+    sequences, totals, reported, tables, bits, tokens, distinct = tree_of(docs, learn_from, depth, least, **settings)
+    values = tables[0]
+    for table in tables[1:]:
+        values = values.unionByName(table)
+    answers = stage(_answers(reported.select("slice", "part", "keys"), values, bits), "answers")
+    none = F.lit(None).cast("binary")
+    given = totals.select("slice", "part", "counts", none.alias("found"), none.alias("values")) \
+        .unionByName(answers.select("slice", "part", none.alias("counts"), "found", "values"))
+    return _scored(sequences, given, depth + 1, bits, least, tokens, distinct)

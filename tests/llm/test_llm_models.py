@@ -152,6 +152,8 @@ def suffix_tree_scores(tokens, learnt, depth=3, least=3, ratio=1.2):
             + (size - sum(after[ctx][w] for w in own)) * other
         if gain > 0.5 * math.log10(total) * len(own):
             kept[ctx], rest[ctx] = own, other
+            every = sum(10 ** p(ctx, w) for w in counts) + 10 ** p(ctx, "of no text") if len(kept) % 9 == 0 else 1
+            assert every == pytest.approx(1)  # a distribution
     scores = {i: sum(p((None, *ws)[max(0, at - depth):at], (None, *ws)[at]) for at in range(1, len(ws) + 1))
               for i, ws in tokens.items()}
     return scores, collections.Counter(map(len, kept)), collections.Counter(
@@ -169,22 +171,28 @@ def test_rare_contexts_score(spark):
     assert {r.doc_id: r.score for r in found} == pytest.approx(expected)
 
 
-def test_contexts_are_distributions(spark, tenth):
-    docs = queries.documents_for_tests(spark, tenth) if hasattr(queries, "documents_for_tests") else \
-        queries.table(spark, tenth, "documents").select("doc_id", "text")
-    tree, _ = suffix_tree.fit(docs, context_share=1e-3)
-    root = tree.root()
-    assert len(tree.contexts) == 3 and any((rest != 0).any() for rest in tree.rest)
-    other = 1 - (10 ** root).sum()  # what the root gives to all other words
-    for length in range(1, len(tree.contexts) + 1):
-        for context in range(0, len(tree.contexts[length - 1]), 17):
-            words = np.arange(tree.size - 1)
-            known = 10 ** suffix_tree._lookup(tree, length, np.full(len(words), context), words, root)
-            factor, at = 0.0, context
-            for n in range(length, 0, -1):
-                factor += tree.rest[n - 1][at]
-                at = tree.contexts[n - 1][at] // tree.size
-            assert known.sum() + other * 10 ** factor == pytest.approx(1)
+def test_blobs_keep_what_they_pack():
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 5, 3000):
+        keys = np.unique(rng.integers(0, 1 << 60, size, np.uint64)) + np.uint64(1 << 62)
+        assert (suffix_tree._unpack_keys(suffix_tree._pack_keys(keys, 1 << 62), 1 << 62) == keys).all()
+        counts = rng.integers(0, 3, size) * rng.integers(1, 1 << 40, size)
+        assert (suffix_tree._unpack_counts(suffix_tree._pack_counts(counts), size) == counts).all()
+        flags = rng.integers(0, 2, size).astype(bool)
+        assert (suffix_tree._unpack_flags(suffix_tree._pack_flags(flags), size) == flags).all()
+
+
+@pytest.mark.parametrize("range_keys, slice_bytes", [(100, 2000), (5000, 1 << 20)])
+def test_many_slices_and_ranges(spark, range_keys, slice_bytes, monkeypatch):
+    """Scores do not depend on how texts and keys are cut."""
+    rows = awkward() + [(1000 + i, "the cat sat on the mat and the dog sat on the rug " * (i % 4)) for i in range(60)]
+    tokens = {i: (t or "").encode().lower().split() + [None] for i, t in rows}
+    expected = suffix_tree_scores(tokens, [i for i in tokens if zlib.crc32(str(i).encode()) % 5 != 1])[0]
+    monkeypatch.setattr(suffix_tree, "RANGE_KEYS", range_keys)
+    cut = suffix_tree.slices
+    monkeypatch.setattr(suffix_tree, "slices", lambda batches: cut(batches, limit=slice_bytes))
+    found = suffix_tree.score(frame(spark, rows), crc_of_id() % 5 != 1).collect()
+    assert len(found) == len(expected) and {r.doc_id: r.score for r in found} == pytest.approx(expected)
 
 
 def test_suffix_tree_beats_words(spark, tenth):
