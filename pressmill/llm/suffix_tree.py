@@ -12,14 +12,16 @@ scored word by word from the longest retained context.
 
 Counts are absolute, so the tree grows with the corpus; it is held in written tables
 keyed by a 64-bit hash of the words. Texts are cut into slices of some megabytes. Each
-slice asks for all its runs of one to ``depth + 1`` words: their keys, sorted, go as
-one blob to each range of keys, with what the slice counted. The range adds up and
-answers in the order asked, so an answer has no keys. One slice of those that hold a
-run, named in the answer, reports it for the tree, with its context and suffix. The
-score of a token is a sum over the runs that end with it (see ``context_tables``); what
-each run adds is asked for in the same way, by those runs alone that can be in the tree.
-Ranges are as many as the runs need, so one holds about ``RANGE_KEYS`` at every size of
-the corpus; a run is in a slice's question once, however often it occurs there.
+slice asks for its runs of one and two words: their keys, sorted, go as one blob to each
+range of keys, with what the slice counted. The range adds up and answers in the order
+asked, so an answer has no keys. Longer runs are asked for in a second round, and only
+where every pair of neighbours in them occurs ``least`` times, as else the run can't. One
+slice of those that hold a run, named in the answer, reports it for the tree, with its
+context and suffix. The score of a token is a sum over the runs that end with it (see
+``context_tables``); what each run adds is asked for in the same way, by those runs alone
+that can be in the tree, and given in single precision. Ranges are as many as the runs
+need, so one holds about ``RANGE_KEYS`` at every size of the corpus; a run is in a
+slice's question once, however often it occurs there.
 
 A null or empty text is one end. Of rows that repeat an id the one with the least
 text counts, rows without id go; other columns are ignored. Without training texts
@@ -48,6 +50,7 @@ _END = np.uint64(0)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SEQUENCE = "slice bigint, doc_ids array<bigint>, sizes array<int>, learnt array<boolean>, words binary, " \
             "codes binary, symbols bigint"
+_TOTALS = "slice bigint, part bigint, round int, counts binary, named binary"
 _GRAM = "struct<length: int, gram: bigint, ctx: bigint, shorter: bigint, n: bigint, total: bigint, under: bigint>"
 
 
@@ -93,8 +96,16 @@ def _unpack_flags(blob: bytes, size: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(zlib.decompress(blob), np.uint8), count=size).astype(bool)
 
 
-def _signed(keys: np.ndarray) -> pa.Array:
-    return pa.array(keys.view(np.int64))
+def _pack_codes(code: np.ndarray, distinct: int) -> bytes:
+    """Numbers below ``distinct``, the first bytes of all, then the second bytes, ..., compressed."""
+    width = max(1, (max(1, distinct - 1).bit_length() + 7) // 8)
+    planes = code.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].T
+    return bytes([width]) + zlib.compress(planes.tobytes(), 1)
+
+
+def _unpack_codes(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(blob[1:]), np.uint8).reshape(blob[0], -1)
+    return sum(plane.astype(np.int64) << (8 * i) for i, plane in enumerate(planes))
 
 
 def _sequences(docs: DataFrame) -> DataFrame:
@@ -105,9 +116,12 @@ def _sequences(docs: DataFrame) -> DataFrame:
             words = Words(part.column("text"), lower=True)
             at, code = words.distinct()
             sizes = words.per_text().astype(np.int32)
-            code = code.astype(np.uint16 if len(at) <= 1 << 16 else np.uint32)
+            # frequent words have low numbers, which compress
+            order = np.argsort(-np.bincount(code, minlength=len(at)), kind="stable")
+            rank = np.empty(len(at), np.int64)
+            rank[order] = np.arange(len(at))
             row = [number, part.column("doc_id").to_pylist(), sizes.tolist(), part.column("learnt").to_pylist(),
-                   words.hashes()[at].tobytes(), code.tobytes(), int(sizes.sum()) + len(sizes)]
+                   words.hashes()[at[order]].tobytes(), _pack_codes(rank[code], len(at)), int(sizes.sum()) + len(sizes)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x], kind) for x, kind in zip(row, (
                     pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.binary(),
@@ -119,52 +133,85 @@ def _sequences(docs: DataFrame) -> DataFrame:
 
 
 class _Slice:
-    """The symbols of some texts, an end before each, its words, an end after, and the keys of their runs."""
+    """The symbols of some texts, an end before each, its words, an end after, and the keys of their runs.
+
+    ``keys`` has the sorted keys of each round, ``number`` by length, for each symbol, the
+    run that ends with it: its place in the keys of all rounds, -1 for none.
+    """
 
     def __init__(self, row: dict, longest: int) -> None:
-        self.doc_ids, per_text = row["doc_ids"], np.array(row["sizes"], np.int64)
+        self.doc_ids, per_text, self.longest = row["doc_ids"], np.array(row["sizes"], np.int64), longest
         sizes = per_text + 2
         starts = np.cumsum(sizes) - sizes
         self.text = np.repeat(np.arange(len(sizes)), sizes)
         self.place = np.arange(len(self.text)) - starts[self.text]  # in its text
-        inner = (self.place > 0) & (self.place < sizes[self.text] - 1)
-        words = np.frombuffer(row["words"], np.uint64)
-        width = len(row["codes"]) // max(1, int(per_text.sum()))
+        self.last = self.place == sizes[self.text] - 1
         symbol = np.full(len(self.text), _END)
-        symbol[inner] = words[np.frombuffer(row["codes"], np.uint16 if width == 2 else np.uint32)]
+        if per_text.any():
+            symbol[(self.place > 0) & ~self.last] = np.frombuffer(row["words"], np.uint64)[_unpack_codes(row["codes"])]
         self.learnt = np.array(row["learnt"], bool)[self.text]
-        #: By length: the positions of symbols that end a run, and from where on the run's numbers are in ``number``.
-        self.at = [np.flatnonzero(self.place >= max(1, length - 1)) for length in range(1, longest + 1)]
-        self.begin = np.cumsum([0, *map(len, self.at)])
-        found, key = [], mix(symbol + _STEP)
+        self._hash, key = [], mix(symbol + _STEP)
         for back in range(longest):
             if back:
                 older = np.full(len(symbol), _END)
                 older[back:] = symbol[:-back]
                 key = mix(key * _STEP + older + np.uint64(back))
-            found.append(key[self.at[back]])
-        self.keys, self.number = np.unique(np.concatenate(found), return_inverse=True)
-
-    def runs(self, length: int) -> np.ndarray:
-        """Numbers of the runs that end at ``at[length - 1]``."""
-        return self.number[self.begin[length - 1]:self.begin[length]]
-
-    def counts(self) -> np.ndarray:
-        """How often each run occurs in the texts to learn from."""
-        use = self.learnt[np.concatenate(self.at)]
-        return np.bincount(self.number[use], minlength=len(self.keys))
-
-    def numbers_at(self, length: int) -> np.ndarray:
-        """For each symbol the number of the run that ends with it; an end before a text is that after it."""
-        found = np.zeros(len(self.text), np.int64)
-        found[self.at[length - 1]] = self.runs(length)
-        if length == 1:
-            found[self.place == 0] = found[np.append(self.place[1:] == 0, True)]
-        return found
+            self._hash.append(key)
+        self.keys, self.number = [], []
+        self._add([self.place >= 1, self.place >= 1])
+        self.number[0][self.place == 0] = self.number[0][self.last]
+
+    def _add(self, used: list[np.ndarray]) -> None:
+        """A round of keys: of the next lengths, at the symbols of each."""
+        at = [np.flatnonzero(use) for use in used]
+        hashes = self._hash[len(self.number):len(self.number) + len(at)]
+        keys, number = np.unique(np.concatenate([h[i] for h, i in zip(hashes, at)] or [np.zeros(0, np.uint64)]),
+                                 return_inverse=True)
+        number += sum(map(len, self.keys))
+        for i in at:
+            self.number.append(np.full(len(self.text), -1))
+            self.number[-1][i], number = number[:len(i)], number[len(i):]
+        self.keys.append(keys)
+
+    def add_longer(self, frequent: np.ndarray) -> None:
+        """The second round; ``frequent`` tells which runs of the first can be part of longer ones."""
+        used, use = [], (self.place >= 1) & frequent[self.number[1]]
+        for length in range(3, self.longest + 1):
+            use = use & np.append(False, use[:-1]) & (self.place >= length - 1)
+            used.append(use)
+        self._add(used)
+
+    def key(self, number: np.ndarray) -> np.ndarray:
+        return np.concatenate(self.keys)[number].view(np.int64)
+
+    def counts(self, round_: int) -> np.ndarray:
+        """How often each run of a round occurs in the texts to learn from."""
+        first, size = sum(map(len, self.keys[:round_])), len(self.keys[round_])
+        n = np.zeros(size, np.int64)
+        for number in self.number[:2] if round_ == 0 else self.number[2:]:
+            n += np.bincount(number[self.learnt & (self.place > 0) & (number >= 0)] - first, minlength=size)
+        return n
+
+    def answered(self, rows: list[dict], bits: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of all runs, and which of them this slice is named for; adds the second round."""
+        found = []
+        for round_ in (0, 1):
+            if round_:
+                self.add_longer(found[0][0] >= least)
+            cuts = list(_cut(self.keys[round_], bits))
+            of = {row["part"]: row for row in rows if row["round"] == round_ and row["counts"] is not None}
+            found.append([np.concatenate([np.zeros(0, kind), *(
+                unpack(of[part][name], b - a) for part, _, a, b in cuts)])
+                for name, unpack, kind in (("counts", _unpack_counts, np.int64), ("named", _unpack_flags, bool))])
+            if not round_ and not any(row["round"] for row in rows):
+                break
+        return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _cut(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int, int]]:
     """Of sorted keys the ranges that have some: its number, its first possible key, from where, to where."""
+    if not len(keys):
+        return
     if not bits:
         yield 0, 0, 0, len(keys)
         return
@@ -174,28 +221,44 @@ def _cut(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int, int]]:
         yield int(part[a]), int(part[a]) << (64 - bits), a, b
 
 
-def _rows(table: pa.Table) -> list[dict]:
-    return sorted(table.to_pylist(), key=lambda row: row["part"])
+_ASKED = pa.schema([("slice", pa.int64()), ("part", pa.int64()), ("round", pa.int32()), ("keys", pa.binary()),
+                    ("counts", pa.binary())])
+_ASKED_SQL = "slice bigint, part bigint, round int, keys binary, counts binary"
+
+
+def _questions(own: _Slice, number: int, bits: int, round_: int) -> pa.Table:
+    keys, counts = own.keys[round_], own.counts(round_)
+    return pa.Table.from_pylist(
+        [{"slice": number, "part": part, "round": round_, "keys": _pack_keys(keys[a:b], start),
+          "counts": _pack_counts(counts[a:b])} for part, start, a, b in _cut(keys, bits)], _ASKED)
 
 
 def _asked(sequences: DataFrame, longest: int, bits: int) -> DataFrame:
-    """``slice, part, keys, counts``: what each slice asks of each range of keys."""
+    """``slice, part, round, keys, counts``: what each slice asks of each range of keys first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                own = _Slice(row, longest)
-                counts = own.counts()
-                rows = [{"slice": row["slice"], "part": part, "keys": _pack_keys(own.keys[a:b], start),
-                         "counts": _pack_counts(counts[a:b])} for part, start, a, b in _cut(own.keys, bits)]
-                yield pa.RecordBatch.from_pylist(rows, pa.schema(
-                    [("slice", pa.int64()), ("part", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]))
+                yield from _questions(_Slice(row, min(2, longest)), row["slice"], bits, 0).to_batches()
 
-    return sequences.mapInArrow(run, "slice bigint, part bigint, keys binary, counts binary")
+    return sequences.mapInArrow(run, _ASKED_SQL)
+
+
+def _asked_longer(sequences: DataFrame, totals: DataFrame, longest: int, bits: int, least: int) -> DataFrame:
+    """The second round of questions."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = left.to_pylist()[0]
+        own = _Slice(row, longest)
+        n, _ = own.answered(right.to_pylist(), bits, least)
+        if len(own.keys) == 1:
+            own.add_longer(n >= least)
+        return _questions(own, row["slice"], bits, 1)
+
+    return sequences.groupBy("slice").cogroup(totals.groupBy("slice")).applyInArrow(run, _ASKED_SQL)
 
 
 def _totals(asked: DataFrame, bits: int) -> DataFrame:
-    """``slice, part, counts, named``: counts over all slices, in the order asked, and which of them to report."""
+    """``slice, part, round, counts, named``: counts over all slices, in the order asked, and which of them to report."""
     def run(table: pa.Table) -> pa.Table:
         start = table.column("part")[0].as_py() << (64 - bits)
         keys = [_unpack_keys(blob.as_py(), start) for blob in table.column("keys")]
@@ -210,58 +273,41 @@ def _totals(asked: DataFrame, bits: int) -> DataFrame:
         named = np.zeros(len(keys), bool)
         named[order[new]] = True
         cuts = list(zip([0, *ends[:-1].tolist()], ends.tolist()))
-        return pa.table({"slice": table.column("slice"), "part": table.column("part"),
+        return pa.table({"slice": table.column("slice"), "part": table.column("part"), "round": table.column("round"),
                          "counts": pa.array([_pack_counts(n[a:b]) for a, b in cuts], pa.binary()),
                          "named": pa.array([_pack_flags(named[a:b]) for a, b in cuts], pa.binary())})
 
-    return asked.groupBy("part").applyInArrow(run, "slice bigint, part bigint, counts binary, named binary")
-
-
-def _all_counts(own: _Slice, rows: list[dict], bits: int) -> np.ndarray:
-    sizes = [b - a for _, _, a, b in _cut(own.keys, bits)]
-    return np.concatenate([_unpack_counts(row["counts"], n) for row, n in zip(rows, sizes)])
+    return asked.groupBy("part").applyInArrow(run, _TOTALS)
 
 
 def _reported(sequences: DataFrame, totals: DataFrame, longest: int, bits: int, least: int) -> DataFrame:
-    """What slices report and ask next: a row per slice and range.
-
-    ``distinct`` words and ``tokens`` to learn from, ``grams`` of ``least`` occurrences
-    that this slice has to report, and ``keys`` of all its runs of ``least`` occurrences.
-    """
+    """A row per slice: ``distinct`` words and ``tokens`` to learn from, and ``grams`` that it has to report."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        row, rows = left.to_pylist()[0], _rows(right)
+        row = left.to_pylist()[0]
         own = _Slice(row, longest)
-        n = _all_counts(own, rows, bits)
-        cuts = list(_cut(own.keys, bits))
-        named = np.concatenate([_unpack_flags(r["named"], b - a) for r, (_, _, a, b) in zip(rows, cuts)])
-        todo = named & (n >= least)
-        first = np.unique(own.runs(1))
-        found = []
-        for length in range(2, longest + 1):
-            number, at = own.runs(length), own.at[length - 1]
-            use = todo[number]
-            number, where = np.unique(number[use], return_index=True)
-            at = at[use][where]
-            short = own.numbers_at(length - 1)
-            ctx, shorter = short[at - 1], short[at]
-            found.append([np.full(len(at), length - 1), own.keys[number].view(np.int64),
-                          own.keys[ctx].view(np.int64), own.keys[shorter].view(np.int64), n[number], n[ctx], n[shorter]])
+        n, named = own.answered(right.to_pylist(), bits, least)
+        target = own.place > 0
+        words = np.unique(own.number[0][target])
+        todo, found = named & (n >= least), []
+        for length in range(2, len(own.number) + 1):
+            at = np.flatnonzero(own.number[length - 1] >= 0)
+            at = at[todo[own.number[length - 1][at]]]
+            number, where = np.unique(own.number[length - 1][at], return_index=True)
+            at = at[where]
+            ctx, shorter = own.number[length - 2][at - 1], own.number[length - 2][at]
+            found.append([np.full(len(at), length - 1), own.key(number), own.key(ctx), own.key(shorter),
+                          n[number], n[ctx], n[shorter]])
         grams = [np.concatenate(c) for c in zip(*found)]
         grams = pa.StructArray.from_arrays(
             [pa.array(grams[0].astype(np.int32)), *(pa.array(c.astype(np.int64)) for c in grams[1:])],
             ["length", "gram", "ctx", "shorter", "n", "total", "under"])
-        use = n >= least
-        keys = [_pack_keys(own.keys[a:b][use[a:b]], start) for _, start, a, b in cuts]
-        more = len(cuts) - 1
         return pa.table({
-            "slice": pa.array([row["slice"]] * len(cuts), pa.int64()),
-            "part": pa.array([c[0] for c in cuts], pa.int64()), "keys": pa.array(keys, pa.binary()),
-            "tokens": pa.array([int(own.learnt[own.at[0]].sum())] + [0] * more, pa.int64()),
-            "distinct": pa.array([int((named[first] & (n[first] > 0)).sum())] + [0] * more, pa.int64()),
-            "grams": pa.ListArray.from_arrays(pa.array([0] + [len(grams)] * len(cuts), pa.int32()), grams)})
+            "tokens": pa.array([int(own.learnt[target].sum())], pa.int64()),
+            "distinct": pa.array([int((named[words] & (n[words] > 0)).sum())], pa.int64()),
+            "grams": pa.ListArray.from_arrays(pa.array([0, len(grams)], pa.int32()), grams)})
 
     return sequences.groupBy("slice").cogroup(totals.groupBy("slice")).applyInArrow(
-        run, f"slice bigint, part bigint, keys binary, tokens bigint, distinct bigint, grams array<{_GRAM}>")
+        run, f"tokens bigint, distinct bigint, grams array<{_GRAM}>")
 
 
 def context_tables(grams: DataFrame, tokens: int, distinct: int, depth: int = 3, least: int = 3,
@@ -282,8 +328,8 @@ def context_tables(grams: DataFrame, tokens: int, distinct: int, depth: int = 3,
             rows = rows.withColumn("lower", F.log10((F.col("under") + 0.5) / normal))
         else:
             rows = rows.join(lower.select(F.col("gram").alias("shorter"), F.col("p").alias("lower")), "shorter")
-        rows = stage(rows.select("gram", "ctx", "n", "total", "lower", F.log10((n - DISCOUNT) / total).alias("own"))
-                     .withColumn("keep", F.abs(own - under) >= math.log10(ratio)), "weighed")
+        rows = rows.select("gram", "ctx", "n", "total", "lower", F.log10((n - DISCOUNT) / total).alias("own")) \
+            .withColumn("keep", F.abs(own - under) >= math.log10(ratio))
         sums = rows.where("keep").groupBy("ctx").agg(
             F.first("total").alias("total"), F.count("*").alias("words"), F.sum("n").alias("seen"),
             F.sum(F.pow(F.lit(10.0), own)).alias("mass"), F.sum(F.pow(F.lit(10.0), under)).alias("lower_mass"),
@@ -303,103 +349,104 @@ def context_tables(grams: DataFrame, tokens: int, distinct: int, depth: int = 3,
 
 
 def _answers(asked: DataFrame, values: DataFrame, bits: int) -> DataFrame:
-    """``slice, part, found, values``: which of the keys asked for have a value, and those values."""
+    """``slice, part, round, found, given``: which of the keys asked for have a value, and those values."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return left.select(["slice", "part"]).append_column("found", pa.array([], pa.binary())) \
-                .append_column("values", pa.array([], pa.binary()))
-        start = left.column("part")[0].as_py() << (64 - bits)
         known = right.column("key").to_numpy().view(np.uint64)
         order = np.argsort(known)
         known, value = known[order], right.column("value").to_numpy()[order]
         flags, given = [], []
-        for blob in left.column("keys"):
-            keys = _unpack_keys(blob.as_py(), start)
+        for part, blob in zip(left.column("part").to_pylist(), left.column("keys")):
+            keys = _unpack_keys(blob.as_py(), part << (64 - bits))
             at = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
             hit = known[at] == keys if len(known) else np.zeros(len(keys), bool)
             flags.append(_pack_flags(hit))
-            given.append(value[at[hit]].tobytes())
-        return pa.table({"slice": left.column("slice"), "part": left.column("part"),
-                         "found": pa.array(flags, pa.binary()), "values": pa.array(given, pa.binary())})
+            given.append(value[at[hit]].astype(np.float32).tobytes())
+        return pa.table({"slice": left.column("slice"), "part": left.column("part"), "round": left.column("round"),
+                         "found": pa.array(flags, pa.binary()), "given": pa.array(given, pa.binary())})
 
     part = F.shiftrightunsigned("key", 64 - bits) if bits else F.lit(0).cast("bigint")
-    return asked.groupBy("part").cogroup(
-        values.groupBy("key").agg(F.sum("value").alias("value")).withColumn("part", part).groupBy("part")) \
-        .applyInArrow(run, "slice bigint, part bigint, found binary, values binary")
+    return asked.groupBy("part").cogroup(values.withColumn("part", part).groupBy("part")) \
+        .applyInArrow(run, "slice bigint, part bigint, round int, found binary, given binary")
 
 
-def _scored(sequences: DataFrame, given: DataFrame, longest: int, bits: int, least: int, tokens: int,
+def _asked_values(sequences: DataFrame, totals: DataFrame, longest: int, bits: int, least: int) -> DataFrame:
+    """``slice, part, round, keys``: runs of each slice that can be in the tree."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = left.to_pylist()[0]
+        own = _Slice(row, longest)
+        n, _ = own.answered(right.to_pylist(), bits, least)
+        found, first = [], 0
+        for round_, keys in enumerate(own.keys):
+            keys, first = keys[n[first:first + len(keys)] >= least], first + len(keys)
+            found += [{"slice": row["slice"], "part": part, "round": round_, "keys": _pack_keys(keys[a:b], start)}
+                      for part, start, a, b in _cut(keys, bits)]
+        return pa.Table.from_pylist(found, pa.schema(list(_ASKED)[:4]))
+
+    return sequences.groupBy("slice").cogroup(totals.groupBy("slice")).applyInArrow(
+        run, "slice bigint, part bigint, round int, keys binary")
+
+
+def _scored(sequences: DataFrame, told: DataFrame, longest: int, bits: int, least: int, tokens: int,
             distinct: int) -> DataFrame:
     normal = tokens + 0.5 * (distinct + 1)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        own = _Slice(left.to_pylist()[0], longest)
-        rows = _rows(right)
-        n = _all_counts(own, [r for r in rows if r["counts"] is not None], bits)
-        cuts, wanted, value = list(_cut(own.keys, bits)), n >= least, np.zeros(len(own.keys))
-        answers = {r["part"]: r for r in rows if r["found"] is not None}
-        for part, _, a, b in cuts:
-            if part in answers:
-                places = a + np.flatnonzero(wanted[a:b])
-                hit = _unpack_flags(answers[part]["found"], len(places))
-                value[places[hit]] = np.frombuffer(answers[part]["values"], np.float64)
-        texts, target = len(own.doc_ids), own.at[0]
-        c = n[own.runs(1)]
-        text = own.text[target]
+        own, rows = _Slice(left.to_pylist()[0], longest), right.to_pylist()
+        n, _ = own.answered(rows, bits, least)
+        value, first = np.zeros(len(n)), 0
+        answers = {(r["round"], r["part"]): r for r in rows if r["found"] is not None}
+        for round_, keys in enumerate(own.keys):
+            places = first + np.flatnonzero(n[first:first + len(keys)] >= least)
+            for part, _, a, b in _cut(keys[places - first], bits):
+                answer = answers[round_, part]
+                hit = _unpack_flags(answer["found"], b - a)
+                value[places[a:b][hit]] = np.frombuffer(answer["given"], np.float32)
+            first += len(keys)
+        texts, target = len(own.doc_ids), own.place > 0
+        text, c = own.text[target], n[own.number[0][target]]
         base = np.bincount(text, np.log10((c + 0.5) / normal), texts)
         added = np.zeros(texts)
-        for length in range(1, longest + 1):
-            at = own.at[length - 1]
-            number = own.numbers_at(length)
-            if length == 1:  # a context: the end stands before a text, not after it
-                last = np.append(own.place[1:] == 0, True)
-                at = np.flatnonzero(~last)
+        for length, number in enumerate(own.number, 1):
+            # a single end is a context before a text only
+            at = np.flatnonzero(~own.last if length == 1 else number >= 0)
             added += np.bincount(own.text[at], value[number[at]], texts)
         return pa.table({
             "doc_id": pa.array(own.doc_ids, pa.int64()), "n_tokens": np.bincount(text, minlength=texts),
             "n_known": np.bincount(text[c > 0], minlength=texts), "train_tokens": np.full(texts, tokens),
             "base_score": base, "score": base + added})
 
-    return sequences.groupBy("slice").cogroup(given.groupBy("slice")).applyInArrow(
+    return sequences.groupBy("slice").cogroup(told.groupBy("slice")).applyInArrow(
         run, "doc_id bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
 
 
-def tree_of(docs: DataFrame, learn_from: Column, depth: int = 3, least: int = 3,
-            **settings: float) -> tuple[DataFrame, DataFrame, DataFrame, list[DataFrame], int, int, int]:
-    """The tree of those ``docs`` (``doc_id, text``) for which ``learn_from`` holds, and what led to it.
+def score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 3,
+          least: int = 3, **settings: float) -> DataFrame:
+    """Scores of all texts by a tree of those for which ``learn_from`` (of ``doc_id``) holds.
 
-    Slices of all texts, counts of their runs, runs that occur ``least`` times, what the
-    tree's runs add, how many bits name a range, and how many tokens and words were learnt.
+    Columns ``doc_id, n_tokens, n_known, train_tokens, base_score, score``; both scores
+    are log10 probabilities, the first from single words alone. ``settings`` are those of
+    ``context_tables``.
     """
-    longest = depth + 1
-    learnt = F.coalesce(learn_from, F.lit(False)).alias("learnt")
+    docs = one_per_id(documents(docs, id_col, text_col))
+    longest, learnt = depth + 1, F.coalesce(learn_from, F.lit(False)).alias("learnt")
     sequences = stage(_sequences(docs.select("doc_id", "text", learnt)), "sequences")
     symbols = sequences.agg(F.sum("symbols")).first()[0] or 0
-    bits = max(0, math.ceil(math.log2(max(1, symbols * longest / RANGE_KEYS))))
+    bits = max(0, math.ceil(math.log2(max(1, symbols * 2 / RANGE_KEYS))))
     totals = stage(_totals(_asked(sequences, longest, bits), bits), "totals")
+    if longest > 2:
+        totals = totals.unionByName(stage(
+            _totals(_asked_longer(sequences, totals, longest, bits, least), bits), "totals"))
     reported = stage(_reported(sequences, totals, longest, bits, least), "reported")
     sums = reported.agg(F.sum("tokens"), F.sum("distinct")).first()
     tokens, distinct = sums[0] or 0, sums[1] or 0
     grams = reported.select(F.explode("grams").alias("g")).select("g.*")
     tables = context_tables(grams, tokens, distinct, depth, least, **settings)
-    return sequences, totals, reported, tables, bits, tokens, distinct
-
-
-def score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 3,
-          least: int = 3, **settings: float) -> DataFrame:
-    """Scores of all texts by a tree of those for which ``learn_from`` (of ``doc_id``) holds.
-
-    Columns ``doc_id, n_tokens, n_known, train_tokens, base_score, score``; both scores
-    are log10 probabilities, the first from single words alone. ``settings`` are those of
-    ``context_tables``.
-    """
-    docs = one_per_id(documents(docs, id_col, text_col))
-    sequences, totals, reported, tables, bits, tokens, distinct = tree_of(docs, learn_from, depth, least, **settings)
     values = tables[0]
     for table in tables[1:]:
         values = values.unionByName(table)
-    answers = stage(_answers(reported.select("slice", "part", "keys"), values, bits), "answers")
+    values = stage(values.groupBy("key").agg(F.sum("value").alias("value")), "values")
+    answers = stage(_answers(_asked_values(sequences, totals, longest, bits, least), values, bits), "answers")
     none = F.lit(None).cast("binary")
-    given = totals.select("slice", "part", "counts", none.alias("found"), none.alias("values")) \
-        .unionByName(answers.select("slice", "part", none.alias("counts"), "found", "values"))
-    return _scored(sequences, given, depth + 1, bits, least, tokens, distinct)
+    told = totals.withColumns({"found": none, "given": none}) \
+        .unionByName(answers.withColumns({"counts": none, "named": none}))
+    return _scored(sequences, told, longest, bits, least, tokens, distinct)
