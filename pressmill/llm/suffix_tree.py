@@ -19,7 +19,8 @@ where every pair of neighbours in them occurs ``least`` times, as else the run c
 slice of those that hold a run, named in the answer, reports it for the tree, with its
 context and suffix. The score of a token is a sum over the runs that end with it (see
 ``context_tables``); what each run adds is asked for in the same way, by those runs alone
-that can be in the tree, and given in single precision. Ranges are as many as the runs
+that can be in the tree, for one portion of the slices after another, which bounds what
+lies on disk at a time. Ranges are as many as the runs
 need, so one holds about ``RANGE_KEYS`` at every size of the corpus; a run is in a
 slice's question once, however often it occurs there.
 
@@ -45,6 +46,8 @@ from pressmill.llm.common import Words, documents, mix, one_per_id, slices, stag
 DISCOUNT = 0.5
 #: Keys, about, that a range of them has to add up at a time.
 RANGE_KEYS = 2_000_000
+#: Portions of the slices that are scored one after another.
+PORTIONS = 8
 #: Hash of the end; no word has it in practice.
 _END = np.uint64(0)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -348,25 +351,37 @@ def context_tables(grams: DataFrame, tokens: int, distinct: int, depth: int = 3,
     return found + [values]
 
 
+def _packed_values(values: DataFrame, bits: int) -> DataFrame:
+    """``part, keys, values``: the table ``key, value`` as a row per range of keys."""
+    def run(table: pa.Table) -> pa.Table:
+        keys = table.column("key").to_numpy().view(np.uint64)
+        order, part = np.argsort(keys), table.column("part")[0].as_py()
+        return pa.table({"part": pa.array([part], pa.int64()),
+                         "keys": pa.array([_pack_keys(keys[order], part << (64 - bits))], pa.binary()),
+                         "values": pa.array([table.column("value").to_numpy()[order].tobytes()], pa.binary())})
+
+    part = F.shiftrightunsigned("key", 64 - bits) if bits else F.lit(0).cast("bigint")
+    return values.withColumn("part", part).groupBy("part").applyInArrow(run, "part bigint, keys binary, values binary")
+
+
 def _answers(asked: DataFrame, values: DataFrame, bits: int) -> DataFrame:
     """``slice, part, round, found, given``: which of the keys asked for have a value, and those values."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        known = right.column("key").to_numpy().view(np.uint64)
-        order = np.argsort(known)
-        known, value = known[order], right.column("value").to_numpy()[order]
+        known, value = np.zeros(0, np.uint64), np.zeros(0)
+        for row in right.to_pylist():
+            known, value = _unpack_keys(row["keys"], row["part"] << (64 - bits)), np.frombuffer(row["values"])
         flags, given = [], []
         for part, blob in zip(left.column("part").to_pylist(), left.column("keys")):
             keys = _unpack_keys(blob.as_py(), part << (64 - bits))
             at = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
             hit = known[at] == keys if len(known) else np.zeros(len(keys), bool)
             flags.append(_pack_flags(hit))
-            given.append(value[at[hit]].astype(np.float32).tobytes())
+            given.append(value[at[hit]].tobytes())
         return pa.table({"slice": left.column("slice"), "part": left.column("part"), "round": left.column("round"),
                          "found": pa.array(flags, pa.binary()), "given": pa.array(given, pa.binary())})
 
-    part = F.shiftrightunsigned("key", 64 - bits) if bits else F.lit(0).cast("bigint")
-    return asked.groupBy("part").cogroup(values.withColumn("part", part).groupBy("part")) \
-        .applyInArrow(run, "slice bigint, part bigint, round int, found binary, given binary")
+    return asked.groupBy("part").cogroup(values.groupBy("part")).applyInArrow(
+        run, "slice bigint, part bigint, round int, found binary, given binary")
 
 
 def _asked_values(sequences: DataFrame, totals: DataFrame, longest: int, bits: int, least: int) -> DataFrame:
@@ -400,7 +415,7 @@ def _scored(sequences: DataFrame, told: DataFrame, longest: int, bits: int, leas
             for part, _, a, b in _cut(keys[places - first], bits):
                 answer = answers[round_, part]
                 hit = _unpack_flags(answer["found"], b - a)
-                value[places[a:b][hit]] = np.frombuffer(answer["given"], np.float32)
+                value[places[a:b][hit]] = np.frombuffer(answer["given"])
             first += len(keys)
         texts, target = len(own.doc_ids), own.place > 0
         text, c = own.text[target], n[own.number[0][target]]
@@ -444,9 +459,14 @@ def score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col:
     values = tables[0]
     for table in tables[1:]:
         values = values.unionByName(table)
-    values = stage(values.groupBy("key").agg(F.sum("value").alias("value")), "values")
-    answers = stage(_answers(_asked_values(sequences, totals, longest, bits, least), values, bits), "answers")
-    none = F.lit(None).cast("binary")
-    told = totals.withColumns({"found": none, "given": none}) \
-        .unionByName(answers.withColumns({"counts": none, "named": none}))
-    return _scored(sequences, told, longest, bits, least, tokens, distinct)
+    values = stage(_packed_values(values.groupBy("key").agg(F.sum("value").alias("value")), bits), "values")
+    none, scored = F.lit(None).cast("binary"), None
+    for portion in range(PORTIONS):
+        mine = F.pmod(F.xxhash64("slice"), F.lit(PORTIONS)) == portion
+        own, counted = sequences.where(mine), totals.where(mine)
+        answers = _answers(_asked_values(own, counted, longest, bits, least), values, bits)
+        told = counted.withColumns({"found": none, "given": none}) \
+            .unionByName(answers.withColumns({"counts": none, "named": none}))
+        found = stage(_scored(own, told, longest, bits, least, tokens, distinct), "scored")
+        scored = found if scored is None else scored.unionByName(found)
+    return scored
