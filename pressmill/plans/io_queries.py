@@ -51,7 +51,7 @@ def csv_one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("id") % 3 == 1, F.concat_ws(",", key, kind, quoted, F.lit(""))) \
         .otherwise(F.concat_ws(",", key, kind))
     path = stage_path(spark, "csv")
-    V.articles(spark, sf_dir).select(line.alias("value")).coalesce(1).write.text(path)
+    V.articles(spark, sf_dir).select(line.alias("value")).repartition(1).write.text(path)
     with with_settings(spark, {"spark.sql.files.maxPartitionBytes": "256k", "spark.sql.files.openCostInBytes": "0"}):
         read = sources.read_articles_csv(spark, path, header=["id", "type", "content"])
         read = materialize(read.withColumn("task", F.spark_partition_id()), "articles")

@@ -171,17 +171,19 @@ def _blocks(lines: DataFrame, sep: int) -> DataFrame:
     # A block that ends alike from both states decides; the others keep the state or turn it.
     order = Window.partitionBy("file").orderBy("start")
     decides = F.col("out") == F.col("in")
-    runs = found.withColumn("run", F.sum(decides.cast("int")).over(order))
+    # Only the states go through the window; the pieces of text stay with their blocks.
+    runs = found.select("file", "start", "out", "in", "ended_in").withColumn("run", F.sum(decides.cast("int")).over(order))
     turned = F.sum(F.when(~decides & F.col("out"), 1).otherwise(0)).over(Window.partitionBy("file", "run").orderBy("start"))
     first = F.coalesce(F.max(F.when(decides, F.col("out"))).over(Window.partitionBy("file", "run")), F.lit(False))
     after = runs.withColumn("after", (first.cast("int") + turned) % 2 == 1)
     placed = after.withColumn("inside", F.coalesce(F.lag("after").over(order), F.lit(False)))
     begins = F.when(~F.col("inside") | F.col("ended_in"), F.col("start"))  # a record begins in it, perhaps at its end
     owner = F.last(begins, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    piece = [F.struct(owner.alias("owner"), F.when(F.col("inside"), F.col("head_in")).alias("piece")),
+    states = placed.select("file", "start", "inside", owner.alias("owner"))
+    piece = [F.struct("owner", F.when(F.col("inside"), F.col("head_in")).alias("piece")),
              F.struct(F.col("start").alias("owner"),
                       F.when(F.col("inside"), F.col("tail_in")).otherwise(F.col("tail_out")).alias("piece"))]
-    return materialize(placed.select("file", "start", "inside", F.filter(
+    return materialize(found.join(states, ["file", "start"]).select("file", "start", "inside", F.filter(
         F.array(*piece), lambda p: F.length(p["piece"]) > 0).alias("pieces")), "blocks")
 
 

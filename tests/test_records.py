@@ -92,3 +92,34 @@ def test_state_of_any_cut(seed):
         second, more, _ = records.cut(data[at:], inside, 44)
         assert np.append(first, second + at).tolist() == ends.tolist()
         assert np.append(some, more + at).tolist() == seps.tolist()
+
+
+def test_windows_hold_no_text(spark, tmp_path, monkeypatch):
+    """All blocks of a file meet in one task, so only their states may go there."""
+    from pressmill.sources import records
+
+    plans = []
+    written = records.materialize
+
+    def kept(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return written(df, name)
+
+    monkeypatch.setattr(records, "materialize", kept)
+    (tmp_path / "a.csv").write_text('1,"a\nb"\n2,c\n')
+    assert records.read_records(spark, str(tmp_path / "a.csv")).count() == 2
+    windows = [line for plan in plans for line in plan.splitlines() if "Window [" in line]
+    below = [line for line in plans[-1].split("Window [")[-1].splitlines() if "Relation" not in line]
+    assert windows and not any(text in line for line in below for text in ("head_in", "tail_in", "tail_out"))
+
+
+def test_one_file_is_written_by_a_task_of_its_own(spark, sf_dir, monkeypatch):
+    """The task that writes the single file does no joins and sorts of the rows before it."""
+    from pressmill.plans import io_queries
+
+    calls = []
+    for name in ("coalesce", "repartition"):
+        monkeypatch.setattr(type(spark.range(1)), name,
+                            lambda self, *a, f=getattr(type(spark.range(1)), name), n=name: calls.append((n, a)) or f(self, *a))
+    io_queries.csv_one_file(spark, sf_dir)
+    assert ("coalesce", (1,)) not in calls and ("repartition", (1,)) in calls
