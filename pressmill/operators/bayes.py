@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pressmill.constants import NB_ALPHA
 from pressmill.operators.features import (
-    Field, fit_vocabulary, known_terms, raw_weight, term_table, term_weights,
+    Field, count_terms, fit_vocabulary, known_terms, raw_weight, term_table, term_weights,
 )
 from pressmill.session import materialize
 
@@ -42,8 +42,11 @@ def nb_fit(train: DataFrame, fields: Sequence[Field], alpha: float = NB_ALPHA,
     """Fit on documents labelled 0 or 1.
 
     Per class: ``ln((sum w + alpha) / (sum over terms + alpha * |V|))`` and the
-    unsmoothed log share of the class. Only six totals reach the driver.
+    unsmoothed log share of the class. Only six totals reach the driver. Documents that
+    are scored too are best counted once for both, by ``count_terms``.
     """
+    if vocabulary is None:
+        train = count_terms(train, fields, (id_column, label))
     n0, n1 = train.agg(*[F.count_if(F.col(label) == c) for c in (0, 1)]).first()
     if vocabulary is None:
         vocabulary = fit_vocabulary(train, fields, n0 + n1, id_column)

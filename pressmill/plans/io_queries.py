@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from pressmill import constants as C
 from pressmill.operators import bayes, profile, sketches
+from pressmill.operators.features import count_terms
 from pressmill.plans import profile_queries, stem_queries  # noqa: F401  (their SQL is used here)
 from pressmill.plans import views as V
-from pressmill.plans.model_queries import NB_FIELD, metric_sql, train_rows
+from pressmill.plans.model_queries import KEEP, NB_FIELD, metric_sql, train_rows
 from pressmill.plans.registry import ORACLE, query, rounded
 from pressmill.session import materialize, stage_path, with_settings
 from pressmill.sinks import tables as sinks
@@ -129,7 +130,7 @@ def evaluation_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("model_round_trip", ORACLE["nb_predict"])
 def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of a model that was saved and loaded."""
-    rows = V.labelled(spark, sf_dir)
+    rows = count_terms(V.labelled(spark, sf_dir), [NB_FIELD], KEEP)
     path = stage_path(spark, "model")
     bayes.nb_fit(train_rows(rows), [NB_FIELD]).save(path)
     model = bayes.BayesModel.load(spark, path, [NB_FIELD])

@@ -235,3 +235,31 @@ def test_load_or_fit(spark, train, tmp_path):
         model = linear.load_or_fit(lambda: LogisticRegressionModel.load(model_path), fit,
                                    lambda m: m.save(model_path))
     assert len(fitted) == 1 and model.numFeatures == first.size
+
+
+def test_counted_documents_are_read_as_documents(rows, train):
+    fields = [Field("f", "body"), Field("t", "title", ngrams=(1, 2))]
+    counted = features.count_terms(rows, fields, ("id", "split", "label"))
+    assert "body" not in counted.columns
+    for outer in (False, True):
+        was, now = [sorted(map(str, features.term_table(df, fields, ("id", "label"), outer).collect()))
+                    for df in (rows, counted)]
+        assert was == now
+    vocabulary = features.fit_vocabulary(train, fields)
+    again = features.fit_vocabulary(counted.where("split = 'train'"), fields)
+    assert sorted(vocabulary.collect()) == sorted(again.collect())
+    one, two = [{(r["id"], r["field"], r["term"]): r["weight"] for r in features.term_weights(
+        df, vocabulary, fields).collect()} for df in (rows, counted)]
+    assert one.keys() == two.keys() and all(one[k] == pytest.approx(two[k]) for k in one)
+    # Another field of the same name is not taken for it.
+    assert Field("f", "title").counted not in counted.columns
+
+
+def test_texts_are_tokenised_once(rows, monkeypatch):
+    fields = [Field("f", "body")]
+    calls = []
+    tokens = Field.tokens
+    monkeypatch.setattr(Field, "tokens", lambda self: calls.append(self.name) or tokens(self))
+    counted = features.count_terms(rows, fields, ("id", "split", "label"))
+    model = bayes.nb_fit(counted.where("split = 'train'"), fields)
+    assert bayes.nb_predict(counted, model, ["id"]).count() == len(TEXTS) and calls == ["f"]
