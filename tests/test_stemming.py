@@ -1,5 +1,7 @@
+import pyarrow as pa
 import pytest
 
+from pressmill.operators import stemming
 from pressmill.operators.stemming import porter_stem, stem_tokens
 
 # Word pairs printed in the 1980 paper.
@@ -43,3 +45,12 @@ def test_tokens_keep_order_and_length(spark):
                                  "id int, tokens array<string>")
     got = {r["id"]: r["stems"] for r in stem_tokens(rows, "tokens").collect()}
     assert got == {1: ["stori", "of", "stori"], 2: [], 3: None}
+
+
+def test_texts_of_a_batch_are_strings_some_at_a_time(spark):
+    long = pa.array([None, "ponies cats"] + ["running " * 50_000] * 40)
+    parts = list(stemming._parts(long))
+    assert max(part.nbytes for part in parts) <= 2 * stemming._PART_BYTES and pa.concat_arrays(parts).equals(long)
+    rows = spark.createDataFrame([(i, "ponies " * 20_000 + str(i) if i else None) for i in range(30)], "id int, t string")
+    found = dict(rows.repartition(1).select("id", stemming.stem_text("t")).collect())
+    assert found == {i: "poni " * 20_000 + str(i) if i else None for i in range(30)}
