@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -263,3 +264,29 @@ def test_texts_are_tokenised_once(rows, monkeypatch):
     counted = features.count_terms(rows, fields, ("id", "split", "label"))
     model = bayes.nb_fit(counted.where("split = 'train'"), fields)
     assert bayes.nb_predict(counted, model, ["id"]).count() == len(TEXTS) and calls == ["f"]
+
+
+def test_counts_in_arrow_batches_equal_a_counter(monkeypatch):
+    from pressmill.operators import term_counts
+
+    rng = np.random.default_rng(1)
+    lists = [None, [], ["a"], ["a b", "c"], ["a", "b c"],
+             *[[f"w{k}" for k in rng.integers(0, 9, n)] + ["é"] for n in rng.integers(0, 30, 40)]]
+    monkeypatch.setattr(term_counts, "SLICE_TOKENS", 50)
+    for low, high in ((1, 1), (1, 2), (2, 3), (1, 4)):
+        found = term_counts._pairs(pa.array(lists, pa.list_(pa.string())), low, high).to_pylist()
+        assert len(found) == len(lists)
+        for tokens, pairs in zip(lists, found):
+            kept = tokens or []
+            expected = Counter(" ".join(kept[i:i + n]) for n in range(low, high + 1) for i in range(len(kept) - n + 1))
+            assert {p["term"]: p["tf"] for p in pairs} == expected and len(pairs) == len(expected)
+
+
+def test_vocabulary_sends_a_row_per_slice_and_term(spark):
+    from pressmill.operators import term_counts
+
+    rows = spark.range(0, 200, 1, 2).select("id", F.lit("red green blue red").alias("body"))
+    tokens = rows.select(Field("f", "body").tokens().alias("f"))
+    parts = term_counts.document_counts(tokens, {"f": ("f", 1, 2)}).collect()
+    # Before, 6 rows per document went to the aggregate.
+    assert len(parts) == 2 * 6 and {r["term"]: (r["df"], r["tf"]) for r in parts}["red"] == (100, 200)
