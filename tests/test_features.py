@@ -290,3 +290,20 @@ def test_vocabulary_sends_a_row_per_slice_and_term(spark):
     parts = term_counts.document_counts(tokens, {"f": ("f", 1, 2)}).collect()
     # Before, 6 rows per document went to the aggregate.
     assert len(parts) == 2 * 6 and {r["term"]: (r["df"], r["tf"]) for r in parts}["red"] == (100, 200)
+
+
+def test_weights_are_grouped_where_they_are_and_joined_by_term_first(spark, rows, train):
+    from pressmill.session import with_settings
+
+    fields = [Field("f", "body"), Field("t", "title")]
+    vectorizer = linear.fit_vectorizer(train, fields)
+    with with_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        found = linear.sparse_rows(rows, vectorizer)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        vectors = {r["id"]: r["features"] for r in found.collect()}
+    # Documents are placed, both sides of the join, weights by document; before, once more.
+    assert plan.count("Exchange hashpartitioning") == 4 and "SortMergeJoin [term#" in plan
+    for i, values in ((i, v["values"]) for i, v in vectors.items()):
+        known = sum(bool(set(grams(r[k])) & {w["term"] for w in vectorizer.vocabulary.where(f"field = '{n}'").collect()})
+                    for r in TEXTS if r[0] == i for k, n in ((3, "f"), (4, "t")))
+        assert sum(v * v for v in values) == pytest.approx(known)
