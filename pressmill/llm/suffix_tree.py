@@ -20,7 +20,8 @@ slice of those that hold a run, named in the answer, reports it for the tree, wi
 context and suffix. The score of a token is a sum over the runs that end with it (see
 ``context_tables``); what each run adds is asked for in the same way, by those runs alone
 that can be in the tree, for one portion of the slices after another, which bounds what
-lies on disk at a time. Ranges are as many as the runs
+lies on disk at a time; the tables of the slices are written in a folder per portion, so that each is read
+by its own portion alone. Ranges are as many as the runs
 need, so one holds about ``RANGE_KEYS`` at every size of the corpus; a run is in a
 slice's question once, however often it occurs there.
 
@@ -34,6 +35,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -41,13 +43,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressmill.llm.common import Words, documents, mix, one_per_id, slices, stage
+from pressmill.llm import common
+from pressmill.llm.common import Words, documents, grouped, mix, one_per_id, stage
 
 DISCOUNT = 0.5
 #: Keys, about, that a range of them has to add up at a time.
 RANGE_KEYS = 2_000_000
 #: Portions of the slices that are scored one after another.
 PORTIONS = 8
+#: Slices of twice the usual size: a run is asked for once in each.
+slices = partial(common.slices, limit=2 * common.SLICE_BYTES)
 #: Hash of the end; no word has it in practice.
 _END = np.uint64(0)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -58,19 +63,19 @@ _GRAM = "struct<length: int, gram: bigint, ctx: bigint, shorter: bigint, n: bigi
 
 
 def _pack_keys(keys: np.ndarray, start: int) -> bytes:
-    """Sorted keys from ``start`` on as six bytes of each difference, larger ones apart."""
+    """Sorted keys from ``start`` on as six bytes of each difference (four of all, then two), larger ones apart."""
     gaps = np.diff(keys, prepend=np.uint64(start))
     high = (gaps >> np.uint64(48)).astype(np.uint16)
     large = np.flatnonzero(high).astype(np.uint32)
-    low = gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-    return np.uint32(len(keys)).tobytes() + low.tobytes() + large.tobytes() + high[large].tobytes()
+    return b"".join([np.uint32(len(keys)).tobytes(), gaps.astype(np.uint32).tobytes(),
+                     (gaps >> np.uint64(32)).astype(np.uint16).tobytes(), large.tobytes(), high[large].tobytes()])
 
 
 def _unpack_keys(blob: bytes, start: int) -> np.ndarray:
     n = int(np.frombuffer(blob, np.uint32, 1)[0])
-    gaps = np.zeros((n, 8), np.uint8)
-    gaps[:, :6] = np.frombuffer(blob, np.uint8, 6 * n, 4).reshape(-1, 6)
-    gaps = gaps.view("<u8").ravel()
+    gaps = np.frombuffer(blob, np.uint16, n, 4 + 4 * n).astype(np.uint64)
+    gaps <<= np.uint64(32)
+    gaps |= np.frombuffer(blob, np.uint32, n, 4)
     apart = (len(blob) - 4 - 6 * n) // 6
     if apart:
         large = np.frombuffer(blob, np.uint32, apart, 4 + 6 * n)
@@ -168,9 +173,11 @@ class _Slice:
         """A round of keys: of the next lengths, at the symbols of each."""
         at = [np.flatnonzero(use) for use in used]
         hashes = self._hash[len(self.number):len(self.number) + len(at)]
-        keys, number = np.unique(np.concatenate([h[i] for h, i in zip(hashes, at)] or [np.zeros(0, np.uint64)]),
-                                 return_inverse=True)
-        number += sum(map(len, self.keys))
+        keys = np.concatenate([h[i] for h, i in zip(hashes, at)] or [np.zeros(0, np.uint64)])
+        order, new = grouped(keys)
+        number = np.empty(len(keys), np.int64)
+        number[order] = np.cumsum(new) - 1 + sum(map(len, self.keys))
+        keys = keys[order[new]]
         for i in at:
             self.number.append(np.full(len(self.text), -1))
             self.number[-1][i], number = number[:len(i)], number[len(i):]
@@ -268,9 +275,7 @@ def _totals(asked: DataFrame, bits: int) -> DataFrame:
         ends = np.cumsum([len(k) for k in keys])
         n = np.concatenate([_unpack_counts(blob.as_py(), len(k)) for blob, k in zip(table.column("counts"), keys)])
         keys = np.concatenate(keys)
-        order = np.argsort(keys, kind="stable")
-        ordered = keys[order]
-        new = np.append(True, ordered[1:] != ordered[:-1])
+        order, new = grouped(keys)
         sums = np.add.reduceat(n[order], np.flatnonzero(new))
         n[order] = sums[np.cumsum(new) - 1]
         named = np.zeros(len(keys), bool)
@@ -434,6 +439,12 @@ def _scored(sequences: DataFrame, told: DataFrame, longest: int, bits: int, leas
         run, "doc_id bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
 
 
+def _in_portions(table: DataFrame, name: str) -> DataFrame:
+    """A written table of slices, with ``portion``."""
+    portion = F.pmod(F.xxhash64("slice"), F.lit(PORTIONS)).cast("int")
+    return stage(table.withColumn("portion", portion), name, ["portion"])
+
+
 def score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 3,
           least: int = 3, **settings: float) -> DataFrame:
     """Scores of all texts by a tree of those for which ``learn_from`` (of ``doc_id``) holds.
@@ -444,12 +455,12 @@ def score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col:
     """
     docs = one_per_id(documents(docs, id_col, text_col))
     longest, learnt = depth + 1, F.coalesce(learn_from, F.lit(False)).alias("learnt")
-    sequences = stage(_sequences(docs.select("doc_id", "text", learnt)), "sequences")
+    sequences = _in_portions(_sequences(docs.select("doc_id", "text", learnt)), "sequences")
     symbols = sequences.agg(F.sum("symbols")).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(1, symbols * 2 / RANGE_KEYS))))
-    totals = stage(_totals(_asked(sequences, longest, bits), bits), "totals")
+    totals = _in_portions(_totals(_asked(sequences, longest, bits), bits), "totals")
     if longest > 2:
-        totals = totals.unionByName(stage(
+        totals = totals.unionByName(_in_portions(
             _totals(_asked_longer(sequences, totals, longest, bits, least), bits), "totals"))
     reported = stage(_reported(sequences, totals, longest, bits, least), "reported")
     sums = reported.agg(F.sum("tokens"), F.sum("distinct")).first()
@@ -462,8 +473,8 @@ def score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col:
     values = stage(_packed_values(values.groupBy("key").agg(F.sum("value").alias("value")), bits), "values")
     none, scored = F.lit(None).cast("binary"), None
     for portion in range(PORTIONS):
-        mine = F.pmod(F.xxhash64("slice"), F.lit(PORTIONS)) == portion
-        own, counted = sequences.where(mine), totals.where(mine)
+        mine = F.col("portion") == portion
+        own, counted = sequences.where(mine), totals.where(mine).drop("portion")
         answers = _answers(_asked_values(own, counted, longest, bits, least), values, bits)
         told = counted.withColumns({"found": none, "given": none}) \
             .unionByName(answers.withColumns({"counts": none, "named": none}))

@@ -10,7 +10,7 @@ import pytest
 from llm_cases import awkward, frame
 from pyspark.sql import functions as F
 
-from pressmill.llm import quality, queries, suffix_tree, toxicity
+from pressmill.llm import common, quality, queries, suffix_tree, toxicity
 from pressmill.llm.common import crc_of_id
 
 
@@ -195,6 +195,30 @@ def test_many_slices_and_ranges(spark, range_keys, slice_bytes, monkeypatch):
     assert len(found) == len(expected) and {r.doc_id: r.score for r in found} == pytest.approx(expected)
 
 
+@pytest.mark.parametrize("keys", [[], [7], [5, 5, 5], [3 << 40, 2, 1, 2, (3 << 40) + 1, 3 << 40, 2**64 - 1, 0]])
+def test_keys_are_grouped_in_stable_order(keys):
+    keys = np.array(keys, np.uint64)
+    order, new = common.grouped(keys)
+    assert order.tolist() == np.argsort(keys, kind="stable").tolist()
+    assert keys[order[new]].tolist() == sorted(set(keys.tolist()))
+
+
+def test_suffix_tree_portion_reads_its_own_files(spark):
+    table = spark.range(64).select(F.col("id").alias("slice"), F.lit(b"x").alias("keys"))
+    found = suffix_tree._in_portions(table, "sequences")
+    assert found.count() == 64
+    own = found.where(F.col("portion") == 3).select(F.input_file_name().alias("file"))
+    assert all("/portion=3/" in row.file for row in own.collect())
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(portion" in plan
+
+
+def test_suffix_tree_asks_less_in_longer_slices(spark):
+    text = " ".join(f"w{i % 997}" for i in range(300_000))  # 1.5 MB each
+    docs = spark.createDataFrame([(i, text, True) for i in range(2)], "doc_id bigint, text string, learnt boolean").coalesce(1)
+    assert suffix_tree._sequences(docs).count() == 1
+
+
 def test_suffix_tree_beats_words(spark, tenth):
     rows = suffix_tree.score(queries.table(spark, tenth, "documents"), crc_of_id() % 5 != 1) \
         .where(crc_of_id() % 5 == 1).agg(F.sum("score"), F.sum("base_score")).first()
