@@ -169,3 +169,26 @@ def test_accents_of_any_script(evaluate):
     assert evaluate(x=text.strip_accents(F.lit(text_in))) == plain
     assert evaluate(x=text.vectorizer_tokens(F.lit("oﬃce ＡＢＣ café"), "[a-z]{2,}", accents=False)) \
         == ["office", "abc", "cafe"]
+
+
+def test_counts_skip_places_where_no_match_can_start(spark):
+    """The classes in front of the patterns change no count, and every pattern of a count has one."""
+    space, digit, after, before = C.SPACE, r"\p{Nd}", r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+    month = "|".join(C.MONTH_NAMES)
+    plain = {
+        C.URL_PATTERN: rf"(?iU)https?://{C.NOT_SPACE}+|www\.{C.NOT_SPACE}+",
+        C.DATE_PATTERNS[0]: rf"{after}{digit}{{4}}-{digit}{{1,2}}-{digit}{{1,2}}{before}",
+        C.DATE_PATTERNS[1]: rf"{after}{digit}{{1,2}}/{digit}{{1,2}}/{digit}{{2,4}}{before}",
+        C.DATE_PATTERNS[2]: rf"{after}{digit}{{1,2}}-{digit}{{1,2}}-{digit}{{2,4}}{before}",
+        C.DATE_PATTERNS[3]: rf"(?U){after}(?i:{month}){space}+{digit}{{1,2}}(?:,{space}*{digit}{{4}})?{before}",
+        C.NUMBER_PATTERN: rf"{after}{digit}+(?:[.,]{digit}+)?{before}",
+    }
+    dates = [f"{form} 1{tail}" for name in C.MONTH_NAMES for form in (name, name.upper(), name.title(), "x" + name)
+             for tail in ("", ", 2020", "2, 2021", "a")]
+    texts = [*dates, "ſept 3 auɡ 4 ſEP\x1c5", "2020-1-2 1/2/20 1-2-2020 x1-2-20 ٣٤٥٦-١-٢ 1.5 2,5 3. 4a b5 _6",
+             "http://a HTTPS://b httpſ://c www.d xwww.e WWW.  hhttp://f w h ww.g", "", "\U0001D7D8 ² ½ 12"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    for fast, slow in plain.items():
+        assert re.match(r"(\(\?U\))?\(\?=", fast)
+        rows = frame.select("t", F.regexp_count("t", F.lit(fast)).alias("a"), F.regexp_count("t", F.lit(slow)).alias("b")).collect()
+        assert [r for r in rows if r.a != r.b] == [] and any(r.a for r in rows)
