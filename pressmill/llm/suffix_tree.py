@@ -33,7 +33,6 @@ every word has the same probability.
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 from functools import partial
 
@@ -56,14 +55,18 @@ slices = partial(common.slices, limit=2 * common.SLICE_BYTES)
 #: Hash of the end; no word has it in practice.
 _END = np.uint64(0)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_CODEC = pa.Codec("zstd", 1)
 _SEQUENCE = "slice bigint, doc_ids array<bigint>, sizes array<int>, learnt array<boolean>, words binary, " \
             "codes binary, symbols bigint"
 _TOTALS = "slice bigint, part bigint, round int, counts binary, named binary"
-_GRAM = "struct<length: int, gram: bigint, ctx: bigint, shorter: bigint, n: bigint, total: bigint, under: bigint>"
+_GRAMS = "length bigint, gram bigint, ctx bigint, shorter bigint, n bigint, total bigint, under bigint"
 
 
 def _pack_keys(keys: np.ndarray, start: int) -> bytes:
-    """Sorted keys from ``start`` on as six bytes of each difference (four of all, then two), larger ones apart."""
+    """Keys from ``start`` on as six bytes of each difference (four of all, then two), larger ones apart.
+
+    Differences are taken modulo 2**64, so keys may be several sorted lists one after another.
+    """
     gaps = np.diff(keys, prepend=np.uint64(start))
     high = (gaps >> np.uint64(48)).astype(np.uint16)
     large = np.flatnonzero(high).astype(np.uint32)
@@ -83,36 +86,45 @@ def _unpack_keys(blob: bytes, start: int) -> np.ndarray:
     return np.cumsum(gaps, dtype=np.uint64) + np.uint64(start)
 
 
+def _press(data: bytes) -> bytes:
+    """Their number, then the bytes compressed."""
+    return np.uint32(len(data)).tobytes() + _CODEC.compress(data, asbytes=True)
+
+
+def _unpress(blob: bytes) -> bytes:
+    return _CODEC.decompress(memoryview(blob)[4:], int(np.frombuffer(blob, np.uint32, 1)[0]), asbytes=True)
+
+
 def _pack_counts(counts: np.ndarray) -> bytes:
     """One byte each and eight more for those of 255 or above, compressed."""
     small = np.minimum(counts, 255).astype(np.uint8)
-    return zlib.compress(small.tobytes() + counts[small == 255].astype(np.int64).tobytes(), 1)
+    return _press(small.tobytes() + counts[small == 255].astype(np.int64).tobytes())
 
 
 def _unpack_counts(blob: bytes, size: int) -> np.ndarray:
-    blob = zlib.decompress(blob)
+    blob = _unpress(blob)
     counts = np.frombuffer(blob, np.uint8, size).astype(np.int64)
     counts[counts == 255] = np.frombuffer(blob, np.int64, (len(blob) - size) // 8, size)
     return counts
 
 
 def _pack_flags(flags: np.ndarray) -> bytes:
-    return zlib.compress(np.packbits(flags).tobytes(), 1)
+    return _press(np.packbits(flags).tobytes())
 
 
 def _unpack_flags(blob: bytes, size: int) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(zlib.decompress(blob), np.uint8), count=size).astype(bool)
+    return np.unpackbits(np.frombuffer(_unpress(blob), np.uint8), count=size).astype(bool)
 
 
 def _pack_codes(code: np.ndarray, distinct: int) -> bytes:
     """Numbers below ``distinct``, the first bytes of all, then the second bytes, ..., compressed."""
     width = max(1, (max(1, distinct - 1).bit_length() + 7) // 8)
     planes = code.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].T
-    return bytes([width]) + zlib.compress(planes.tobytes(), 1)
+    return bytes([width]) + _press(planes.tobytes())
 
 
 def _unpack_codes(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(blob[1:]), np.uint8).reshape(blob[0], -1)
+    planes = np.frombuffer(_unpress(blob[1:]), np.uint8).reshape(blob[0], -1)
     return sum(plane.astype(np.int64) << (8 * i) for i, plane in enumerate(planes))
 
 
@@ -122,14 +134,15 @@ def _sequences(docs: DataFrame) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         for part in slices(batches):
             words = Words(part.column("text"), lower=True)
-            at, code = words.distinct()
+            hashes = words.hashes()
+            at, code = words.distinct(hashes)
             sizes = words.per_text().astype(np.int32)
             # frequent words have low numbers, which compress
             order = np.argsort(-np.bincount(code, minlength=len(at)), kind="stable")
             rank = np.empty(len(at), np.int64)
             rank[order] = np.arange(len(at))
             row = [number, part.column("doc_id").to_pylist(), sizes.tolist(), part.column("learnt").to_pylist(),
-                   words.hashes()[at[order]].tobytes(), _pack_codes(rank[code], len(at)), int(sizes.sum()) + len(sizes)]
+                   hashes[at[order]].tobytes(), _pack_codes(rank[code], len(at)), int(sizes.sum()) + len(sizes)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x], kind) for x, kind in zip(row, (
                     pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.binary(),
@@ -140,59 +153,82 @@ def _sequences(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, _SEQUENCE)
 
 
+def _interleaved(lists: list[np.ndarray], bits: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Sorted lists of keys as one, by range of keys and in a range by list, and the place of each key in it."""
+    starts = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
+    sizes = np.array([np.diff(np.searchsorted(keys, starts), prepend=0, append=len(keys)) for keys in lists])
+    begins = (np.cumsum(sizes.T).reshape(sizes.T.shape) - sizes.T).T  # of each list in each range
+    merged, places = np.empty(sum(map(len, lists)), np.uint64), []
+    for keys, size, begin in zip(lists, sizes, begins):
+        places.append(np.arange(len(keys)) + np.repeat(begin - (np.cumsum(size) - size), size))
+        merged[places[-1]] = keys
+    return merged, places
+
+
 class _Slice:
     """The symbols of some texts, an end before each, its words, an end after, and the keys of their runs.
 
-    ``keys`` has the sorted keys of each round, ``number`` by length, for each symbol, the
-    run that ends with it: its place in the keys of all rounds, -1 for none.
+    ``keys`` has the keys of each round by range (in the first round single words of a range before
+    pairs, each sorted, in the second sorted), ``number`` by length, for each symbol, the run that
+    ends with it: its place in the keys of all rounds, -1 for none; ``single`` those of single words.
     """
 
-    def __init__(self, row: dict, longest: int) -> None:
+    def __init__(self, row: dict, longest: int, bits: int) -> None:
         self.doc_ids, per_text, self.longest = row["doc_ids"], np.array(row["sizes"], np.int64), longest
         sizes = per_text + 2
         starts = np.cumsum(sizes) - sizes
         self.text = np.repeat(np.arange(len(sizes)), sizes)
         self.place = np.arange(len(self.text)) - starts[self.text]  # in its text
         self.last = self.place == sizes[self.text] - 1
-        symbol = np.full(len(self.text), _END)
-        if per_text.any():
-            symbol[(self.place > 0) & ~self.last] = np.frombuffer(row["words"], np.uint64)[_unpack_codes(row["codes"])]
         self.learnt = np.array(row["learnt"], bool)[self.text]
-        self._hash, key = [], mix(symbol + _STEP)
-        for back in range(longest):
-            if back:
-                older = np.full(len(symbol), _END)
-                older[back:] = symbol[:-back]
-                key = mix(key * _STEP + older + np.uint64(back))
-            self._hash.append(key)
-        self.keys, self.number = [], []
-        self._add([self.place >= 1, self.place >= 1])
-        self.number[0][self.place == 0] = self.number[0][self.last]
-
-    def _add(self, used: list[np.ndarray]) -> None:
-        """A round of keys: of the next lengths, at the symbols of each."""
-        at = [np.flatnonzero(use) for use in used]
-        hashes = self._hash[len(self.number):len(self.number) + len(at)]
-        keys = np.concatenate([h[i] for h, i in zip(hashes, at)] or [np.zeros(0, np.uint64)])
-        order, new = grouped(keys)
-        number = np.empty(len(keys), np.int64)
-        number[order] = np.cumsum(new) - 1 + sum(map(len, self.keys))
-        keys = keys[order[new]]
-        for i in at:
-            self.number.append(np.full(len(self.text), -1))
-            self.number[-1][i], number = number[:len(i)], number[len(i):]
-        self.keys.append(keys)
+        words = np.append(np.frombuffer(row["words"], np.uint64), _END)
+        code = np.full(len(self.text), len(words) - 1)
+        if per_text.any():
+            code[(self.place > 0) & ~self.last] = _unpack_codes(row["codes"])
+        self._symbol, hashes = words[code], mix(words + _STEP)
+        # distinct words are sorted before they are dealt to their symbols, pairs at their symbols
+        order, new = grouped(hashes)
+        lists = [hashes[order[new]]]
+        first = np.empty(len(words), np.int64)
+        first[order] = np.cumsum(new) - 1
+        if longest > 1:
+            at = np.flatnonzero(self.place >= 1)
+            self._hash = np.zeros(len(code), np.uint64)
+            self._hash[at] = pairs = self._extended(hashes[code], at, 1)
+            order, new = grouped(pairs)
+            lists.append(pairs[order[new]])
+        keys, places = _interleaved(lists, bits)
+        self.keys, self.number, self.single = [keys], [places[0][first][code]], places[0]
+        if longest > 1:
+            number = np.empty(len(at), np.int64)
+            number[order] = places[1][np.cumsum(new) - 1]
+            self.number.append(self._dealt(at, number))
+
+    def _extended(self, hashes: np.ndarray, at: np.ndarray, back: int) -> np.ndarray:
+        """Keys of the runs that end at some symbols, one word longer than those that ``hashes`` has for all."""
+        return mix(hashes[at] * _STEP + self._symbol[at - back] + np.uint64(back))
+
+    def _dealt(self, at: np.ndarray, number: np.ndarray) -> np.ndarray:
+        found = np.full(len(self.text), -1)
+        found[at] = number
+        return found
 
     def add_longer(self, frequent: np.ndarray) -> None:
         """The second round; ``frequent`` tells which runs of the first can be part of longer ones."""
-        used, use = [], (self.place >= 1) & frequent[self.number[1]]
+        use, ends, hashes = (self.place >= 1) & frequent[self.number[1]], [], []
         for length in range(3, self.longest + 1):
             use = use & np.append(False, use[:-1]) & (self.place >= length - 1)
-            used.append(use)
-        self._add(used)
-
-    def key(self, number: np.ndarray) -> np.ndarray:
-        return np.concatenate(self.keys)[number].view(np.int64)
+            ends.append(np.flatnonzero(use))
+            hashes.append(self._extended(self._hash, ends[-1], length - 1))
+            self._hash[ends[-1]] = hashes[-1]
+        keys = np.concatenate(hashes or [np.zeros(0, np.uint64)])
+        order, new = grouped(keys)
+        number = np.empty(len(keys), np.int64)
+        number[order] = np.cumsum(new) - 1 + len(self.keys[0])
+        self.keys.append(keys[order[new]])
+        for at in ends:
+            self.number.append(self._dealt(at, number[:len(at)]))
+            number = number[len(at):]
 
     def counts(self, round_: int) -> np.ndarray:
         """How often each run of a round occurs in the texts to learn from."""
@@ -219,7 +255,7 @@ class _Slice:
 
 
 def _cut(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int, int]]:
-    """Of sorted keys the ranges that have some: its number, its first possible key, from where, to where."""
+    """Of keys in the order of their ranges those ranges: its number, its first possible key, from where, to where."""
     if not len(keys):
         return
     if not bits:
@@ -249,7 +285,7 @@ def _asked(sequences: DataFrame, longest: int, bits: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                yield from _questions(_Slice(row, min(2, longest)), row["slice"], bits, 0).to_batches()
+                yield from _questions(_Slice(row, min(2, longest), bits), row["slice"], bits, 0).to_batches()
 
     return sequences.mapInArrow(run, _ASKED_SQL)
 
@@ -258,7 +294,7 @@ def _asked_longer(sequences: DataFrame, totals: DataFrame, longest: int, bits: i
     """The second round of questions."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
-        own = _Slice(row, longest)
+        own = _Slice(row, longest, bits)
         n, _ = own.answered(right.to_pylist(), bits, least)
         if len(own.keys) == 1:
             own.add_longer(n >= least)
@@ -289,84 +325,97 @@ def _totals(asked: DataFrame, bits: int) -> DataFrame:
 
 
 def _reported(sequences: DataFrame, totals: DataFrame, longest: int, bits: int, least: int) -> DataFrame:
-    """A row per slice: ``distinct`` words and ``tokens`` to learn from, and ``grams`` that it has to report."""
+    """Runs that each slice has to report (see ``context_tables``).
+
+    A row of length 0 per slice has its tokens to learn from as ``n``, and as ``total`` its distinct words of them.
+    """
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
-        own = _Slice(row, longest)
+        own = _Slice(row, longest, bits)
         n, named = own.answered(right.to_pylist(), bits, least)
-        target = own.place > 0
-        words = np.unique(own.number[0][target])
-        todo, found = named & (n >= least), []
+        tokens, distinct = int(own.learnt[own.place > 0].sum()), int((named[own.single] & (n[own.single] > 0)).sum())
+        found = [[np.array([x]) for x in (0, 0, 0, 0, tokens, distinct, 0)]]
+        todo, keys = named & (n >= least), np.concatenate(own.keys).view(np.int64)
         for length in range(2, len(own.number) + 1):
             at = np.flatnonzero(own.number[length - 1] >= 0)
             at = at[todo[own.number[length - 1][at]]]
-            number, where = np.unique(own.number[length - 1][at], return_index=True)
-            at = at[where]
+            where = np.full(len(n), -1)
+            where[own.number[length - 1][at]] = at  # one of its places
+            number = np.flatnonzero(where >= 0)
+            at = where[number]
             ctx, shorter = own.number[length - 2][at - 1], own.number[length - 2][at]
-            found.append([np.full(len(at), length - 1), own.key(number), own.key(ctx), own.key(shorter),
+            found.append([np.full(len(at), length - 1), keys[number], keys[ctx], keys[shorter],
                           n[number], n[ctx], n[shorter]])
-        grams = [np.concatenate(c) for c in zip(*found)]
-        grams = pa.StructArray.from_arrays(
-            [pa.array(grams[0].astype(np.int32)), *(pa.array(c.astype(np.int64)) for c in grams[1:])],
-            ["length", "gram", "ctx", "shorter", "n", "total", "under"])
-        return pa.table({
-            "tokens": pa.array([int(own.learnt[target].sum())], pa.int64()),
-            "distinct": pa.array([int((named[words] & (n[words] > 0)).sum())], pa.int64()),
-            "grams": pa.ListArray.from_arrays(pa.array([0, len(grams)], pa.int32()), grams)})
+        return pa.table([np.concatenate(c) for c in zip(*found)],
+                        ["length", "gram", "ctx", "shorter", "n", "total", "under"])
 
-    return sequences.groupBy("slice").cogroup(totals.groupBy("slice")).applyInArrow(
-        run, f"tokens bigint, distinct bigint, grams array<{_GRAM}>")
+    return sequences.groupBy("slice").cogroup(totals.groupBy("slice")).applyInArrow(run, _GRAMS)
 
 
-def context_tables(grams: DataFrame, tokens: int, distinct: int, depth: int = 3, least: int = 3,
+def _part(keys: str, bits: int) -> Column:
+    """The range that keys are in."""
+    return F.shiftrightunsigned(keys, 64 - bits) if bits else F.lit(0).cast("bigint")
+
+
+def context_tables(grams: DataFrame, tokens: int, distinct: int, bits: int, depth: int = 3, least: int = 3,
                    context_share: float = 0.0, ratio: float = 1.2) -> list[DataFrame]:
-    """``key, value`` for runs of 1, 2, ... words: what each occurrence adds to a text's score.
+    """``key, value`` by contexts of 1, 2, ... words: what each occurrence of a run adds to a text's score.
 
     A run adds as a context the factor for words that it does not keep, and as a context
-    with one of its kept words what that word has more than by this factor. ``grams`` are
-    contexts of ``length`` words and the next one (``gram``, ``n`` times), with the key and
-    count of the context (``ctx``, ``total``) and of the words but the oldest (``shorter``, ``under``).
+    with one of its kept words what that word has more than by this factor; values of a key
+    add up. ``grams`` are contexts of ``length`` words and the next one (``gram``, ``n`` times), with the key
+    and count of the context (``ctx``, ``total``) and of the words but the oldest (``shorter``, ``under``).
     """
-    normal, lower, values, found = tokens + 0.5 * (distinct + 1), None, None, []
+    normal, lower, found = tokens + 0.5 * (distinct + 1), None, []
     floor, price = max(least, context_share * tokens), 0.5 * math.log10(max(tokens, 2))
+
+    def run(table: pa.Table) -> pa.Table:
+        gram, ctx, n, total, under = (table.column(c).to_numpy() for c in ("gram", "ctx", "n", "total", "lower"))
+        order, new = grouped(ctx.view(np.uint64))
+        gram, ctx, n, total, under = (x[order] for x in (gram, ctx, n, total, under))
+        own = np.log10((n - DISCOUNT) / total)
+        keep = np.abs(own - under) >= math.log10(ratio)
+        first, of = np.flatnonzero(new), np.cumsum(new) - 1
+        words, seen, mass, lower_mass, gain = (np.add.reduceat(np.where(keep, x, 0.0), first) for x in (
+            1.0, n, 10.0 ** own, 10.0 ** under, n * (own - under)))
+        ctx, total = ctx[first], total[first]
+        able = (words > 0) & (mass < 1) & (total >= floor)
+        rest = np.log10(np.where(able, 1 - mass, 1.0) / np.maximum(1 - lower_mass, 1e-12))
+        retained = able & (gain + (total - seen) * rest > price * words)
+        rest = np.where(retained, rest, 0.0)
+        keep &= retained[of]
+        contexts = pa.table({"key": ctx[retained], "p": pa.nulls(int(retained.sum()), pa.float64()),
+                             "value": rest[retained]})
+        words = pa.table({"key": gram, "p": np.where(keep, own, under + rest[of]),
+                          "value": pa.array(own - under - rest[of], mask=~keep)})
+        return pa.concat_tables([contexts, words])
+
     for length in range(1, depth + 1):
-        n, total, own, under = (F.col(c) for c in ("n", "total", "own", "lower"))
         rows = grams.where(F.col("length") == length)
         if lower is None:
             rows = rows.withColumn("lower", F.log10((F.col("under") + 0.5) / normal))
         else:
-            rows = rows.join(lower.select(F.col("gram").alias("shorter"), F.col("p").alias("lower")), "shorter")
-        rows = rows.select("gram", "ctx", "n", "total", "lower", F.log10((n - DISCOUNT) / total).alias("own")) \
-            .withColumn("keep", F.abs(own - under) >= math.log10(ratio))
-        sums = rows.where("keep").groupBy("ctx").agg(
-            F.first("total").alias("total"), F.count("*").alias("words"), F.sum("n").alias("seen"),
-            F.sum(F.pow(F.lit(10.0), own)).alias("mass"), F.sum(F.pow(F.lit(10.0), under)).alias("lower_mass"),
-            F.sum(n * (own - under)).alias("gain"))
-        sums = sums.where((F.col("mass") < 1) & (total >= floor)).withColumn("rest", F.log10(
-            (1 - F.col("mass")) / F.greatest(1 - F.col("lower_mass"), F.lit(1e-12))))
-        retained = stage(sums.where(F.col("gain") + (total - F.col("seen")) * F.col("rest") > price * F.col("words"))
-                         .select("ctx", "rest"), "contexts")
-        on, rest = F.col("rest").isNotNull(), F.col("rest")
-        lower = stage(rows.join(retained, "ctx", "left").select(
-            "gram", F.when(on & F.col("keep"), own).otherwise(under + F.coalesce(rest, F.lit(0.0))).alias("p"),
-            F.when(on & F.col("keep"), own - under - rest).alias("value")), "level")
-        adds = retained.select(F.col("ctx").alias("key"), rest.alias("value"))
-        found.append(adds if values is None else values.unionByName(adds))
-        values = lower.where("value is not null").select(F.col("gram").alias("key"), "value")
-    return found + [values]
+            rows = rows.join(lower.select(F.col("key").alias("shorter"), F.col("p").alias("lower")), "shorter")
+        # contexts stay whole: all their next words are in the range of the context
+        level = rows.select(_part("ctx", bits).alias("part"), "gram", "ctx", "n", "total", "lower") \
+            .groupBy("part").applyInArrow(run, "key bigint, p double, value double")
+        level = stage(level if length < depth else level.where("value is not null"), "level")
+        lower = level.where("p is not null")
+        found.append(level.where("value is not null").select("key", "value"))
+    return found
 
 
 def _packed_values(values: DataFrame, bits: int) -> DataFrame:
-    """``part, keys, values``: the table ``key, value`` as a row per range of keys."""
+    """``part, keys, values``: the table ``key, value`` as a row per range of keys; values of a key add up."""
     def run(table: pa.Table) -> pa.Table:
-        keys = table.column("key").to_numpy().view(np.uint64)
-        order, part = np.argsort(keys), table.column("part")[0].as_py()
+        keys, part = table.column("key").to_numpy().view(np.uint64), table.column("part")[0].as_py()
+        order, new = grouped(keys)
+        sums = np.add.reduceat(table.column("value").to_numpy()[order], np.flatnonzero(new))
         return pa.table({"part": pa.array([part], pa.int64()),
-                         "keys": pa.array([_pack_keys(keys[order], part << (64 - bits))], pa.binary()),
-                         "values": pa.array([table.column("value").to_numpy()[order].tobytes()], pa.binary())})
+                         "keys": pa.array([_pack_keys(keys[order[new]], part << (64 - bits))], pa.binary()),
+                         "values": pa.array([sums.tobytes()], pa.binary())})
 
-    part = F.shiftrightunsigned("key", 64 - bits) if bits else F.lit(0).cast("bigint")
-    return values.withColumn("part", part).groupBy("part").applyInArrow(run, "part bigint, keys binary, values binary")
+    return values.withColumn("part", _part("key", bits)).groupBy("part").applyInArrow(run, "part bigint, keys binary, values binary")
 
 
 def _answers(asked: DataFrame, values: DataFrame, bits: int) -> DataFrame:
@@ -393,7 +442,7 @@ def _asked_values(sequences: DataFrame, totals: DataFrame, longest: int, bits: i
     """``slice, part, round, keys``: runs of each slice that can be in the tree."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
-        own = _Slice(row, longest)
+        own = _Slice(row, longest, bits)
         n, _ = own.answered(right.to_pylist(), bits, least)
         found, first = [], 0
         for round_, keys in enumerate(own.keys):
@@ -411,7 +460,7 @@ def _scored(sequences: DataFrame, told: DataFrame, longest: int, bits: int, leas
     normal = tokens + 0.5 * (distinct + 1)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        own, rows = _Slice(left.to_pylist()[0], longest), right.to_pylist()
+        own, rows = _Slice(left.to_pylist()[0], longest, bits), right.to_pylist()
         n, _ = own.answered(rows, bits, least)
         value, first = np.zeros(len(n)), 0
         answers = {(r["round"], r["part"]): r for r in rows if r["found"] is not None}
@@ -463,14 +512,13 @@ def score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col:
         totals = totals.unionByName(_in_portions(
             _totals(_asked_longer(sequences, totals, longest, bits, least), bits), "totals"))
     reported = stage(_reported(sequences, totals, longest, bits, least), "reported")
-    sums = reported.agg(F.sum("tokens"), F.sum("distinct")).first()
+    sums = reported.where("length = 0").agg(F.sum("n"), F.sum("total")).first()
     tokens, distinct = sums[0] or 0, sums[1] or 0
-    grams = reported.select(F.explode("grams").alias("g")).select("g.*")
-    tables = context_tables(grams, tokens, distinct, depth, least, **settings)
+    tables = context_tables(reported, tokens, distinct, bits, depth, least, **settings)
     values = tables[0]
     for table in tables[1:]:
         values = values.unionByName(table)
-    values = stage(_packed_values(values.groupBy("key").agg(F.sum("value").alias("value")), bits), "values")
+    values = stage(_packed_values(values, bits), "values")
     none, scored = F.lit(None).cast("binary"), None
     for portion in range(PORTIONS):
         mine = F.col("portion") == portion

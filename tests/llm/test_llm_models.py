@@ -219,6 +219,42 @@ def test_suffix_tree_asks_less_in_longer_slices(spark):
     assert suffix_tree._sequences(docs).count() == 1
 
 
+def test_suffix_tree_levels_are_computed_once(spark, monkeypatch):
+    """Each length is one pass over its runs and one written table, not one for contexts and one for words."""
+    rows = [(i, "the cat sat on the mat and the dog sat on the rug " * (i % 4)) for i in range(40)]
+    tokens = {i: t.encode().split() + [None] for i, t in rows}
+    written, write = [], suffix_tree.stage
+    monkeypatch.setattr(suffix_tree, "stage", lambda df, name, by=(): (written.append(name), write(df, name, by))[1])
+    found = suffix_tree.score(frame(spark, rows), crc_of_id() % 5 != 1).collect()
+    expected = suffix_tree_scores(tokens, [i for i in tokens if zlib.crc32(str(i).encode()) % 5 != 1])[0]
+    assert {r.doc_id: r.score for r in found} == pytest.approx(expected)
+    assert written.count("level") == 3 and "contexts" not in written
+
+
+@pytest.mark.parametrize("bits", [0, 1, 3])
+def test_suffix_tree_lists_of_a_range_share_a_blob(bits):
+    rng = np.random.default_rng(bits)
+    lists = [np.unique(rng.integers(0, 2**64 - 1, size, np.uint64, True)) for size in (40, 0, 300)]
+    merged, places = suffix_tree._interleaved(lists, bits)
+    assert all((merged[at] == keys).all() for at, keys in zip(places, lists))
+    cuts = list(suffix_tree._cut(merged, bits))
+    assert [part for part, *_ in cuts] == list(range(1 << bits))
+    for part, start, a, b in cuts:
+        assert not bits or (merged[a:b] >> np.uint64(64 - bits) == part).all()
+        assert (suffix_tree._unpack_keys(suffix_tree._pack_keys(merged[a:b], start), start) == merged[a:b]).all()
+
+
+@pytest.mark.parametrize("block", [1, 7, 64])
+def test_word_hashes_do_not_depend_on_blocks(block, monkeypatch):
+    words = common.Words(pa.array(["a bb  ccc", None, "", "dddddddddddddddddddd a bb", " x\t" * 30]))
+    expected = [words.hashes(which) for which in (0, 1)]
+    monkeypatch.setattr(common, "_BLOCK", block)
+    assert all((words.hashes(which) == expected[which]).all() for which in (0, 1))
+    at, code = words.distinct(words.hashes())
+    assert [words.word(at[c]) for c in code] == [words.word(i) for i in range(len(words))]
+    assert len(set(map(words.word, at))) == len(at)
+
+
 def test_suffix_tree_beats_words(spark, tenth):
     rows = suffix_tree.score(queries.table(spark, tenth, "documents"), crc_of_id() % 5 != 1) \
         .where(crc_of_id() % 5 == 1).agg(F.sum("score"), F.sum("base_score")).first()
