@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressmill.llm import common
-from pressmill.llm.common import Words, documents, grouped, mix, one_per_id, stage
+from pressmill.llm.common import Words, documents, grouped, mix, numbered, one_per_id, stage
 
 DISCOUNT = 0.5
 #: Keys, about, that a range of them has to add up at a time.
@@ -125,7 +125,11 @@ def _pack_codes(code: np.ndarray, distinct: int) -> bytes:
 
 def _unpack_codes(blob: bytes) -> np.ndarray:
     planes = np.frombuffer(_unpress(blob[1:]), np.uint8).reshape(blob[0], -1)
-    return sum(plane.astype(np.int64) << (8 * i) for i, plane in enumerate(planes))
+    code = planes[-1].astype(np.int64)
+    for plane in planes[-2::-1]:
+        code <<= 8
+        code |= plane
+    return code
 
 
 def _sequences(docs: DataFrame) -> DataFrame:
@@ -178,25 +182,26 @@ class _Slice:
         sizes = per_text + 2
         starts = np.cumsum(sizes) - sizes
         self.text = np.repeat(np.arange(len(sizes)), sizes)
-        self.place = np.arange(len(self.text)) - starts[self.text]  # in its text
-        self.last = self.place == sizes[self.text] - 1
-        self.learnt = np.array(row["learnt"], bool)[self.text]
+        self.place = np.arange(len(self.text)) - np.repeat(starts, sizes)  # in its text
+        self.last = np.zeros(len(self.text), bool)
+        self.last[starts + sizes - 1] = True
+        self.learnt = np.repeat(np.array(row["learnt"], bool), sizes)
         words = np.append(np.frombuffer(row["words"], np.uint64), _END)
         code = np.full(len(self.text), len(words) - 1)
         if per_text.any():
             code[(self.place > 0) & ~self.last] = _unpack_codes(row["codes"])
         self._symbol, hashes = words[code], mix(words + _STEP)
         # distinct words are sorted before they are dealt to their symbols, pairs at their symbols
-        order, new = grouped(hashes)
-        lists = [hashes[order[new]]]
+        order, new, single = numbered(hashes)
+        lists = [single]
         first = np.empty(len(words), np.int64)
         first[order] = np.cumsum(new) - 1
         if longest > 1:
             at = np.flatnonzero(self.place >= 1)
             self._hash = np.zeros(len(code), np.uint64)
             self._hash[at] = pairs = self._extended(hashes[code], at, 1)
-            order, new = grouped(pairs)
-            lists.append(pairs[order[new]])
+            order, new, pairs = numbered(pairs)
+            lists.append(pairs)
         keys, places = _interleaved(lists, bits)
         self.keys, self.number, self.single = [keys], [places[0][first][code]], places[0]
         if longest > 1:
@@ -222,10 +227,10 @@ class _Slice:
             hashes.append(self._extended(self._hash, ends[-1], length - 1))
             self._hash[ends[-1]] = hashes[-1]
         keys = np.concatenate(hashes or [np.zeros(0, np.uint64)])
-        order, new = grouped(keys)
-        number = np.empty(len(keys), np.int64)
+        order, new, keys = numbered(keys)
+        number = np.empty(len(order), np.int64)
         number[order] = np.cumsum(new) - 1 + len(self.keys[0])
-        self.keys.append(keys[order[new]])
+        self.keys.append(keys)
         for at in ends:
             self.number.append(self._dealt(at, number[:len(at)]))
             number = number[len(at):]
@@ -409,10 +414,10 @@ def _packed_values(values: DataFrame, bits: int) -> DataFrame:
     """``part, keys, values``: the table ``key, value`` as a row per range of keys; values of a key add up."""
     def run(table: pa.Table) -> pa.Table:
         keys, part = table.column("key").to_numpy().view(np.uint64), table.column("part")[0].as_py()
-        order, new = grouped(keys)
+        order, new, keys = numbered(keys)
         sums = np.add.reduceat(table.column("value").to_numpy()[order], np.flatnonzero(new))
         return pa.table({"part": pa.array([part], pa.int64()),
-                         "keys": pa.array([_pack_keys(keys[order[new]], part << (64 - bits))], pa.binary()),
+                         "keys": pa.array([_pack_keys(keys, part << (64 - bits))], pa.binary()),
                          "values": pa.array([sums.tobytes()], pa.binary())})
 
     return values.withColumn("part", _part("key", bits)).groupBy("part").applyInArrow(run, "part bigint, keys binary, values binary")
@@ -462,7 +467,7 @@ def _scored(sequences: DataFrame, told: DataFrame, longest: int, bits: int, leas
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         own, rows = _Slice(left.to_pylist()[0], longest, bits), right.to_pylist()
         n, _ = own.answered(rows, bits, least)
-        value, first = np.zeros(len(n)), 0
+        value, first = np.zeros(len(n) + 1), 0  # the last for no run, -1
         answers = {(r["round"], r["part"]): r for r in rows if r["found"] is not None}
         for round_, keys in enumerate(own.keys):
             places = first + np.flatnonzero(n[first:first + len(keys)] >= least)
@@ -472,16 +477,17 @@ def _scored(sequences: DataFrame, told: DataFrame, longest: int, bits: int, leas
                 value[places[a:b][hit]] = np.frombuffer(answer["given"])
             first += len(keys)
         texts, target = len(own.doc_ids), own.place > 0
-        text, c = own.text[target], n[own.number[0][target]]
-        base = np.bincount(text, np.log10((c + 0.5) / normal), texts)
-        added = np.zeros(texts)
-        for length, number in enumerate(own.number, 1):
-            # a single end is a context before a text only
-            at = np.flatnonzero(~own.last if length == 1 else number >= 0)
-            added += np.bincount(own.text[at], value[number[at]], texts)
+        text, single = own.text[target], own.number[0][target]
+        logs = np.zeros(len(n))
+        logs[own.single] = np.log10((n[own.single] + 0.5) / normal)
+        base = np.bincount(text, logs[single], texts)
+        adds = np.where(own.last, 0.0, value[own.number[0]])  # a single end is a context before a text only
+        for number in own.number[1:]:
+            adds += value[number]
+        added = np.bincount(own.text, adds, texts)
         return pa.table({
             "doc_id": pa.array(own.doc_ids, pa.int64()), "n_tokens": np.bincount(text, minlength=texts),
-            "n_known": np.bincount(text[c > 0], minlength=texts), "train_tokens": np.full(texts, tokens),
+            "n_known": np.bincount(text[n[single] > 0], minlength=texts), "train_tokens": np.full(texts, tokens),
             "base_score": base, "score": base + added})
 
     return sequences.groupBy("slice").cogroup(told.groupBy("slice")).applyInArrow(
