@@ -12,7 +12,7 @@ scored word by word from the longest retained context.
 
 Counts are absolute, so the tree grows with the corpus; it is held in written tables
 keyed by a 64-bit hash of the words. Texts are cut into slices of some megabytes. Each
-slice asks for its runs of one and two words: their keys, sorted, go as one blob to each
+slice asks for its runs of one and two words: their keys, sorted by length and key, go as one blob to each
 range of keys, with what the slice counted. The range adds up and answers in the order
 asked, so an answer has no keys. Longer runs are asked for in a second round, and only
 where every pair of neighbours in them occurs ``least`` times, as else the run can't. One
@@ -420,7 +420,8 @@ def _packed_values(values: DataFrame, bits: int) -> DataFrame:
                          "keys": pa.array([_pack_keys(keys, part << (64 - bits))], pa.binary()),
                          "values": pa.array([sums.tobytes()], pa.binary())})
 
-    return values.withColumn("part", _part("key", bits)).groupBy("part").applyInArrow(run, "part bigint, keys binary, values binary")
+    return values.withColumn("part", _part("key", bits)).groupBy("part").applyInArrow(
+        run, "part bigint, keys binary, values binary")
 
 
 def _answers(asked: DataFrame, values: DataFrame, bits: int) -> DataFrame:
