@@ -48,6 +48,41 @@ def test_candidates_share_passes(rare, monkeypatch):
         assert np.abs(slope(x, y, w, b, c, RARE)).max() < 1e-4
 
 
+def test_weak_penalty_needs_few_passes(rare, monkeypatch):
+    rows, x, y = rare
+    passes = []
+    products = logistic._Rows.products
+    monkeypatch.setattr(logistic._Rows, "products", lambda self, a: passes.append(len(a)) or products(self, a))
+    found = logistic.fit(rows, (0.1, 10.0, 1000.0), RARE + 3)
+    assert len(passes) <= 14
+    for c, (w, b) in zip((0.1, 10.0, 1000.0), found):
+        now = np.linalg.norm(slope(x, y, w, b, c, RARE))
+        assert now <= 2e-4 * np.linalg.norm(slope(x, y, np.zeros(RARE + 3), 0.0, c, RARE))
+
+
+def test_few_vectors_suffice(rare, monkeypatch):
+    rows, x, y = rare
+    monkeypatch.setattr(logistic, "VECTORS", 6)
+    monkeypatch.setattr(logistic, "_LEAST_VECTORS", 6)
+    for c, (w, b) in zip((0.1, 10.0), logistic.fit(rows, (0.1, 10.0), RARE + 3)):
+        now = np.linalg.norm(slope(x, y, w, b, c, RARE))
+        assert now <= 2e-4 * np.linalg.norm(slope(x, y, np.zeros(RARE + 3), 0.0, c, RARE))
+
+
+def test_blocks_number_rows_and_name_a_term_once(rare, monkeypatch):
+    rows, x, y = rare
+    monkeypatch.setattr(logistic, "_BLOCK_CELLS", 7)
+    stored = logistic._Rows(rows, "label")
+    rebuilt, seen = np.zeros((RARE, RARE + 3)), []
+    for block in stored.blocks.collect():
+        numbers, terms, lengths = (np.frombuffer(block[name], np.int32) for name in ("rows", "terms", "lengths"))
+        seen += terms.tolist()
+        rebuilt[numbers, np.repeat(terms, lengths)] = np.frombuffer(block["weights"], np.float64)
+    assert sorted(seen) == list(range(RARE + 3))
+    given = np.column_stack([x, y])[np.lexsort(x.T)]
+    assert (np.column_stack([rebuilt, stored.y])[np.lexsort(rebuilt.T)] == given).all()
+
+
 def test_one_class_and_no_rows(rare):
     rows, _, _ = rare
     for label, sign in ((0, -1), (1, 1)):
