@@ -307,3 +307,32 @@ def test_weights_are_grouped_where_they_are_and_joined_by_term_first(spark, rows
         known = sum(bool(set(grams(r[k])) & {w["term"] for w in vectorizer.vocabulary.where(f"field = '{n}'").collect()})
                     for r in TEXTS if r[0] == i for k, n in ((3, "f"), (4, "t")))
         assert sum(v * v for v in values) == pytest.approx(known)
+
+
+def test_scores_are_a_join_with_the_terms(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+
+    def refuse(self):
+        raise AssertionError("coefficients on the driver")
+
+    monkeypatch.setattr(linear.TermModel, "coefficients", property(refuse))
+    given = [(1, Vectors.sparse(5, {0: 1.0, 3: 2.0})), (1, Vectors.sparse(5, {0: 1.0, 3: 2.0})),
+             (0, Vectors.sparse(5, {})), (None, Vectors.dense([0.0, 1.0, 0.0, 0.0, 4.0])), (2, Vectors.sparse(5, {1: 1.0}))]
+    vectors = spark.createDataFrame(given, ["label", "features"]).repartition(3)
+    w, b = np.array([0.5, 0.0, 0.0, -1.5, 0.25]), 0.125
+    terms = spark.createDataFrame([(i, float(x)) for i, x in enumerate(w) if x], "idx int, w double")
+    model = linear.TermModel(terms, b, 5)
+    expected = sorted((str(label), float(v.toArray() @ w + b)) for label, v in given)
+    scored = sorted((str(r["label"]), r["probability"], r["prediction"])
+                    for r in linear.predict_probability(model, vectors, ["label"]).collect())
+    assert scored == [(i, pytest.approx(1 / (1 + math.exp(-m))), int(m >= 0)) for i, m in sorted(
+        expected, key=lambda x: (x[0], 1 / (1 + math.exp(-x[1]))))]
+    guesses = sorted((str(r["label"]), r["prediction"]) for r in linear.predict(model, vectors, ["label"]).collect())
+    assert guesses == sorted((i, int(m > 0)) for i, m in expected)
+
+
+def test_formula_models_keep_coefficients_in_a_table(vectors):
+    from pressmill.plans import stem_queries
+
+    model = stem_queries._formula_model(vectors[1], logistic=True)
+    assert sorted(model.terms.columns) == ["idx", "w"] and model.terms.count() == vectors[1].size == model.numFeatures
